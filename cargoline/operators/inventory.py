@@ -84,7 +84,7 @@ def stockout_low_cover(inventory: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast(T.LongType()).alias("exceptions"),
         F.sum("on_hand_units").cast(T.LongType()).alias("on_hand_units"),
         round_avg(F.avg("days_of_inventory")).alias("average_days_of_inventory"),
-        round_avg(F.sum("average_daily_demand")).alias("average_daily_demand"),
+        round_avg(F.sum("average_daily_demand")).alias("total_average_daily_demand"),
     )
 
 

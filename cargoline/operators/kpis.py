@@ -46,14 +46,14 @@ def forecast_accuracy_expr(forecast: str = "forecast_units", actual: str = "actu
     accuracy = max(0, 1 - sum|f - a| / sum a); when sum a = 0 it is 1.0 if
     there is no error at all, else 0.0.
     """
-    abs_err = F.sum(F.abs(F.col(forecast) - F.col(actual))).cast(T.LongType())
-    act = F.sum(actual).cast(T.LongType())
+    abs_err = F.coalesce(F.sum(F.abs(F.col(forecast) - F.col(actual))).cast(T.LongType()), F.lit(0).cast(T.LongType()))
+    act = F.coalesce(F.sum(actual).cast(T.LongType()), F.lit(0).cast(T.LongType()))
     acc = (
         F.when(act == 0, F.when(abs_err == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
         .otherwise(F.greatest(F.lit(0.0), F.lit(1.0) - ratio(abs_err, act)))
     )
     return [
-        F.sum(forecast).cast(T.LongType()).alias("forecast_units"),
+        F.coalesce(F.sum(forecast).cast(T.LongType()), F.lit(0).cast(T.LongType())).alias("forecast_units"),
         act.alias("actual_units"),
         abs_err.alias("absolute_error_units"),
         acc.alias("weighted_forecast_accuracy"),

@@ -28,13 +28,6 @@ DEFAULT_DECIMALS = 12
 DEFAULT_TOLERANCE = 1e-9
 
 
-def _decimals(metric) -> F.Column:
-    expr = None
-    for name, d in METRIC_DECIMALS.items():
-        expr = F.when(metric == name, d) if expr is None else expr.when(metric == name, d)
-    return expr.otherwise(DEFAULT_DECIMALS)
-
-
 def _round_half_even(x: F.Column, metric: F.Column) -> F.Column:
     # bround takes a literal scale: pick the branch per metric
     out = F.bround(x, DEFAULT_DECIMALS)

@@ -238,9 +238,9 @@ def critical_stockout_customers(
         F.sum("revenue").cast(TOTAL_MONEY).alias("customer_revenue")
     )
     threshold = percentile_cont(revenue, [], "customer_revenue", revenue_percentile, "revenue_threshold", p_method)
-    top = revenue.crossJoin(F.broadcast(threshold)).filter(
+    top = revenue.crossJoin(F.broadcast(threshold)).filter(  # one-row threshold
         F.col("customer_revenue").cast("double") >= F.col("revenue_threshold")
-    )
+    ).withColumn("revenue_threshold", F.round("revenue_threshold", 6))
     hit = (
         lines.withColumn("month", F.trunc("order_date", "month"))
         .join(critical, ["month", "warehouse", "sku"], "left_semi")
