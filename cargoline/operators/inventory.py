@@ -29,24 +29,32 @@ def days_of_inventory(inventory: DataFrame) -> DataFrame:
     )
 
 
-def stockout_exceptions(inventory: DataFrame) -> DataFrame:
-    """Demanded rows with at most five days of cover, banded by severity,
-    ordered by severity then demand desc."""
+def stockout_exceptions(inventory: DataFrame, ordered: bool = False) -> DataFrame:
+    """Demanded rows with at most five days of cover, banded by severity.
+
+    The list's order is severity (``severity_rank``) then demand desc.  With
+    ``ordered=True`` the frame is globally sorted that way; it is off by
+    default because a global sort of a scan-fed output costs a sampling pass
+    over the whole input plus a range shuffle -- consumers sort when writing
+    or take a top-k.
+    """
     add = F.col("average_daily_demand")
     rows = inventory.filter((add > 0) & (F.col("on_hand_units") <= add * EXCEPTION_COVER_DAYS))
-    return (
+    out = (
         days_of_inventory(rows)
         .withColumn("severity", severity("days_of_inventory"))
         .withColumn("severity_rank", severity_rank("severity"))
-        .orderBy(F.col("severity_rank").asc_nulls_last(), add.desc(), "snapshot_date", "warehouse", "sku")
     )
+    if ordered:
+        out = out.orderBy(F.col("severity_rank").asc_nulls_last(), add.desc(), "snapshot_date", "warehouse", "sku")
+    return out
 
 
 def demand_grid(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Dense month x warehouse x sku demand, 0 where nothing was ordered."""
     return adapter.monthly_demand_grid(lines, products).select(
         "month", "warehouse", "sku", F.col("demand").cast(T.LongType()).alias("demand_units")
-    )
+    )  # noqa: E501
 
 
 def average_daily_demand(lines: DataFrame, products: DataFrame) -> DataFrame:

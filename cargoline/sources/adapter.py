@@ -13,13 +13,15 @@ Scale notes
   step groups on ``order_id = l_orderkey`` and reuses that partitioning.
 * nation (25 rows) and region (5 rows) are fixed-size TPC-H dimensions: the
   only explicit broadcasts here.
-* The inventory/forecast grid is months x warehouses x parts, generated by
-  ``explode`` per part row (no cross join of large inputs); the month range is
-  a one-row aggregate.
+* The inventory/forecast grid is months x warehouses x parts.  It is never
+  shuffled: demand is folded into one small map per SKU (bounded by the
+  calendar), joined to the parts on ``sku`` and exploded inside each task; the
+  month span is a one-row aggregate (no cross join of large inputs).
 """
 from __future__ import annotations
 
 import os
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -168,40 +170,59 @@ def products(part: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-def _month_grid(lines: DataFrame, skus: DataFrame) -> DataFrame:
-    """Dense month x warehouse x sku grid over the calendar span of the orders."""
-    span = lines.agg(
-        F.trunc(F.min("order_date"), "month").alias("first_month"),
-        F.trunc(F.max("order_date"), "month").alias("last_month"),
-    )
-    months = F.sequence(F.col("first_month"), F.col("last_month"), F.expr("interval 1 month"))
-    return (
-        skus.crossJoin(F.broadcast(span))  # one-row side
-        .select(
-            F.explode(months).alias("month"),
-            F.explode(F.array(*[F.lit(w) for w in WAREHOUSES])).alias("warehouse"),
-            "sku",
-        )
-    )
-
-
 def monthly_demand_grid(lines: DataFrame, products_df: DataFrame) -> DataFrame:
-    """month, warehouse, sku, demand (0 where nothing was ordered), days_in_month."""
+    """Dense month x warehouse x sku grid with demand (0 where nothing was
+    ordered), ``days_in_month`` and the SKU's ``unit_price``.
+
+    The grid is never shuffled.  Demand is aggregated per (month, warehouse,
+    sku) and folded into one map per SKU keyed by the cell's position
+    ``month_offset * 3 + warehouse_index`` (at most months x warehouses
+    entries: bounded by the calendar, not by order volume).  The map joins the
+    products on ``sku``; each task then turns it into a dense array and
+    ``posexplode``s it into the SKU's cells, so ``demand`` is a generator
+    output that later filters cannot re-inline.  The month span is a one-row
+    aggregate of the demand table itself.
+    """
     demand = lines.groupBy(F.trunc("order_date", "month").alias("month"), "warehouse", "sku").agg(
         F.sum("units_ordered").alias("demand")
     )
-    grid = _month_grid(lines, products_df.select("sku"))
+    span = demand.agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"))
+    per_sku = demand.crossJoin(F.broadcast(span)).groupBy("sku").agg(  # span: one row
+        F.map_from_entries(F.collect_list(F.struct(_cell_position("month", "warehouse"), "demand"))).alias("_by_cell")
+    )
+    n_cells = (F.months_between("last_month", "first_month").cast(T.IntegerType()) + 1) * len(WAREHOUSES)
+    dense = F.transform(
+        F.sequence(F.lit(0), n_cells - 1),
+        lambda i: F.coalesce(F.element_at(F.col("_by_cell"), i), F.lit(0).cast(T.LongType())),
+    )
     return (
-        grid.join(demand, ["month", "warehouse", "sku"], "left")
+        products_df.select("sku", "unit_price")
+        .join(per_sku, "sku", "left")
+        .crossJoin(F.broadcast(span))  # one-row side
+        .select("sku", "unit_price", "first_month", F.posexplode(dense).alias("_cell", "demand"))
+        .withColumn("month", F.add_months("first_month", F.expr(f"_cell div {len(WAREHOUSES)}")))
         .select(
-            "month", "warehouse", "sku",
-            F.coalesce(F.col("demand"), F.lit(0)).alias("demand"),
+            "month",
+            F.element_at(F.array(*[F.lit(w) for w in WAREHOUSES]),
+                         (F.col("_cell") % len(WAREHOUSES) + 1).cast(T.IntegerType())).alias("warehouse"),
+            "sku", "unit_price", "demand",
             F.dayofmonth(F.last_day("month")).alias("days_in_month"),
         )
     )
 
 
-def wms_inventory_snapshots(grid: DataFrame, products_df: DataFrame) -> DataFrame:
+def _cell_position(month: str, warehouse: str) -> Column:
+    """Position of a (month, warehouse) cell in a SKU's dense grid row (needs
+    ``first_month`` in scope); an unknown warehouse gets no position."""
+    wh = F.col(warehouse)
+    idx = None
+    for i, w in enumerate(WAREHOUSES):
+        idx = F.when(wh == w, i) if idx is None else idx.when(wh == w, i)
+    offset = F.months_between(F.col(month), F.col("first_month")).cast(T.IntegerType())
+    return offset * len(WAREHOUSES) + idx
+
+
+def wms_inventory_snapshots(grid: DataFrame) -> DataFrame:
     m = F.month("month")
     cents = (F.col("unit_price") * 100).cast(T.LongType())
     on_hand = F.greatest(
@@ -210,8 +231,7 @@ def wms_inventory_snapshots(grid: DataFrame, products_df: DataFrame) -> DataFram
     )
     value_units = (F.col("on_hand_units") * cents * 55).cast(T.DecimalType(30, 0))
     return (
-        grid.join(products_df.select("sku", "unit_price"), "sku", "left")
-        .withColumn("on_hand_units", on_hand.cast(T.LongType()))
+        grid.withColumn("on_hand_units", on_hand.cast(T.LongType()))
         .select(
             F.col("month").alias("snapshot_date"),
             "warehouse",
@@ -236,11 +256,16 @@ def demand_forecasts(grid: DataFrame) -> DataFrame:
     )
 
 
-def warehouse_activity(lines: DataFrame, grid: DataFrame) -> DataFrame:
+def warehouse_activity(lines: DataFrame) -> DataFrame:
+    """Units shipped and labor hours per month and warehouse over the whole
+    calendar span (months without orders process 0 units)."""
     shipped = lines.groupBy(F.trunc("order_date", "month").alias("month"), "warehouse").agg(
         F.sum("units_shipped").alias("units")
     )
-    cal = grid.select("month", "warehouse").distinct()
+    span = shipped.agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"))
+    cal = span.select(
+        F.explode(F.sequence("first_month", "last_month", F.expr("interval 1 month"))).alias("month"),
+    ).select("month", F.explode(F.array(*[F.lit(w) for w in WAREHOUSES])).alias("warehouse"))
     units = F.coalesce(F.col("units"), F.lit(0))
     return cal.join(shipped, ["month", "warehouse"], "left").select(
         F.col("month").alias("activity_date"),
@@ -250,19 +275,55 @@ def warehouse_activity(lines: DataFrame, grid: DataFrame) -> DataFrame:
     )
 
 
+class TpchSources(Sources):
+    """The eight sources over the driver's tables, each built on first use
+    (only the driver tables a query needs are read and analysed)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):  # noqa: D107 - no dataclass init
+        self._spark, self._dir, self._tables = spark, sf_dir, {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self._spark.read.parquet(os.path.join(self._dir, f"{name}.parquet"))
+        return self._tables[name]
+
+    @cached_property
+    def erp_order_lines(self) -> DataFrame:
+        return erp_order_lines(self.table("lineitem"), self.table("orders"), self.table("part"))
+
+    @cached_property
+    def tms_shipments(self) -> DataFrame:
+        return tms_shipments(self.table("lineitem"), self.table("orders"), self.table("part"))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return customers(self.table("customer"), self.table("nation"), self.table("region"))
+
+    @cached_property
+    def suppliers(self) -> DataFrame:
+        return suppliers(self.table("supplier"))
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return products(self.table("part"), self.table("supplier"))
+
+    @cached_property
+    def demand_grid(self) -> DataFrame:
+        return monthly_demand_grid(self.erp_order_lines, self.products)
+
+    @cached_property
+    def wms_inventory_snapshots(self) -> DataFrame:
+        return wms_inventory_snapshots(self.demand_grid)
+
+    @cached_property
+    def demand_forecasts(self) -> DataFrame:
+        return demand_forecasts(self.demand_grid)
+
+    @cached_property
+    def warehouse_activity(self) -> DataFrame:
+        return warehouse_activity(self.erp_order_lines)
+
+
 def from_tpch(spark: SparkSession, sf_dir: str) -> Sources:
-    """Build the eight sources (lazily) from the driver's parquet tables."""
-    t = read_driver_tables(spark, sf_dir)
-    lines = erp_order_lines(t["lineitem"], t["orders"], t["part"])
-    prods = products(t["part"], t["supplier"])
-    grid = monthly_demand_grid(lines, prods)
-    return Sources(
-        customers=customers(t["customer"], t["nation"], t["region"]),
-        suppliers=suppliers(t["supplier"]),
-        products=prods,
-        erp_order_lines=lines,
-        tms_shipments=tms_shipments(t["lineitem"], t["orders"], t["part"]),
-        wms_inventory_snapshots=wms_inventory_snapshots(grid, prods),
-        demand_forecasts=demand_forecasts(grid),
-        warehouse_activity=warehouse_activity(lines, grid),
-    )
+    """The eight sources (lazily) over the driver's parquet tables."""
+    return TpchSources(spark, sf_dir)

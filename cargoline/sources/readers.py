@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -22,21 +21,18 @@ SOURCE_FILES = {
 }
 
 
-@dataclass(frozen=True)
 class Sources:
-    """The eight source tables as lazy DataFrames."""
+    """The eight source tables as lazy DataFrames (attributes named like the tables)."""
 
-    customers: DataFrame
-    suppliers: DataFrame
-    products: DataFrame
-    erp_order_lines: DataFrame
-    tms_shipments: DataFrame
-    wms_inventory_snapshots: DataFrame
-    demand_forecasts: DataFrame
-    warehouse_activity: DataFrame
+    def __init__(self, **tables: DataFrame):
+        missing = set(SOURCE_FILES) - set(tables)
+        if missing:
+            raise ValueError(f"missing source tables: {sorted(missing)}")
+        for name in SOURCE_FILES:
+            setattr(self, name, tables[name])
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in SOURCE_FILES}
 
     def register(self, prefix: str = "") -> "Sources":
         """Expose every table as a temp view (``prefix + name``) for Spark SQL."""
@@ -69,7 +65,10 @@ def read_csv_sources(spark: SparkSession, folder: str, id_type: T.DataType = T.S
 
 def read_parquet_sources(spark: SparkSession, folder: str) -> Sources:
     """Parquet source tables (one folder or file per table)."""
-    return Sources(**{name: spark.read.parquet(os.path.join(folder, stem)) for name, stem in SOURCE_FILES.items()})
+    tables = {name: spark.read.parquet(os.path.join(folder, stem)) for name, stem in SOURCE_FILES.items()}
+    if "order_month" in tables["erp_order_lines"].columns:  # partition column of our writer
+        tables["erp_order_lines"] = tables["erp_order_lines"].drop("order_month")
+    return Sources(**tables)
 
 
 def write_parquet_sources(sources: Sources, folder: str, mode: str = "overwrite") -> None:
