@@ -7,8 +7,8 @@ stays exact without that:
 1. one aggregate pass per group: ``count`` and an approximate bracket
    ``percentile_approx(v, [p - m, p + m], accuracy)`` (GK sketch, rank error
    at most n / accuracy, partial aggregation on the map side);
-2. the values inside the bracket -- about ``4 n / accuracy`` ranks plus ties --
-   are counted per distinct value (again partially aggregated, so ties in a
+2. the values inside the bracket -- about ``8 n / accuracy`` ranks (wider,
+   in ranks, for small groups) plus ties -- are counted per distinct value (again partially aggregated, so ties in a
    hot group collapse), and the number of values below the bracket is counted;
 3. a window over the bracket's distinct values (bounded by the bracket, not by
    the group) finds the values at ranks floor/ceil of ``p (n - 1)`` and
@@ -58,20 +58,36 @@ def percentile_cont(
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
 
-    margin = 4.0 / accuracy
-    lo_p, hi_p = max(0.0, p - margin), min(1.0, p + margin)
+    # Bracket half-widths (in quantile units), narrowest first.  A group uses
+    # the narrowest one that spans at least 3 ranks on each side of the
+    # target: 4/accuracy for big groups (the sketch's rank error is n/accuracy),
+    # wider ones for small groups where one rank is a large share; the last is
+    # the whole range (min..max) for groups of a handful of values.
+    margins = sorted({4.0 / accuracy, 16.0 / accuracy, 64.0 / accuracy, 1 / 64, 1 / 16, 1 / 4} - {0.0})
+    margins = [m for m in margins if m >= 4.0 / accuracy and m < 1.0] + [1.0]
+    probs = []
+    for m in margins:
+        probs += [max(0.0, p - m), min(1.0, p + m)]
     stats = v.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [lo_p, hi_p], accuracy).alias("_b"),
+        F.percentile_approx("_v", probs, accuracy).alias("_b"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
-    ).select(
-        *keys, "_n",
-        (F.col("_b")[0] if lo_p > 0 else F.col("_min")).alias("_lo"),
-        (F.col("_b")[1] if hi_p < 1 else F.col("_max")).alias("_hi"),
-    ).withColumn("_pos", (F.col("_n") - 1).cast("double") * F.lit(p)) \
-     .withColumn("_r_lo", F.floor("_pos")) \
-     .withColumn("_r_hi", F.ceil("_pos"))
+    )
+    pick_lo = pick_hi = None
+    for i in reversed(range(len(margins))):
+        lo_i = F.col("_min") if probs[2 * i] <= 0.0 else F.col("_b")[2 * i]
+        hi_i = F.col("_max") if probs[2 * i + 1] >= 1.0 else F.col("_b")[2 * i + 1]
+        wide_enough = F.lit(margins[i]) * F.col("_n") >= 3
+        if pick_lo is None:
+            pick_lo, pick_hi = lo_i, hi_i
+        else:
+            pick_lo = F.when(wide_enough, lo_i).otherwise(pick_lo)
+            pick_hi = F.when(wide_enough, hi_i).otherwise(pick_hi)
+    stats = stats.select(*keys, "_n", pick_lo.alias("_lo"), pick_hi.alias("_hi")) \
+        .withColumn("_pos", (F.col("_n") - 1).cast("double") * F.lit(p)) \
+        .withColumn("_r_lo", F.floor("_pos")) \
+        .withColumn("_r_hi", F.ceil("_pos"))
 
     tagged = _null_safe_join(v, stats.select(*keys, "_lo", "_hi"), keys)
     below = tagged.groupBy(*keys).agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
