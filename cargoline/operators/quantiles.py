@@ -7,9 +7,10 @@ stays exact without that:
 1. one aggregate pass per group: ``count`` and an approximate bracket
    ``percentile_approx(v, [p - m, p + m], accuracy)`` (GK sketch, rank error
    at most n / accuracy, partial aggregation on the map side);
-2. the values inside the bracket -- about ``8 n / accuracy`` ranks (wider,
-   in ranks, for small groups) plus ties -- are counted per distinct value (again partially aggregated, so ties in a
-   hot group collapse), and the number of values below the bracket is counted;
+2. one aggregate counts rows per (side of the bracket, value): values below
+   or above the bracket collapse into one count each, values inside -- about
+   ``8 n / accuracy`` ranks (wider, in ranks, for small groups) -- are counted
+   per distinct value (partially aggregated, so ties in a hot group collapse);
 3. a window over the bracket's distinct values (bounded by the bracket, not by
    the group) finds the values at ranks floor/ceil of ``p (n - 1)`` and
    interpolates linearly, the ``percentile_cont`` definition.
@@ -89,23 +90,28 @@ def percentile_cont(
         .withColumn("_r_lo", F.floor("_pos")) \
         .withColumn("_r_hi", F.ceil("_pos"))
 
+    # Pass 2, one aggregate: every value falls below, inside or above its
+    # group's bracket; rows are counted per (side, bracket value), so the
+    # values outside the bracket collapse into two counts per group.
     tagged = _null_safe_join(v, stats.select(*keys, "_lo", "_hi"), keys)
-    below = tagged.groupBy(*keys).agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
-    bracket = (tagged.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-               .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bracket = bracket.withColumn("_cum", F.sum("_c").over(w))
-
-    ranked = _null_safe_join(_null_safe_join(bracket, below, keys), stats.select(*keys, "_n", "_pos", "_r_lo", "_r_hi"), keys)
-    first_rank = F.col("_below") + F.col("_cum") - F.col("_c")
-    last_rank = F.col("_below") + F.col("_cum") - 1
+    side = F.when(F.col("_v") < F.col("_lo"), 0).when(F.col("_v") > F.col("_hi"), 2).otherwise(1)
+    counts = tagged.groupBy(*keys, side.alias("_side"), F.when(side == 1, F.col("_v")).alias("_x")).agg(
+        F.count(F.lit(1)).alias("_c")
+    )
+    # The window sees one group's bracket values only (bounded by the bracket).
+    w = Window.partitionBy(*keys).orderBy("_side", "_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = counts.withColumn("_cum", F.sum("_c").over(w))
+    ranked = _null_safe_join(counts, stats.select(*keys, "_pos", "_r_lo", "_r_hi"), keys)
+    first_rank = F.col("_cum") - F.col("_c")
+    last_rank = F.col("_cum") - 1
     covers = lambda r: (first_rank <= F.col(r)) & (last_rank >= F.col(r))
     picked = ranked.groupBy(*keys).agg(
-        F.max(F.when(covers("_r_lo"), F.col("_v"))).alias("_x_lo"),
-        F.max(F.when(covers("_r_hi"), F.col("_v"))).alias("_x_hi"),
+        F.max(F.when(covers("_r_lo"), F.col("_x"))).alias("_x_lo"),
+        F.max(F.when(covers("_r_hi"), F.col("_x"))).alias("_x_hi"),
         F.max("_pos").alias("_pos"),
         F.max("_r_lo").alias("_r_lo"),
     )
+    # a target rank outside the bracket (side 0 or 2) leaves _x NULL
     missed = F.col("_x_lo").isNull() | F.col("_x_hi").isNull()
     result = F.when(missed, F.raise_error(F.lit("percentile bracket missed the target rank"))).otherwise(
         F.col("_x_lo") + (F.col("_pos") - F.col("_r_lo")) * (F.col("_x_hi") - F.col("_x_lo"))

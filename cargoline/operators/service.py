@@ -39,7 +39,7 @@ def order_rollup(lines: DataFrame, policy: str = "mart") -> DataFrame:
 
     return src.groupBy("order_id").agg(
         F.min("customer_id").alias("customer_id"),
-        F.min("warehouse").alias("warehouse"),
+        header_min("warehouse").alias("warehouse"),
         F.min(F.col("order_date").cast(T.DateType())).alias("order_date"),
         F.max(F.col("promised_date").cast(T.DateType())).alias("promised_date"),
         total("units_ordered", T.LongType()).alias("units_ordered"),
@@ -48,6 +48,17 @@ def order_rollup(lines: DataFrame, policy: str = "mart") -> DataFrame:
     )
 
 
+def header_min(c: str) -> F.Column:
+    """``min`` of a header value repeated on an order's rows.
+
+    For STRING columns ``min`` would force a sort-based aggregate (its buffer
+    is not fixed-width); ``array_min(collect_set(c))`` is the same value, stays
+    hash-based, and holds only the distinct values of one order (one, when the
+    header is consistent).  Fixed-width columns use plain ``min``.
+    """
+    return F.array_min(F.collect_set(c))
+
+
 def _unique_shipments(shipments: DataFrame) -> DataFrame:
     """Shipments grouped by order_id with a one-to-one guard.
 
@@ -56,7 +67,8 @@ def _unique_shipments(shipments: DataFrame) -> DataFrame:
     """
     cols = [c for c in SHIPMENT_COLUMNS if c != "order_id"]
     grouped = shipments.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("_shipments"), *[F.min(c).alias(c) for c in cols]
+        F.count(F.lit(1)).alias("_shipments"),
+        *[(header_min(c) if c == "carrier" else F.min(c)).alias(c) for c in cols]
     )
     guard = F.when(
         F.col("_shipments") > 1,

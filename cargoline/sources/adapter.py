@@ -78,8 +78,10 @@ def order_lines_with_size(lineitem: DataFrame, orders: DataFrame, part: DataFram
     shipped = F.when(short, F.expr("(cast(l_quantity as bigint) * (l_partkey % 4)) div 4")).otherwise(ordered)
     unit_price = F.col("p_retailprice").cast(MONEY)
     return (
-        li.join(_order_headers(orders), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(p, F.col("l_partkey") == F.col("p_partkey"))
+        # part first, then orders: the result stays hash-partitioned on
+        # l_orderkey, which every order-level aggregate downstream reuses
+        li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+        .join(_order_headers(orders), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("order_line_id"),
             F.col("l_orderkey").alias("order_id"),
