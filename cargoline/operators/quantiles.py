@@ -47,17 +47,22 @@ def percentile_cont(
     alias: str = "percentile",
     method: str = "exact",
     accuracy: int = 10000,
+    extra: Sequence = (),
 ) -> DataFrame:
-    """Return ``keys + [alias]``: the p-th continuous percentile of ``value``
-    over non-NULL values of each group (groups with no value are absent)."""
+    """Return ``keys + extra + [alias]``: the p-th continuous percentile of
+    ``value`` over the non-NULL values of each group (NULL for a group without
+    any).  ``extra`` are aggregate columns over the group's rows, computed in
+    the same first pass -- a scorecard and its percentile read the input twice.
+    """
     keys = list(keys)
-    v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    if method == "builtin":
-        return v.groupBy(*keys).agg(F.percentile("_v", p).alias(alias))
-    if method == "approx":
-        return v.groupBy(*keys).agg(F.percentile_approx("_v", p, accuracy).alias(alias))
+    extra = list(extra)
+    extra_names = [df.select(e).columns[0] for e in extra] if extra else []
+    if method in ("builtin", "approx"):
+        fn = F.percentile if method == "builtin" else (lambda c, q: F.percentile_approx(c, q, accuracy))
+        return df.groupBy(*keys).agg(*extra, fn(F.col(value).cast("double"), p).alias(alias))
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
+    v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
 
     # Bracket half-widths (in quantile units), narrowest first.  A group uses
     # the narrowest one that spans at least 3 ranks on each side of the
@@ -69,11 +74,13 @@ def percentile_cont(
     probs = []
     for m in margins:
         probs += [max(0.0, p - m), min(1.0, p + m)]
-    stats = v.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", probs, accuracy).alias("_b"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
+    x = F.col(value).cast("double")
+    stats = df.groupBy(*keys).agg(
+        *extra,
+        F.count(x).alias("_n"),
+        F.percentile_approx(x, probs, accuracy).alias("_b"),
+        F.min(x).alias("_min"),
+        F.max(x).alias("_max"),
     )
     pick_lo = pick_hi = None
     for i in reversed(range(len(margins))):
@@ -85,7 +92,7 @@ def percentile_cont(
         else:
             pick_lo = F.when(wide_enough, lo_i).otherwise(pick_lo)
             pick_hi = F.when(wide_enough, hi_i).otherwise(pick_hi)
-    stats = stats.select(*keys, "_n", pick_lo.alias("_lo"), pick_hi.alias("_hi")) \
+    stats = stats.select(*keys, *extra_names, "_n", pick_lo.alias("_lo"), pick_hi.alias("_hi")) \
         .withColumn("_pos", (F.col("_n") - 1).cast("double") * F.lit(p)) \
         .withColumn("_r_lo", F.floor("_pos")) \
         .withColumn("_r_hi", F.ceil("_pos"))
@@ -93,7 +100,7 @@ def percentile_cont(
     # Pass 2, one aggregate: every value falls below, inside or above its
     # group's bracket; rows are counted per (side, bracket value), so the
     # values outside the bracket collapse into two counts per group.
-    tagged = _null_safe_join(v, stats.select(*keys, "_lo", "_hi"), keys)
+    tagged = _null_safe_join(v, stats.filter(F.col("_n") > 0).select(*keys, "_lo", "_hi"), keys)
     side = F.when(F.col("_v") < F.col("_lo"), 0).when(F.col("_v") > F.col("_hi"), 2).otherwise(1)
     counts = tagged.groupBy(*keys, side.alias("_side"), F.when(side == 1, F.col("_v")).alias("_x")).agg(
         F.count(F.lit(1)).alias("_c")
@@ -101,7 +108,7 @@ def percentile_cont(
     # The window sees one group's bracket values only (bounded by the bracket).
     w = Window.partitionBy(*keys).orderBy("_side", "_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     counts = counts.withColumn("_cum", F.sum("_c").over(w))
-    ranked = _null_safe_join(counts, stats.select(*keys, "_pos", "_r_lo", "_r_hi"), keys)
+    ranked = _null_safe_join(counts, stats.filter(F.col("_n") > 0).select(*keys, "_pos", "_r_lo", "_r_hi"), keys)
     first_rank = F.col("_cum") - F.col("_c")
     last_rank = F.col("_cum") - 1
     covers = lambda r: (first_rank <= F.col(r)) & (last_rank >= F.col(r))
@@ -116,4 +123,6 @@ def percentile_cont(
     result = F.when(missed, F.raise_error(F.lit("percentile bracket missed the target rank"))).otherwise(
         F.col("_x_lo") + (F.col("_pos") - F.col("_r_lo")) * (F.col("_x_hi") - F.col("_x_lo"))
     )
-    return picked.select(*keys, result.cast("double").alias(alias))
+    values = picked.select(*keys, result.cast("double").alias(alias))
+    # every group of the input, with NULL where it had no value
+    return _null_safe_join(stats.select(*keys, *extra_names), values, keys, "left")

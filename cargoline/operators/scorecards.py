@@ -21,7 +21,7 @@ from cargoline.functions.columns import (
     round_avg,
     tier_penalty,
 )
-from cargoline.operators.quantiles import _null_safe_join, percentile_cont
+from cargoline.operators.quantiles import percentile_cont
 
 
 def _avg_exact(c: str):
@@ -51,18 +51,18 @@ def carrier_scorecard(service: DataFrame) -> DataFrame:
 def mart_carrier_scorecard(mart: DataFrame, p90_method: str = "exact") -> DataFrame:
     """Per carrier including the NULL carrier of open orders, with exact
     p90 freight per kg and dense service / cost ranks."""
-    metrics = mart.groupBy("carrier").agg(
+    metrics = [
         F.count(F.lit(1)).cast(T.LongType()).alias("orders"),
         ratio(F.sum(flag_int("otif")), F.count("otif")).alias("otif_rate"),
         ratio(F.sum(flag_int("on_time")), F.count("on_time")).alias("on_time_delivery_rate"),
         _avg_exact("lead_time_days").alias("average_lead_time_days"),
         round_avg(F.avg("freight_cost_per_kg")).alias("average_freight_cost_per_kg"),
         F.sum("exception_cost").cast(TOTAL_MONEY).alias("total_exception_cost"),
-    )
-    p90 = percentile_cont(mart, ["carrier"], "freight_cost_per_kg", 0.9, "p90_freight_cost_per_kg", p90_method)
-    scored = _null_safe_join(metrics, p90, ["carrier"], "left").withColumn(
-        "p90_freight_cost_per_kg", round_avg(F.col("p90_freight_cost_per_kg"))
-    )
+    ]
+    # the scorecard aggregates ride along in the percentile's first pass
+    scored = percentile_cont(
+        mart, ["carrier"], "freight_cost_per_kg", 0.9, "p90_freight_cost_per_kg", p90_method, extra=metrics
+    ).withColumn("p90_freight_cost_per_kg", round_avg(F.col("p90_freight_cost_per_kg")))
     over_carriers = Window.partitionBy()  # one row per carrier: a handful of rows
     return scored.select(
         "*",

@@ -141,14 +141,15 @@ def freight_per_kg_by_carrier(service: DataFrame, p90_method: str = "exact") ->
     """Freight cost per kg by carrier over shipments with a known weight:
     ratio of sums, mean of per-order ratios and the exact 90th percentile."""
     weighed = service.filter(F.col("carrier").isNotNull() & (F.col("shipment_weight_kg") > 0))
-    agg = weighed.groupBy("carrier").agg(
+    aggs = [
         F.count(F.lit(1)).cast(T.LongType()).alias("shipments"),
         F.sum("freight_cost").cast(TOTAL_MONEY).alias("freight_cost"),
         F.sum("shipment_weight_kg").cast(TOTAL_MONEY).alias("shipment_weight_kg"),
         round_avg(F.avg("freight_cost_per_kg")).alias("average_freight_cost_per_kg"),
-    ).withColumn("freight_cost_per_kg", ratio("freight_cost", "shipment_weight_kg"))
-    p90 = percentile_cont(weighed, ["carrier"], "freight_cost_per_kg", 0.9, "p90_freight_cost_per_kg", p90_method)
-    return agg.join(p90, "carrier", "left").withColumn(
+    ]
+    out = percentile_cont(weighed, ["carrier"], "freight_cost_per_kg", 0.9, "p90_freight_cost_per_kg", p90_method,
+                          extra=aggs)
+    return out.withColumn("freight_cost_per_kg", ratio("freight_cost", "shipment_weight_kg")).withColumn(
         "p90_freight_cost_per_kg", round_avg(F.col("p90_freight_cost_per_kg"))
     )
 
@@ -238,6 +239,7 @@ def critical_stockout_customers(
         F.sum("revenue").cast(TOTAL_MONEY).alias("customer_revenue")
     )
     threshold = percentile_cont(revenue, [], "customer_revenue", revenue_percentile, "revenue_threshold", p_method)
+    threshold = threshold.filter(F.col("revenue_threshold").isNotNull())
     top = revenue.crossJoin(F.broadcast(threshold)).filter(  # one-row threshold
         F.col("customer_revenue").cast("double") >= F.col("revenue_threshold")
     ).withColumn("revenue_threshold", F.round("revenue_threshold", 6))
