@@ -93,17 +93,20 @@ def customer_cost_to_serve(service: DataFrame, customers: DataFrame) -> DataFram
 def _supplier_orders(lines: DataFrame, service: DataFrame) -> DataFrame:
     """Distinct (order, supplier) pairs carrying the order's OTIF and backorder.
 
-    The join is on order_id and the pair aggregate groups on (order_id,
-    supplier_id): the join's hash partitioning on order_id already satisfies
-    the aggregate, so the pairs cost no second shuffle.
+    Pairs are formed first (partial aggregation collapses the lines of a hot
+    order or supplier before any shuffle); only then are they joined to the
+    order service, whose side has one row per order, so no join task ever
+    holds a hot order's lines.
     """
-    return (
+    pairs = (
         lines.select("order_id", "supplier_id")
         .filter(F.col("order_id").isNotNull() & F.col("supplier_id").isNotNull())
-        .join(service.select("order_id", flag_int("otif").alias("otif"), "backorder_units"), "order_id", "left")
         .groupBy("order_id", "supplier_id")
-        .agg(F.max("otif").alias("otif"), F.max("backorder_units").alias("backorder_units"))
+        .agg(F.count(F.lit(1)).alias("_lines"))
     )
+    return pairs.join(
+        service.select("order_id", flag_int("otif").alias("otif"), "backorder_units"), "order_id", "left"
+    ).drop("_lines")
 
 
 def supplier_risk_scorecard(lines: DataFrame, suppliers: DataFrame, service: DataFrame) -> DataFrame:
