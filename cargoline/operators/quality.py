@@ -6,7 +6,8 @@ The report is data -- (check, status, detail) rows -- built in one plan:
   violation counts at once (``count_if``), not one scan per check;
 * each key-uniqueness check is one shuffle on its key (``groupBy(key)``,
   NULL keys group together, as a dataframe ``duplicated`` does);
-* each reference check is one anti join of distinct keys;
+* the four reference checks on order lines share one scan and one anti
+  join of distinct (kind, key) pairs;
 * the one-row results are combined by one-row cross joins and exploded
   into the 38 report rows.
 
@@ -40,12 +41,38 @@ def _duplicates(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     )
 
 
-def _missing(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:
-    """One row: distinct child keys with no parent row (NULL never matches)."""
-    keys = child.select(F.col(fk).alias("_k")).distinct()
-    return keys.join(parent.select(F.col(pk).alias("_k")).distinct(), "_k", "left_anti").agg(
-        F.count(F.lit(1)).cast(T.LongType()).alias(name)
+def _references(lines: DataFrame, shipments: DataFrame, customers: DataFrame, products: DataFrame,
+                suppliers: DataFrame) -> DataFrame:
+    """One row with the five reference-check counts.
+
+    The order lines are scanned once: their distinct (kind, key) pairs -- order,
+    customer, product, supplier -- are anti-joined in one join against the
+    union of the parent keys.  The shipments' order ids are anti-joined against
+    the lines' distinct order ids.  NULL keys never match (they count as missing).
+    """
+    def kv(kind: str, c: str):
+        return F.struct(F.lit(kind).alias("ref"), F.col(c).cast("string").alias("k"))
+
+    line_keys = lines.select(F.explode(F.array(
+        kv("order", "order_id"), kv("customer", "customer_id"), kv("product", "sku"), kv("supplier", "supplier_id"),
+    )).alias("e")).select("e.*").distinct()
+    parents = (
+        shipments.select(kv("order", "order_id").alias("e"))
+        .unionByName(customers.select(kv("customer", "customer_id").alias("e")))
+        .unionByName(products.select(kv("product", "sku").alias("e")))
+        .unionByName(suppliers.select(kv("supplier", "supplier_id").alias("e")))
+        .select("e.*").distinct()
+    )
+    missing = line_keys.join(parents, ["ref", "k"], "left_anti").agg(
+        *[F.count_if(F.col("ref") == kind).cast(T.LongType()).alias(name) for kind, name in (
+            ("order", "r_order_shipment"), ("customer", "r_customer"), ("product", "r_product"),
+            ("supplier", "r_supplier"))]
     )
+    ship_orders = shipments.select(F.col("order_id").cast("string").alias("k")).distinct()
+    orphan = ship_orders.join(line_keys.filter(F.col("ref") == "order").select("k"), "k", "left_anti").agg(
+        F.count(F.lit(1)).cast(T.LongType()).alias("r_shipment_order")
+    )
+    return missing.crossJoin(orphan)
 
 
 def _row(*frames: DataFrame) -> DataFrame:
@@ -130,13 +157,7 @@ def data_quality_report(
         _duplicates(summary, ["metric"], "d_metric"),
         _duplicates(detail, ["order_id"], "d_detail_order"),
     )
-    refs = _row(
-        _missing(shipments, "order_id", lines, "order_id", "r_shipment_order"),
-        _missing(lines, "order_id", shipments, "order_id", "r_order_shipment"),
-        _missing(lines, "customer_id", customers, "customer_id", "r_customer"),
-        _missing(lines, "sku", products, "sku", "r_product"),
-        _missing(lines, "supplier_id", suppliers, "supplier_id", "r_supplier"),
-    )
+    refs = _references(lines, shipments, customers, products, suppliers)
     # --- ERP promise vs TMS promise ----------------------------------------
     erp = lines.groupBy("order_id").agg(
         F.countDistinct("promised_date").alias("_promises"), F.min("promised_date").alias("_erp_promise")

@@ -69,8 +69,8 @@ def _order_headers(orders: DataFrame) -> DataFrame:
     )
 
 
-def order_lines_with_size(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    """ERP order lines plus ``p_size`` (needed for shipment weights)."""
+def erp_order_lines(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+    """ERP order lines: lineitem x part x orders with the adapter's rules."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
     p = part.select("p_partkey", "p_retailprice", "p_size")
     ordered = F.col("l_quantity").cast(T.LongType())
@@ -96,20 +96,19 @@ def order_lines_with_size(lineitem: DataFrame, orders: DataFrame, part: DataFram
             unit_price.alias("unit_price"),
             cents_to_money(F.col("p_size") * 25).alias("unit_weight_kg"),
             (shipped * unit_price).cast(MONEY).alias("revenue"),
-            F.col("p_size"),
         )
     )
 
 
-def erp_order_lines(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
-    return order_lines_with_size(lineitem, orders, part).drop("p_size")
-
-
-def tms_shipments(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+def tms_shipments(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """One shipment per order except the open orders; weight and freight from
-    the order's shipped units (``wq`` = sum of shipped units x part size)."""
-    lines = order_lines_with_size(lineitem, orders, part)
-    wq = lines.groupBy("order_id").agg(F.sum(F.col("units_shipped") * F.col("p_size")).alias("wq"))
+    the order's shipped units.  ``wq`` = sum of shipped units x part size =
+    sum of shipped units x unit weight x 4 (unit weight is size / 4), so the
+    shipments derive from the order-line source itself -- no second pass over
+    the raw line items."""
+    wq = lines.groupBy("order_id").agg(
+        F.sum(F.col("units_shipped") * F.col("unit_weight_kg") * 4).cast(T.LongType()).alias("wq")
+    )
     heads = _order_headers(orders.filter(F.col("o_orderkey") % OPEN_ORDER_MOD != OPEN_ORDER_REST))
     h = (F.col("o_orderkey") * 13 + F.col("o_custkey") * 7) % 25
     delay = (
@@ -295,7 +294,15 @@ class TpchSources(Sources):
 
     @cached_property
     def tms_shipments(self) -> DataFrame:
-        return tms_shipments(self.table("lineitem"), self.table("orders"), self.table("part"))
+        return tms_shipments(self.erp_order_lines, self.table("orders"))
+
+    def rebase(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` (e.g. the written copy) for table ``name``; tables not
+        built yet derive from it."""
+        self.__dict__[name] = df
+
+    def intermediates(self) -> list[str]:
+        return ["demand_grid"]  # inventory snapshots and forecasts share it
 
     @cached_property
     def customers(self) -> DataFrame:

@@ -40,6 +40,14 @@ class Sources:
             df.createOrReplaceTempView(prefix + name)
         return self
 
+    def rebase(self, name: str, df: DataFrame) -> None:
+        """Use ``df`` (e.g. the written copy) for table ``name``."""
+        setattr(self, name, df)
+
+    def intermediates(self) -> list[str]:
+        """Derived tables several sources share (written once when materialising)."""
+        return []
+
     def replace(self, **tables: DataFrame) -> "Sources":
         data = self.as_dict()
         data.update(tables)
@@ -73,13 +81,23 @@ def read_parquet_sources(spark: SparkSession, folder: str) -> Sources:
 
 def write_parquet_sources(sources: Sources, folder: str, mode: str = "overwrite") -> None:
     """Write every table as parquet; order lines are partitioned by order month
-    so date filters prune files."""
+    so date filters prune files.  Order lines are written first and the
+    remaining tables are then derived from the written copy (``rebase``), so
+    nothing upstream of the lines is computed twice."""
     from pyspark.sql import functions as F
 
-    for name, df in sources.as_dict().items():
-        path = os.path.join(folder, SOURCE_FILES[name])
+    order = ["erp_order_lines"] + [n for n in SOURCE_FILES if n != "erp_order_lines"]
+    for name in order:
         if name == "erp_order_lines":
+            df = getattr(sources, name)
+            path = os.path.join(folder, SOURCE_FILES[name])
             (df.withColumn("order_month", F.trunc("order_date", "month"))
                .write.mode(mode).partitionBy("order_month").parquet(path))
+            spark = df.sparkSession
+            sources.rebase(name, spark.read.parquet(path).drop("order_month"))
+            for shared in sources.intermediates():  # e.g. the demand grid, from the written lines
+                shared_path = os.path.join(folder, "_" + shared)
+                getattr(sources, shared).write.mode(mode).parquet(shared_path)
+                sources.rebase(shared, spark.read.parquet(shared_path))
         else:
-            df.write.mode(mode).parquet(path)
+            getattr(sources, name).write.mode(mode).parquet(os.path.join(folder, SOURCE_FILES[name]))
