@@ -6,17 +6,19 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job in this library assumes.  On a cluster the operator of the
-# cluster sets most of these; ``configure`` only fills in what is unset.
-SESSION_DEFAULTS = {
+# Runtime settings the library's plans are tuned for.  They change how Spark
+# executes (adaptive re-planning, skew splitting), never what it computes, so
+# ``configure`` applies them to any session the library is handed.
+PERFORMANCE_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a skewed join partition even when that costs a shuffle downstream
     # (a key may hold a third of the rows)
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
+# Local sessions (tests, bench) also pin the session time zone.
+SESSION_DEFAULTS = {**PERFORMANCE_DEFAULTS, "spark.sql.session.timeZone": "UTC"}
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "cargoline") -> SparkSession:
@@ -39,9 +41,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply SESSION_DEFAULTS where the session leaves them unset."""
-    for key, value in SESSION_DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
+    """Apply PERFORMANCE_DEFAULTS (execution-only settings) to the session."""
+    for key, value in PERFORMANCE_DEFAULTS.items():
+        if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
 
