@@ -5,7 +5,6 @@ from cargoline.operators.inventory import (  # noqa: F401
     days_of_inventory,
     demand_grid,
     inventory_cover,
-    inventory_value_by_warehouse,
     stockout_exceptions,
     stockout_low_cover,
     warehouse_activity_rollup,

@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 
 from cargoline.functions.columns import (
     EXCEPTION_COVER_DAYS,
-    TOTAL_MONEY,
-    ratio,
     round_avg,
     severity,
     severity_rank,
@@ -95,11 +93,3 @@ def stockout_low_cover(inventory: DataFrame) -> DataFrame:
         round_avg(F.sum("average_daily_demand")).alias("total_average_daily_demand"),
     )
 
-
-def inventory_value_by_warehouse(inventory: DataFrame) -> DataFrame:
-    """Inventory value and units on hand per snapshot and warehouse."""
-    return inventory.groupBy("snapshot_date", "warehouse").agg(
-        F.sum("on_hand_units").cast(T.LongType()).alias("on_hand_units"),
-        F.sum("inventory_value").cast(TOTAL_MONEY).alias("inventory_value"),
-        ratio(F.count_if(F.col("on_hand_units") <= 0), F.count(F.lit(1))).alias("zero_stock_share"),
-    )

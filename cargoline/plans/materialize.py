@@ -14,6 +14,7 @@ import os
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from cargoline.plans.model import FulfillmentModel
 from cargoline.session import checkpoint_dir
@@ -40,6 +41,8 @@ class MaterializedModel(FulfillmentModel):
         base = FulfillmentModel(written, **options)
         for name in ("order_service", "mart_order_service"):
             path = os.path.join(folder, name)
-            getattr(base, name).write.mode("overwrite").parquet(path)
-            self.__dict__[name] = spark.read.parquet(path)  # fills the cached_property
+            # partitioned by order month: date filters on any mart prune files
+            (getattr(base, name).withColumn("order_month", F.trunc("order_date", "month"))
+             .write.mode("overwrite").partitionBy("order_month").parquet(path))
+            self.__dict__[name] = spark.read.parquet(path).drop("order_month")  # fills the cached_property
         self.folder = folder

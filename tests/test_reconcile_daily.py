@@ -156,3 +156,32 @@ def _otif_like(spark):
         if i != 5:
             ships.append((f"O{i}", "A", "2025-01-05" if i < 3 else "2025-01-07", 1, 1, 0, 1))
     return orders(spark, rows), shipments(spark, ships)
+
+
+def test_null_order_date_is_its_own_day(spark):
+    from pyspark.sql import types as T
+
+    from helpers import ORDER_SCHEMA
+
+    rows = [("O1", "C", "W", dt.date(2025, 1, 1), dt.date(2025, 1, 2), 1, 1, None),
+            ("O2", "C", "W", None, dt.date(2025, 1, 2), 1, 0, None),
+            ("O3", "C", "W", None, None, 2, 2, None)]
+    o = spark.createDataFrame(rows, ORDER_SCHEMA)
+    s = shipments(spark, [("O1", "A", "2025-01-02", 1, 0, 0, 1), ("O2", "A", "2025-01-02", 1, 0, 0, 1)])
+    mart = ops.mart_order_service(o, s)
+    daily = {r.order_date: r for r in ops.mart_daily_service(mart).collect()}
+    assert daily[None].orders == 2 and daily[None].rolling_30d_orders == 2
+    assert daily[dt.date(2025, 1, 1)].rolling_30d_orders == 1
+    frame = {r.order_id: r for r in ops.order_service(o, s).collect()}
+    assert frame["O2"].order_date is None and frame["O2"].lead_time_days is None
+    assert frame["O3"].on_time is False  # no promise and no delivery: late under the dataframe policy
+    del T
+
+
+def test_supplier_score_with_no_backorders_uses_floor(spark):
+    lines = spark.createDataFrame([("O1", "S1"), ("O2", "S2")], "order_id string, supplier_id string")
+    service = spark.createDataFrame([("O1", True, 0), ("O2", False, 0)], "order_id string, otif boolean, backorder_units long")
+    sup = spark.createDataFrame([("S1", "a", 5, "Medium"), ("S2", "b", 5, "Low")],
+                                "supplier_id string, supplier_name string, base_lead_time_days int, supplier_risk_tier string")
+    sc = {r.supplier_id: r.resilience_risk_score for r in ops.supplier_risk_scorecard(lines, sup, service).collect()}
+    assert abs(sc["S1"] - 0.15 * 0.15) < 1e-12 and abs(sc["S2"] - 0.6) < 1e-12
