@@ -721,6 +721,37 @@ FINAL = {
 }
 
 
+# Money columns (exact DECIMAL inside both engines) that each query hands over
+# as DOUBLE, the interchange type of the correctness check.
+MONEY_OUTPUTS = {
+    'carrier_scorecard': ('total_exception_cost',),
+    'critical_stockout_customers': ('customer_revenue',),
+    'customer_cost_to_serve': ('revenue', 'cost_to_serve'),
+    'days_of_inventory': ('inventory_value',),
+    'delivery_chronology': ('exception_cost',),
+    'erp_order_lines': ('unit_price', 'unit_weight_kg', 'revenue'),
+    'exception_cost_pareto': ('exception_cost',),
+    'exception_cost_pareto_by_warehouse': ('exception_cost',),
+    'exception_queue': ('cost_to_serve',),
+    'filtered_order_service': ('revenue', 'freight_cost', 'handling_cost', 'exception_cost', 'cost_to_serve', 'shipment_weight_kg'),
+    'freight_per_kg_by_carrier': ('freight_cost', 'shipment_weight_kg'),
+    'late_full_queue': ('cost_to_serve',),
+    'mart_carrier_scorecard': ('total_exception_cost',),
+    'mart_kpi_summary': ('total_cost_to_serve',),
+    'mart_order_service': ('revenue', 'freight_cost', 'handling_cost', 'exception_cost', 'shipment_weight_kg', 'cost_to_serve'),
+    'order_rollup': ('revenue',),
+    'order_service': ('revenue', 'freight_cost', 'handling_cost', 'exception_cost', 'cost_to_serve', 'shipment_weight_kg'),
+    'products': ('unit_price', 'unit_weight_kg'),
+    'service_by_region_segment': ('cost_to_serve',),
+    'shipment_weight': ('shipment_weight_kg',),
+    'stockout_exceptions': ('inventory_value',),
+    'tms_shipments': ('shipment_weight_kg', 'freight_cost', 'handling_cost', 'exception_cost'),
+    'warehouse_activity': ('labor_hours',),
+    'warehouse_productivity': ('labor_hours',),
+    'wms_inventory_snapshots': ('inventory_value',),
+}
+
+
 def _with(final: str) -> str:
     ctes = ",\n".join(f"{name} AS ({body}\n)" for name, body in CTES.items())
     body = final.strip()
@@ -729,5 +760,13 @@ def _with(final: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def _interchange(name: str, sql: str) -> str:
+    money = MONEY_OUTPUTS.get(name)
+    if not money:
+        return sql
+    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in money)
+    return f"SELECT * REPLACE ({casts}) FROM (\n{sql}\n) AS q"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: _with(final) for name, final in FINAL.items()}
+    return {name: _interchange(name, _with(final)) for name, final in FINAL.items()}

@@ -35,10 +35,28 @@ def model_for(spark: SparkSession, sf_dir: str, **options) -> FulfillmentModel:
     return FulfillmentModel(from_tpch(spark, sf_dir), **options)
 
 
+def interchange(df: DataFrame) -> DataFrame:
+    """Hand DECIMAL (exact money) columns over as DOUBLE.
+
+    Money stays DECIMAL inside every computation; only the frame handed to the
+    correctness check converts it, the same conversion of the same exact value
+    on both engines, so no consumer depends on how its client maps DECIMAL.
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    if not any(isinstance(f.dataType, T.DecimalType) for f in df.schema.fields):
+        return df
+    return df.select(*[
+        F.col(f.name).cast(T.DoubleType()).alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+        for f in df.schema.fields
+    ])
+
+
 def _model_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = getattr(model_for(spark, sf_dir), name)
-        return out() if callable(out) else out
+        return interchange(out() if callable(out) else out)
 
     run.__name__ = name
     return run
@@ -47,7 +65,7 @@ def _model_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 def _source_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
-        return getattr(from_tpch(spark, sf_dir), name)
+        return interchange(getattr(from_tpch(spark, sf_dir), name))
 
     run.__name__ = name
     return run

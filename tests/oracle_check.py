@@ -100,6 +100,8 @@ def compare(spark, sf_dir, con, name, fn, sql):
     close = exact or (len(s_rows) == len(d_rows) and all(
         len(a) == len(b) and all(_close(x, y) for x, y in zip(a, b)) for a, b in zip(s_rows, d_rows)))
     status = "OK" if exact and s_cols == d_cols_sorted else ("CLOSE" if close and s_cols == d_cols_sorted else "DIFF")
+    if status == "OK" and type_diff:
+        status = "TYPES"
     print(f"{status:5} {name}: rows {len(s_rows)}/{len(d_rows)} cols {'=' if s_cols == d_cols_sorted else 'DIFF'} "
           f"spark {t1 - t0:.1f}s duck {t2 - t1:.1f}s" + (f" types {type_diff}" if type_diff else ""), flush=True)
     if s_cols != d_cols_sorted:
