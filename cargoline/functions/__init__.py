@@ -20,5 +20,4 @@ from cargoline.functions.columns import (  # noqa: F401
     severity,
     severity_rank,
     tier_penalty,
-    violations,
 )

@@ -99,11 +99,6 @@ def non_negative(c: str | Column) -> Column:
     return holds((x >= 0) & ~F.isnan(as_double(x)))
 
 
-def violations(predicate: Column) -> Column:
-    """Aggregate: number of rows where ``predicate`` does not hold."""
-    return F.count_if(~holds(predicate))
-
-
 def severity(days_of_inventory: str | Column) -> Column:
     """Right-closed bands of days of cover; outside every band gives NULL."""
     d = col(days_of_inventory)

@@ -41,10 +41,6 @@ OPEN_ORDER_MOD, OPEN_ORDER_REST = 40, 7  # o_orderkey % 40 = 7 has no shipment
 SHORT_SHIP_MOD = 31  # a line ships short when (7 partkey + 3 suppkey + linenumber) % 31 = 0
 
 
-def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")) for t in DRIVER_TABLES}
-
-
 def _warehouse(orderkey: Column) -> Column:
     m = orderkey % 3
     return F.when(m == 0, WAREHOUSES[0]).when(m == 1, WAREHOUSES[1]).otherwise(WAREHOUSES[2])
