@@ -185,3 +185,34 @@ def test_supplier_score_with_no_backorders_uses_floor(spark):
                                 "supplier_id string, supplier_name string, base_lead_time_days int, supplier_risk_tier string")
     sc = {r.supplier_id: r.resilience_risk_score for r in ops.supplier_risk_scorecard(lines, sup, service).collect()}
     assert abs(sc["S1"] - 0.15 * 0.15) < 1e-12 and abs(sc["S2"] - 0.6) < 1e-12
+
+
+def test_hot_keys_match_brute_force(spark):
+    """One order, one carrier and one day hold a third of the rows; every
+    aggregate still equals a plain Python computation."""
+    rnd = random.Random(3)
+    line_rows, ship_rows = [], []
+    for i in range(900):
+        oid = "HOT" if i % 3 == 0 else f"O{i}"
+        day = "2025-02-01" if i % 3 == 0 else f"2025-01-{1 + i % 28:02d}"
+        u = rnd.randrange(1, 20)
+        line_rows.append((oid, "C1" if i % 3 == 0 else f"C{i % 17}", "W1", day, day, u, u - (i % 5 == 0), 1))
+    for oid in {r[0] for r in line_rows}:
+        ship_rows.append((oid, "A" if oid == "HOT" or hash(oid) % 3 == 0 else "B", "2025-02-01", 10, 1, 0, 5))
+    o = orders(spark, line_rows)
+    s = shipments(spark, ship_rows)
+    svc = {r.order_id: r for r in ops.order_service(o, s).collect()}
+    hot = [r for r in line_rows if r[0] == "HOT"]
+    assert svc["HOT"].units_ordered == sum(r[5] for r in hot)
+    assert svc["HOT"].units_shipped == sum(r[6] for r in hot)
+    assert len(svc) == len({r[0] for r in line_rows})
+    sup_lines = spark.createDataFrame([(r[0], "S-HOT" if r[0] == "HOT" else f"S{i % 4}") for i, r in enumerate(line_rows)],
+                                      "order_id string, supplier_id string")
+    sups = spark.createDataFrame([(x, x, 5, "Low") for x in ("S-HOT", "S0", "S1", "S2", "S3")],
+                                 "supplier_id string, supplier_name string, base_lead_time_days int, supplier_risk_tier string")
+    risk = {r.supplier_id: r for r in ops.supplier_risk_scorecard(sup_lines, sups, ops.order_service(o, s)).collect()}
+    assert risk["S-HOT"].orders == 1 and risk["S-HOT"].backorder_units == svc["HOT"].backorder_units
+    daily = {str(r.order_date): r for r in ops.mart_daily_service(ops.mart_order_service(o, s)).collect()}
+    assert daily["2025-02-01"].orders == 1  # the hot order is one order, however many lines
+    carriers = {r.carrier: r.orders for r in ops.carrier_scorecard(ops.order_service(o, s)).collect()}
+    assert sum(carriers.values()) == len(svc)
