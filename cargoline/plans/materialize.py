@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from cargoline.plans.model import FulfillmentModel
 from cargoline.session import checkpoint_dir
-from cargoline.sources.readers import Sources, read_parquet_sources, write_parquet_sources
+from cargoline.sources.readers import Sources, write_parquet_sources
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -26,9 +26,9 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def materialize_sources(spark: SparkSession, sources: Sources, folder: str | None = None) -> Sources:
+    """Write the sources under ``folder`` and return them reading the written files."""
     folder = folder or new_folder(spark, "sources")
-    write_parquet_sources(sources, folder)
-    return read_parquet_sources(spark, folder)
+    return write_parquet_sources(sources, folder, keep_projections=True)
 
 
 class MaterializedModel(FulfillmentModel):

@@ -300,6 +300,9 @@ class TpchSources(Sources):
     def intermediates(self) -> list[str]:
         return ["demand_grid"]  # inventory snapshots and forecasts share it
 
+    def projections(self) -> list[str]:
+        return ["wms_inventory_snapshots", "demand_forecasts"]  # row-wise over the grid
+
     @cached_property
     def customers(self) -> DataFrame:
         return customers(self.table("customer"), self.table("nation"), self.table("region"))

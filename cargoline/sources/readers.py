@@ -48,6 +48,11 @@ class Sources:
         """Derived tables several sources share (written once when materialising)."""
         return []
 
+    def projections(self) -> list[str]:
+        """Source tables that are cheap projections of a written intermediate
+        (left as projections when materialising instead of written again)."""
+        return []
+
     def replace(self, **tables: DataFrame) -> "Sources":
         data = self.as_dict()
         data.update(tables)
@@ -79,25 +84,37 @@ def read_parquet_sources(spark: SparkSession, folder: str) -> Sources:
     return Sources(**tables)
 
 
-def write_parquet_sources(sources: Sources, folder: str, mode: str = "overwrite") -> None:
-    """Write every table as parquet; order lines are partitioned by order month
-    so date filters prune files.  Order lines are written first and the
-    remaining tables are then derived from the written copy (``rebase``), so
-    nothing upstream of the lines is computed twice."""
+def write_parquet_sources(sources: Sources, folder: str, mode: str = "overwrite",
+                          keep_projections: bool = False) -> Sources:
+    """Write the tables as parquet and point ``sources`` at the written copies.
+
+    Order lines are written first (partitioned by order month, so date filters
+    prune files); tables derived from them are then built from the written
+    copy, so nothing upstream of the lines is computed twice.  Shared
+    intermediates (e.g. the demand grid) are written once.  With
+    ``keep_projections`` (materialisation) tables that are mere projections of
+    an intermediate stay projections over its written files; by default every
+    table is written, so the folder is a complete, re-readable extract.
+    """
     from pyspark.sql import functions as F
 
+    spark = sources.erp_order_lines.sparkSession
     order = ["erp_order_lines"] + [n for n in SOURCE_FILES if n != "erp_order_lines"]
+    skip = set(sources.projections()) if keep_projections else set()
     for name in order:
+        if name in skip:
+            continue
+        df = getattr(sources, name)
+        path = os.path.join(folder, SOURCE_FILES[name])
         if name == "erp_order_lines":
-            df = getattr(sources, name)
-            path = os.path.join(folder, SOURCE_FILES[name])
             (df.withColumn("order_month", F.trunc("order_date", "month"))
                .write.mode(mode).partitionBy("order_month").parquet(path))
-            spark = df.sparkSession
             sources.rebase(name, spark.read.parquet(path).drop("order_month"))
             for shared in sources.intermediates():  # e.g. the demand grid, from the written lines
                 shared_path = os.path.join(folder, "_" + shared)
                 getattr(sources, shared).write.mode(mode).parquet(shared_path)
                 sources.rebase(shared, spark.read.parquet(shared_path))
         else:
-            getattr(sources, name).write.mode(mode).parquet(os.path.join(folder, SOURCE_FILES[name]))
+            df.write.mode(mode).parquet(path)
+            sources.rebase(name, spark.read.parquet(path))
+    return sources
