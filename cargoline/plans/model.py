@@ -213,6 +213,22 @@ class FulfillmentModel:
         )
 
 
+VIEW_NAMES = (
+    "order_service", "mart_order_service", "kpi_summary", "mart_kpi_summary", "carrier_scorecard",
+    "mart_carrier_scorecard", "mart_daily_service", "customer_cost_to_serve", "stockout_exceptions",
+    "supplier_risk_scorecard", "reconcile_metrics", "data_quality_report",
+)
+
+
+def register_views(model: FulfillmentModel, prefix: str = "") -> FulfillmentModel:
+    """Expose the sources and the main outputs as temp views, so the marts can be
+    queried with Spark SQL (``spark.sql("select * from mart_kpi_summary")``)."""
+    model.src.register(prefix)
+    for name in VIEW_NAMES:
+        getattr(model, name).createOrReplaceTempView(prefix + name)
+    return model
+
+
 # A representative dashboard filter: two years, two warehouses, two carriers.
 DEFAULT_FILTERS = ops.Filters(
     date_from=dt.date(1996, 1, 1), date_to=dt.date(1997, 12, 31),

@@ -65,6 +65,9 @@ def run_refresh(
         _write(df, path, csv)
         written[name] = path
     if raise_on_fail:
+        duplicates = model.mart_grain_check.collect()[0].duplicate_orders  # one row
+        if duplicates:
+            raise RuntimeError(f"SQL mart grain failed: {duplicates} duplicate order(s)")
         report = spark.read.parquet(written["data_quality_report"])
         failed = [r.check for r in report.filter(F.col("status") != "PASS").select("check").collect()]  # <= 38 rows
         if failed:

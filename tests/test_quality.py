@@ -77,3 +77,13 @@ def test_reconciliation_flags_policy_difference(model):
 
 def test_grain_check_passes(model):
     assert model.mart_grain_check.collect()[0].duplicate_orders == 0
+
+
+def test_views_are_queryable_with_spark_sql(model, spark):
+    from cargoline.plans.model import register_views
+
+    register_views(model, prefix="t_")
+    row = spark.sql("SELECT total_orders, otif_rate FROM t_mart_kpi_summary").collect()[0]
+    assert row.total_orders == model.mart_kpi_summary.collect()[0].total_orders
+    n = spark.sql("SELECT count(*) AS n FROM t_erp_order_lines").collect()[0].n
+    assert n == model.src.erp_order_lines.count()
