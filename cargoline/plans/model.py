@@ -3,9 +3,9 @@
 ``FulfillmentModel`` wires operators to the eight sources.  Each output is
 built once per model (``functools.cached_property``), so outputs that share an
 input -- five outputs read the order service -- share the same logical plan
-and Spark's exchange reuse applies inside one query.  Across queries, call
-``materialize()`` to write the order-grain tables to the shared checkpoint
-folder and cut the lineage (see ``cargoline.plans.materialize``).
+and Spark's exchange reuse applies inside one query.  Across queries, use
+``cargoline.plans.materialize.MaterializedModel``: it writes the sources and
+the order-grain tables to the shared checkpoint folder and cuts the lineage.
 """
 from __future__ import annotations
 
