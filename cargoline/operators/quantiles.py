@@ -65,10 +65,11 @@ def percentile_cont(
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
 
     # Bracket half-widths (in quantile units), narrowest first.  A group uses
-    # the narrowest one that spans at least 3 ranks on each side of the
-    # target: 4/accuracy for big groups (the sketch's rank error is n/accuracy),
-    # wider ones for small groups where one rank is a large share; the last is
-    # the whole range (min..max) for groups of a handful of values.
+    # the narrowest one spanning at least 8 ranks on each side of the target:
+    # with half-width m >= 4/accuracy the sketch's rank error (n/accuracy) plus
+    # the floor/ceil of the target take at most m*n/4 + 2 of them.  Wider ones
+    # serve small groups, where one rank is a large share; the last is the
+    # whole range (min..max) for groups of a handful of values.
     margins = sorted({4.0 / accuracy, 16.0 / accuracy, 64.0 / accuracy, 1 / 64, 1 / 16, 1 / 4} - {0.0})
     margins = [m for m in margins if m >= 4.0 / accuracy and m < 1.0] + [1.0]
     probs = []
@@ -86,7 +87,7 @@ def percentile_cont(
     for i in reversed(range(len(margins))):
         lo_i = F.col("_min") if probs[2 * i] <= 0.0 else F.col("_b")[2 * i]
         hi_i = F.col("_max") if probs[2 * i + 1] >= 1.0 else F.col("_b")[2 * i + 1]
-        wide_enough = F.lit(margins[i]) * F.col("_n") >= 3
+        wide_enough = F.lit(margins[i]) * F.col("_n") >= 8
         if pick_lo is None:
             pick_lo, pick_hi = lo_i, hi_i
         else:
