@@ -53,6 +53,12 @@ class Filters:
             preds.append(F.col(self.date_column) >= F.lit(self.date_from))
         if self.date_to is not None:
             preds.append(F.col(self.date_column) <= F.lit(self.date_to))
+        if self.date_column == "order_date" and "order_month" in columns:
+            # the month partition column of materialised tables: prunes whole files
+            if self.date_from is not None:
+                preds.append(F.col("order_month") >= F.trunc(F.lit(self.date_from), "month"))
+            if self.date_to is not None:
+                preds.append(F.col("order_month") <= F.trunc(F.lit(self.date_to), "month"))
         for f in fields(self):
             if f.name in ("date_from", "date_to", "date_column"):
                 continue

@@ -36,6 +36,7 @@ class MaterializedModel(FulfillmentModel):
 
     def __init__(self, spark: SparkSession, sources: Sources, folder: str | None = None, **options):
         folder = folder or new_folder(spark, "model")
+        self._by_month = {}
         written = materialize_sources(spark, sources, os.path.join(folder, "sources"))
         super().__init__(written, **options)
         base = FulfillmentModel(written, **options)
@@ -44,5 +45,13 @@ class MaterializedModel(FulfillmentModel):
             # partitioned by order month: date filters on any mart prune files
             (getattr(base, name).withColumn("order_month", F.trunc("order_date", "month"))
              .write.mode("overwrite").partitionBy("order_month").parquet(path))
-            self.__dict__[name] = spark.read.parquet(path).drop("order_month")  # fills the cached_property
+            self._by_month[name] = spark.read.parquet(path)
+            self.__dict__[name] = self._by_month[name].drop("order_month")  # fills the cached_property
         self.folder = folder
+
+    def filtered_order_service(self, filters=None):
+        """O35 over the month-partitioned table: date filters prune partitions."""
+        from cargoline import operators as ops
+        from cargoline.plans.model import DEFAULT_FILTERS
+
+        return ops.apply_filters(self._by_month["order_service"], filters or DEFAULT_FILTERS).drop("order_month")
