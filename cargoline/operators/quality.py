@@ -4,8 +4,8 @@ The report is data -- (check, status, detail) rows -- built in one plan:
 
 * one aggregate pass per source table computes all of its row-predicate
   violation counts at once (``count_if``), not one scan per check;
-* each key-uniqueness check is one shuffle on its key (``groupBy(key)``,
-  NULL keys group together, as a dataframe ``duplicated`` does);
+* the ten key-uniqueness checks share one shuffle of (check, key) pairs
+  (NULL keys group together, as a dataframe ``duplicated`` does);
 * the four reference checks on order lines share one scan and one anti
   join of distinct (kind, key) pairs;
 * the one-row results are combined by one-row cross joins and exploded
@@ -34,11 +34,23 @@ def mart_grain_check(mart: DataFrame, key: str = "order_id") -> DataFrame:
     )
 
 
-def _duplicates(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """One row: number of key values that occur more than once."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
-        F.count_if(F.col("_n") > 1).cast(T.LongType()).alias(name)
-    )
+def _duplicates(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
+    """One row, one column per check: the number of key values that occur more
+    than once in its table.
+
+    All tables' keys travel in one shuffle: each row becomes (check, key) with
+    the key columns joined into one string (NULL kept distinct from every
+    value, and NULL keys group together as a dataframe ``duplicated`` does);
+    one aggregate counts rows per (check, key) with map-side partial counts.
+    """
+    sep, null = "\u001f", "\u0000"
+    union = None
+    for name, df, keys in checks:
+        key = F.concat_ws(sep, *[F.coalesce(F.col(k).cast("string"), F.lit(null)) for k in keys])
+        part = df.select(F.lit(name).alias("_check"), key.alias("_key"))
+        union = part if union is None else union.unionByName(part)
+    repeated = union.groupBy("_check", "_key").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    return repeated.agg(*[F.count_if(F.col("_check") == name).cast(T.LongType()).alias(name) for name, _, _ in checks])
 
 
 def _references(lines: DataFrame, shipments: DataFrame, customers: DataFrame, products: DataFrame,
@@ -145,18 +157,18 @@ def data_quality_report(
         ),
     )
     # --- keys --------------------------------------------------------------
-    dups = _row(
-        _duplicates(customers, ["customer_id"], "d_customer"),
-        _duplicates(suppliers, ["supplier_id"], "d_supplier"),
-        _duplicates(products, ["sku"], "d_product"),
-        _duplicates(lines, ["order_line_id"], "d_order_line"),
-        _duplicates(shipments, ["order_id"], "d_shipment_order"),
-        _duplicates(inventory, ["snapshot_date", "warehouse", "sku"], "d_inventory"),
-        _duplicates(forecasts, ["month", "warehouse", "sku"], "d_forecast"),
-        _duplicates(activity, ["activity_date", "warehouse"], "d_activity"),
-        _duplicates(summary, ["metric"], "d_metric"),
-        _duplicates(detail, ["order_id"], "d_detail_order"),
-    )
+    dups = _duplicates([
+        ("d_customer", customers, ["customer_id"]),
+        ("d_supplier", suppliers, ["supplier_id"]),
+        ("d_product", products, ["sku"]),
+        ("d_order_line", lines, ["order_line_id"]),
+        ("d_shipment_order", shipments, ["order_id"]),
+        ("d_inventory", inventory, ["snapshot_date", "warehouse", "sku"]),
+        ("d_forecast", forecasts, ["month", "warehouse", "sku"]),
+        ("d_activity", activity, ["activity_date", "warehouse"]),
+        ("d_metric", summary, ["metric"]),
+        ("d_detail_order", detail, ["order_id"]),
+    ])
     refs = _references(lines, shipments, customers, products, suppliers)
     # --- ERP promise vs TMS promise ----------------------------------------
     erp = lines.groupBy("order_id").agg(

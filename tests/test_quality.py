@@ -87,3 +87,13 @@ def test_views_are_queryable_with_spark_sql(model, spark):
     assert row.total_orders == model.mart_kpi_summary.collect()[0].total_orders
     n = spark.sql("SELECT count(*) AS n FROM t_erp_order_lines").collect()[0].n
     assert n == model.src.erp_order_lines.count()
+
+
+def test_duplicate_counter_null_and_composite_keys(spark):
+    from cargoline.operators.quality import _duplicates
+
+    a = spark.createDataFrame([(1, None), (1, None), (2, None), (None, None), (2, "x")], "k int, j string")
+    b = spark.createDataFrame([(None,), (3,), (3,), (3,)], "k int")
+    c = spark.createDataFrame([(5,)], "k int")
+    row = _duplicates([("a", a, ["k", "j"]), ("b", b, ["k"]), ("c", c, ["k"])]).collect()[0]
+    assert (row.a, row.b, row.c) == (1, 1, 0)  # (1, NULL) repeats; 3 repeats; a single NULL is unique
