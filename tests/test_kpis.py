@@ -199,3 +199,24 @@ def test_reference_score_fixture(spark):
                                 "supplier_id string, supplier_name string, base_lead_time_days int, supplier_risk_tier string")
     r = ops.supplier_risk_scorecard(lines, sup, service).collect()[0]
     assert r.otif_rate == 0.5625 and abs(r.resilience_risk_score - 0.5125) < 1e-12
+
+
+def test_dashboard_filters(spark):
+    import datetime as dt
+
+    import pytest
+
+    view = spark.createDataFrame(
+        [("O1", dt.date(2025, 1, 3), "W1", "A", "North"), ("O2", dt.date(2025, 2, 3), "W2", "B", "South"),
+         ("O3", dt.date(2025, 3, 3), "W1", "A", "North")],
+        "order_id string, order_date date, warehouse string, carrier string, region string",
+    )
+    f = ops.Filters(date_from=dt.date(2025, 1, 1), date_to=dt.date(2025, 2, 28), warehouse=["W1", "W2"], carrier=["A"])
+    assert [r.order_id for r in ops.apply_filters(view, f).collect()] == ["O1"]
+    assert ops.apply_filters(view, ops.Filters(region=["South"])).count() == 1
+    assert ops.apply_filters(view, None).count() == 3
+    with pytest.raises(ValueError, match="severity"):
+        ops.apply_filters(view, ops.Filters(severity=["Critical"]))
+    with_month = view.withColumn("order_month", F.trunc("order_date", "month"))
+    pred = f.predicate(with_month.columns)
+    assert "order_month" in str(pred)
