@@ -35,6 +35,7 @@ from cargoline.operators.scorecards import (  # noqa: F401
 )
 from cargoline.operators.service import (  # noqa: F401
     delivery_chronology,
+    frame_rollup,
     mart_order_service,
     order_rollup,
     order_service,

@@ -78,11 +78,27 @@ def _unique_shipments(shipments: DataFrame) -> DataFrame:
     return grouped.filter(guard.isNull()).drop("_shipments")
 
 
-def order_service(lines: DataFrame, shipments: DataFrame, validate: bool = True) -> DataFrame:
-    """O2: order service detail under the dataframe policy."""
+def frame_rollup(mart_rollup: DataFrame) -> DataFrame:
+    """The dataframe-policy rollup derived from the SQL-policy one: drop the
+    NULL order id group, missing sums become 0.  Lets both marts share one
+    aggregation of the order lines."""
+    zero = {"units_ordered": T.LongType(), "units_shipped": T.LongType(), "revenue": TOTAL_MONEY}
+    return mart_rollup.filter(F.col("order_id").isNotNull()).select(*[
+        F.coalesce(F.col(c), F.lit(0).cast(zero[c])).alias(c) if c in zero else F.col(c) for c in mart_rollup.columns
+    ])
+
+
+def order_service(lines: DataFrame, shipments: DataFrame, validate: bool = True,
+                  rollup: DataFrame | None = None) -> DataFrame:
+    """O2: order service detail under the dataframe policy.
+
+    ``rollup`` may pass the SQL-policy rollup (``order_rollup(lines)``) that the
+    mart also uses, so the lines are aggregated once for both.
+    """
     ship = shipments.select(*SHIPMENT_COLUMNS).filter(F.col("order_id").isNotNull())
     ship = _unique_shipments(ship) if validate else ship
-    joined = order_rollup(lines, "frame").join(ship, "order_id", "left")
+    roll = order_rollup(lines, "frame") if rollup is None else frame_rollup(rollup)
+    joined = roll.join(ship, "order_id", "left")
     weight = F.col("shipment_weight_kg")
     return joined.select(
         "order_id", "customer_id", "warehouse", "order_date", "promised_date",
@@ -102,10 +118,10 @@ def order_service(lines: DataFrame, shipments: DataFrame, validate: bool = True)
     )
 
 
-def mart_order_service(lines: DataFrame, shipments: DataFrame) -> DataFrame:
+def mart_order_service(lines: DataFrame, shipments: DataFrame, rollup: DataFrame | None = None) -> DataFrame:
     """O3: order service mart under the SQL policy (no one-to-one guard)."""
     ship = shipments.select(*SHIPMENT_COLUMNS)
-    roll = order_rollup(lines, "mart")
+    roll = order_rollup(lines, "mart") if rollup is None else rollup
     # NULL order ids stay a group of their own but match no shipment, as with ``using``.
     joined = roll.join(ship, "order_id", "left")
     in_full = F.col("units_shipped") >= F.col("units_ordered")

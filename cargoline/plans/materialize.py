@@ -40,6 +40,10 @@ class MaterializedModel(FulfillmentModel):
         written = materialize_sources(spark, sources, os.path.join(folder, "sources"))
         super().__init__(written, **options)
         base = FulfillmentModel(written, **options)
+        # the order rollup is written once; both order-grain marts read it
+        roll_path = os.path.join(folder, "order_rollup")
+        base.order_rollup.write.mode("overwrite").parquet(roll_path)
+        base.__dict__["order_rollup"] = self.__dict__["order_rollup"] = spark.read.parquet(roll_path)
         for name in ("order_service", "mart_order_service"):
             path = os.path.join(folder, name)
             # partitioned by order month: date filters on any mart prune files

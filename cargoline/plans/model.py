@@ -31,11 +31,12 @@ class FulfillmentModel:
 
     @cached_property
     def order_service(self) -> DataFrame:
-        return ops.order_service(self.src.erp_order_lines, self.src.tms_shipments)
+        # both marts share one aggregation of the order lines
+        return ops.order_service(self.src.erp_order_lines, self.src.tms_shipments, rollup=self.order_rollup)
 
     @cached_property
     def mart_order_service(self) -> DataFrame:
-        return ops.mart_order_service(self.src.erp_order_lines, self.src.tms_shipments)
+        return ops.mart_order_service(self.src.erp_order_lines, self.src.tms_shipments, rollup=self.order_rollup)
 
     # --- headline KPIs ----------------------------------------------------
     @cached_property
