@@ -191,11 +191,11 @@ def test_supplier_risk_score(spark):
 
 def test_reference_score_fixture(spark):
     """otif 0.5625, backorder share 1, tier Low -> 0.5125."""
-    lines = spark.createDataFrame([(f"O{i}", "SUP015") for i in range(16)], "order_id string, supplier_id string")
+    lines = spark.createDataFrame([(f"O{i}", "S-TOP") for i in range(16)], "order_id string, supplier_id string")
     service = spark.createDataFrame(
         [(f"O{i}", i < 9, 10 if i == 0 else 0) for i in range(16)], "order_id string, otif boolean, backorder_units long"
     )
-    sup = spark.createDataFrame([("SUP015", "x", 5, "Low")],
+    sup = spark.createDataFrame([("S-TOP", "x", 5, "Low")],
                                 "supplier_id string, supplier_name string, base_lead_time_days int, supplier_risk_tier string")
     r = ops.supplier_risk_scorecard(lines, sup, service).collect()[0]
     assert r.otif_rate == 0.5625 and abs(r.resilience_risk_score - 0.5125) < 1e-12
