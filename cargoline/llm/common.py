@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 import os
+import sys
+import types
 import uuid
 
 import numpy as np
@@ -23,6 +25,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def per_worker(key: tuple, make):
+    """``make()``, kept in the Python worker process from task to task."""
+    held = sys.modules.setdefault("cargoline_llm_worker", types.ModuleType("cargoline_llm_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -80,8 +90,14 @@ class WordHasher:
         prefix = np.zeros(len(buf) + 1, np.uint64)
         with np.errstate(over="ignore"):
             np.cumsum(self.value[buf] * self.up[: len(buf)], out=prefix[1:], dtype=np.uint64)
-            raw = (prefix[ends] - prefix[starts]) * self.down[starts]
-            return starts, ends, mix64(raw + (ends - starts).astype(np.uint64))
+            self.prefix = prefix
+            return starts, ends, self.between(starts, ends)
+
+    def between(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the byte ranges [start, end) of the buffer hashed last."""
+        with np.errstate(over="ignore"):
+            raw = (self.prefix[ends] - self.prefix[starts]) * self.down[starts]
+            return mix64(raw + (ends - starts).astype(np.uint64))
 
 
 def ascii_fold() -> np.ndarray:

@@ -16,6 +16,23 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargoline.llm.decontaminate import contamination
+
+    out = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from cargoline.llm.token_counts import count_tokens
+
+    out = count_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.drop("text")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -35,6 +52,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargoline.llm.syncmers import fingerprint_edits
+
+    return fingerprint_edits(read_table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cargoline.llm.line_dedup import dedup_lines
 
@@ -42,5 +65,18 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op5_best_fit_packing, op6_sharding, op8_line_dedup)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargoline.llm.toxicity import OPERATING_POINT, score_toxicity, train_toxicity
+
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").where(remainder("doc_id", 4) != 2)
+    model = train_toxicity(docs, labels, lang_col="lang")
+    out = score_toxicity(docs.select("doc_id", "text", "lang"), model, lang_col="lang")
+    return out.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score",
+                      (F.col("score") >= OPERATING_POINT).cast("int").alias("predicted"), "threshold", "toxic")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_decontamination, op3_token_counts, op5_best_fit_packing, op6_sharding, op7_fingerprints,
+    op8_line_dedup, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}

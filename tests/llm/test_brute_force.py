@@ -102,3 +102,82 @@ def test_op8(docs, result):
     rows = result("op8_line_dedup")
     assert {r["doc_id"]: (r["n_lines"], r["n_dropped"], r["kept_sha256"]) for r in rows} == want and len(rows) == len(want)
     assert sum(k for _, k, _ in want.values()) > 0
+
+
+def ascii_words(text):
+    import re
+
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(fold))
+
+
+def brute_contamination(docs, items):
+    windows = defaultdict(set)
+    for item, text in items.items():
+        w = ascii_words(text)
+        n = min(10, len(w))
+        for i in range(len(w) - n + 1 if n else 0):
+            windows[tuple(w[i: i + n])].add(str(item))
+    sizes = sorted({len(w) for w in windows})
+    out = {}
+    for d, text in docs.items():
+        w, hit, found = ascii_words(text), set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if (k := tuple(w[i: i + n])) in windows:
+                    hit.update(range(i, i + n))
+                    found |= windows[k]
+        out[d] = (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit))
+    return out
+
+
+def test_op2(spark, docs, result):
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
+    want = brute_contamination({d: r["text"] for d, r in docs.items()}, items)
+    rows = result("op2_decontamination")
+    assert {r["doc_id"]: tuple(r)[1:] for r in rows} == want and len(rows) == len(want)
+    assert sum(x[-1] for x in want.values()) > 0
+
+
+def test_op3(docs, result):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = result("op3_token_counts")
+    assert len(rows) == len(docs)
+    for r in rows:
+        text = docs[r["doc_id"]]["text"] or ""
+        n = len(tok.encode(text, add_special_tokens=False).ids)
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(text.encode()), n, n > 1024)
+
+
+def test_op7(docs, result):
+    order = sorted(docs)
+    texts = {d: r["text"] or "" for d, r in docs.items()}
+    rows = {r["doc_id"]: r for r in result("op7_fingerprints")}
+    assert sorted(rows) == order
+    by_text = defaultdict(set)
+    for d, after in zip(order, order[1:] + order[:1]):
+        t = texts[d]
+        half = len(t) // 2
+        edited = t[: len(t) - half] + texts[after][:half]
+        r = rows[d]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        by_text[t].add(r["fingerprint"])
+        by_text[edited].add(r["edited_fingerprint"])
+        sets = [set(f[i: i + 8] for i in range(0, len(f), 8)) for f in (r["fingerprint"], r["edited_fingerprint"], rows[after]["fingerprint"])]
+        assert r["near_edited"] == pytest.approx(len(sets[0] & sets[1]) / len(sets[0] | sets[1]) if sets[0] | sets[1] else 1.0)
+        assert r["near_next"] == pytest.approx(len(sets[0] & sets[2]) / len(sets[0] | sets[2]) if sets[0] | sets[2] else 1.0)
+    assert all(len(v) == 1 for v in by_text.values())
+    long = [r for d, r in rows.items() if len(texts[d].split()) > 100]
+    assert sum(r["near_edited"] > r["near_next"] for r in long) / len(long) > 0.9
+
+
+def test_op10(spark, docs, result):
+    rows = {r["doc_id"]: r for r in result("op10_toxicity")}
+    assert sorted(rows) == sorted(docs)
+    for d, r in rows.items():
+        assert r["held_out"] == (zlib.crc32(str(d).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
