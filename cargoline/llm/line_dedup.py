@@ -126,7 +126,7 @@ def line_keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
         .where(F.col("n_docs") >= min_docs)
     )
     drops = judged.where("settled").select("doc", "version", "pos").unionByName(
-        cut.join(settled_now, ["h1", "h2"]).where("doc <> keeper").select("doc", "version", "pos"))
+        cut.join(F.broadcast(settled_now), ["h1", "h2"]).where("doc <> keeper").select("doc", "version", "pos"))
     return drops.groupBy("doc", "version").agg(F.sort_array(F.collect_set("pos")).alias("drop")).select(
         "doc", "version", F.size("drop").cast("long").alias("n_dropped"), _pack_drops("drop").alias("keep"))
 
