@@ -127,3 +127,21 @@ def slices(offsets: np.ndarray, budget: int):
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + budget, "right")) - 1)
         yield a, min(b, n)
         a = min(b, n)
+
+
+def short_keys(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(which, low, high): the ranges under 16 bytes, each held exactly by two 64-bit words."""
+    which = np.flatnonzero(lengths < 16)
+    padded = np.concatenate([buf, np.zeros(16, np.uint8)])
+    words = np.lib.stride_tricks.sliding_window_view(padded, 16)[starts[which]].copy()
+    words[np.arange(16) >= lengths[which, None]] = 0
+    words[:, 15] = lengths[which]
+    low, high = np.ascontiguousarray(words).view(np.uint64).T if len(which) else np.zeros((2, 0), np.uint64)
+    return which, low, high
+
+
+def group_keys(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, inverse, odd): one place per distinct key, the key of each place, and the
+    places whose key shares its hash with another one (to be handled singly)."""
+    _, first, inverse = np.unique(mix64(low + mix64(high)), return_index=True, return_inverse=True)
+    return first, inverse, np.flatnonzero((low != low[first][inverse]) | (high != high[first][inverse]))

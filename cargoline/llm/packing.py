@@ -9,6 +9,7 @@ bins are open, the fullest one closes.
 """
 from __future__ import annotations
 
+import json
 import math
 import zlib
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoline.llm.common import slices, text_bytes, written
+from cargoline.llm.common import group_keys, per_worker, short_keys, slices, text_bytes, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -58,47 +59,137 @@ class BestFit:
         return number, self.capacity - free
 
 
+#: what the splitter below reproduces; any other pipeline goes to the library text by text
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: below this code point no character composes with its neighbour, and all but the dotted
+#: capital I become one character in lower case
+_PLAIN_BELOW = 0x300
+_DOTTED_I = "\u0130".encode()
+
+
 class WordIds:
-    """Token ids of whole texts; words between blanks are tokenized once and remembered.
+    """Token ids of whole texts by a BPE with word ends, remembered by pre-token.
 
-    Right for tokenizers whose normalizer and splitter never look across a blank or a
-    line end and drop both (``check`` compares with the library on a text).
+    Texts of code points below U+0300 are split here in numpy, as the file's own pattern
+    does after lowering, and every distinct pre-token goes once through the library's
+    model.  Texts with other code points or with a special token's string go through the
+    library as a whole.
     """
 
-    def __init__(self, path: str, remember: int = 400_000):
+    def __init__(self, path: str, remember: int = 300_000):
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        spec = json.loads(self.tokenizer.to_str())
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        split = (spec["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.known_form = (steps == ["NFC", "Replace", "Lowercase"] and split[0].get("pattern") == {"Regex": _PATTERN}
+                           and [x["type"] for x in split] == ["Split", "ByteLevel"])
+        self.marks = [t["content"].encode() for t in spec["added_tokens"]]
+        self.kind = np.zeros(_PLAIN_BELOW, np.uint8)  # 0 other, 1 letter, 2 number, 3 white space
+        for c in range(_PLAIN_BELOW):
+            for kind, pattern in ((1, r"\p{L}"), (2, r"\p{N}"), (3, r"\s")):
+                if regex.fullmatch(pattern, chr(c)):
+                    self.kind[c] = kind
+        letters = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]  # the format's stand-ins of bytes
+        rest = [b for b in range(256) if b not in set(letters)]
+        self.letters = {b: chr(b) for b in letters} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.remember = remember
         self._clear()
 
     def _clear(self):
-        self.number: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.number: dict[bytes, int] = {}
+        self.begin: list[int] = []
+        self.size: list[int] = []
+        self.flat = np.empty(1 << 20, np.uint32)
+        self.used = 0
+
+    def _pre_tokens(self, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Starts of the pre-tokens (runs of white space among them) of texts joined in ``codes``."""
+        kind = self.kind[codes]
+        begins = np.empty(len(codes), bool)
+        begins[0] = True
+        np.not_equal(kind[1:], kind[:-1], out=begins[1:])
+        begins |= kind == 2
+        begins[bounds[:-1][bounds[:-1] < len(codes)]] = True
+        quotes = np.flatnonzero((codes == ord("'")) & begins)
+        if len(quotes):
+            ends = bounds[np.searchsorted(bounds, quotes, "right")]
+            at = lambda i: np.where(quotes + i < ends, codes[np.minimum(quotes + i, len(codes) - 1)] | 32, 0)
+            one, two = at(1), at(2)
+            letter = lambda c, s: np.isin(c, [ord(x) for x in s])
+            short = letter(one, "stmd") & (self.kind[np.minimum(one, _PLAIN_BELOW - 1)] == 1)
+            long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+            for which, n in ((short, 2), (long & ~short, 3)):
+                q = quotes[which]
+                for i in range(1, n):
+                    begins[q + i] = False
+                begins[(q + n)[q + n < len(codes)]] = True
+        return np.flatnonzero(begins)
 
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of ``texts`` one after the other, and the number of ids of each."""
+    def _code(self, piece: bytes) -> int:
+        code = self.number.get(piece)
+        if code is None:
+            code = self.number[piece] = len(self.begin)
+            mapped = "".join([self.letters[b] for b in piece.decode().lower().encode()])
+            ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
+            if self.used + len(ids) > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)])
+            self.flat[self.used: self.used + len(ids)] = ids
+            self.begin.append(self.used)
+            self.size.append(len(ids))
+            self.used += len(ids)
+        return code
+
+    def __call__(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the UTF-8 texts buf[offsets[i]:offsets[i + 1]] one after the other, and the number of ids of each."""
+        n = len(offsets) - 1
+        if not self._plain(buf):
+            return self._by_text(buf, offsets)
+        if not len(buf):
+            return np.empty(0, np.uint32), np.zeros(n, np.int64)
         if len(self.number) > self.remember:
             self._clear()
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = [w for w in dict.fromkeys(x for row in words for x in row) if w not in self.number]
-        for w, enc in zip(fresh, self.tokenizer.encode_batch(fresh, add_special_tokens=False)):
-            self.number[w] = len(self.ids)
-            self.ids.append(np.array(enc.ids, np.uint32))
-        number = self.number
-        code = np.fromiter((number[x] for row in words for x in row), np.int64)
-        used, code = np.unique(code, return_inverse=True)
-        sizes = np.array([len(self.ids[u]) for u in used], np.int64)
-        table = np.concatenate([self.ids[u] for u in used]) if len(used) else np.empty(0, np.uint32)
-        begin = np.cumsum(sizes) - sizes
-        n = sizes[code]
-        last = np.cumsum(n)
-        ids = table[np.arange(last[-1] if len(last) else 0) - np.repeat(last - n - begin[code], n)]
-        cuts = np.cumsum([len(row) for row in words]) - 1
-        totals = last[cuts] if len(last) else np.zeros(len(texts), np.int64)
-        return ids, np.diff(totals, prepend=0)
+        data = buf.tobytes()
+        codes = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
+        at = np.flatnonzero((buf & 0xC0) != 0x80)
+        first = self._pre_tokens(codes, np.searchsorted(at, offsets))
+        starts = at[first]
+        lengths = np.diff(starts, append=len(buf))
+        real = self.kind[codes[first]] != 3
+        starts, lengths = starts[real], lengths[real]
+        code = np.empty(len(starts), np.int64)
+        which, low, high = short_keys(buf, starts, lengths)
+        unique, inverse, odd = group_keys(low, high)
+        begin, size = starts[which[unique]].tolist(), lengths[which[unique]].tolist()
+        if len(which):
+            code[which] = np.array([self._code(data[a: a + k]) for a, k in zip(begin, size)], np.int64)[inverse]
+        for i in [*which[odd].tolist(), *np.flatnonzero(lengths >= 16).tolist()]:
+            code[i] = self._code(data[starts[i]: starts[i] + lengths[i]])
+        k = np.array(self.size, np.int64)[code]
+        last = np.cumsum(k)
+        total = int(last[-1]) if len(last) else 0
+        ids = self.flat[np.arange(total) - np.repeat(last - k - np.array(self.begin, np.int64)[code], k)]
+        owner = np.searchsorted(offsets, starts, "right") - 1
+        return ids, np.bincount(owner, k, minlength=n).astype(np.int64)
+
+    def _plain(self, buf: np.ndarray) -> bool:
+        data = buf.tobytes()
+        return self.known_form and not any(m in data for m in (*self.marks, _DOTTED_I)) and not bool((buf >= 0xCC).any())
+
+    def _by_text(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text by text: the fast way where it holds, else the library."""
+        ids = []
+        for a, b in zip(offsets, offsets[1:]):
+            part = buf[a:b]
+            if self._plain(part):
+                ids.append(self(part, np.array([0, len(part)]))[0])
+            else:
+                ids.append(np.array(self.tokenizer.encode(part.tobytes().decode(), add_special_tokens=False).ids, np.uint32))
+        return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
 
 
 def _cut(path: str, capacity: int, end_id: int, batch_bytes: int, with_ids: bool):
@@ -106,12 +197,12 @@ def _cut(path: str, capacity: int, end_id: int, batch_bytes: int, with_ids: bool
                        + [("ids", pa.list_(pa.uint32()))] * with_ids)
 
     def run(batches):
-        tokenize = WordIds(path)
+        tokenize = per_worker(("word ids", path), lambda: WordIds(path))
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            _, offsets = text_bytes(batch.column(1))
+            buf, offsets = text_bytes(batch.column(1))
             for a, b in slices(offsets, batch_bytes):
-                ids, sizes = tokenize([t or "" for t in batch.column(1).slice(a, b - a).to_pylist()])
+                ids, sizes = tokenize(buf[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
                 out, at = [[] for _ in schema], 0
                 for doc_id, n in zip(doc_ids[a:b], sizes.tolist()):
                     own = np.append(ids[at: at + n], np.uint32(end_id))
@@ -126,7 +217,7 @@ def _cut(path: str, capacity: int, end_id: int, batch_bytes: int, with_ids: bool
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0,
-                 id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 4 << 20, with_ids: bool = False) -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 20, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 (and ``ids`` on request).
 
     A NULL or empty text is the end id alone.  Rows that repeat an id are documents of

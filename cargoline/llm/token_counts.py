@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoline.llm.common import mix64, per_worker, slices, text_bytes
+from cargoline.llm.common import group_keys, per_worker, short_keys, slices, text_bytes
 
 # Character classes of the splitter.
 _OTHER, _LETTER, _NUMBER, _BLANK, _SPACE, _QUOTE = range(6)
@@ -293,25 +293,17 @@ class TokenCounter:
         lengths = np.diff(starts, append=len(buf))
         ends = starts + lengths
         sizes = np.empty(len(starts), np.int64)
-        # equal pre-tokens of up to 15 bytes are counted once: two words hold them exactly
-        padded = np.concatenate([buf, np.zeros(16, np.uint8)])
-        short = np.flatnonzero(lengths < 16)
+        # equal pre-tokens of up to 15 bytes are counted once
+        data, count = buf.tobytes(), self.counter.count
+        short, low, high = short_keys(buf, starts, lengths)
+        first, inverse, odd = group_keys(low, high)
         if len(short):
-            words = np.lib.stride_tricks.sliding_window_view(padded, 16)[starts[short]].copy()
-            words[np.arange(16) >= lengths[short, None]] = 0
-            words[:, 15] = lengths[short]
-            low, high = np.ascontiguousarray(words).view(np.uint64).T
-            key = mix64(low + mix64(high))
-            _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-            same = (low == low[first][inverse]) & (high == high[first][inverse])
-            data = buf.tobytes()
-            count = self.counter.count
-            found = np.array([count(data[a:b]) for a, b in zip(starts[short[first]].tolist(), ends[short[first]].tolist())], np.int64)
-            sizes[short] = found[inverse]
-            for i in short[~same]:  # two pre-tokens with one hash
-                sizes[i] = count(data[starts[i]: ends[i]])
+            found = [count(data[a:b]) for a, b in zip(starts[short[first]].tolist(), ends[short[first]].tolist())]
+            sizes[short] = np.array(found, np.int64)[inverse]
+        for i in short[odd].tolist():
+            sizes[i] = count(data[starts[i]: ends[i]])
         for i in np.flatnonzero(lengths >= 16).tolist():
-            sizes[i] = self.counter.count(buf[starts[i]: ends[i]].tobytes())
+            sizes[i] = count(data[starts[i]: ends[i]])
         owner = np.searchsorted(offsets, starts, "right") - 1
         return np.bincount(owner, sizes, minlength=len(offsets) - 1)
 

@@ -181,3 +181,34 @@ def test_op10(spark, docs, result):
     for d, r in rows.items():
         assert r["held_out"] == (zlib.crc32(str(d).encode()) % 4 == 2)
         assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+
+
+def test_tokenizers_on_awkward_texts():
+    """Both token paths give the library's result on quotes, blanks, specials and odd code points."""
+    import random
+
+    import numpy as np
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from cargoline.llm.common import slices, text_bytes
+    from cargoline.llm.packing import WordIds
+    from cargoline.llm.token_counts import TokenCounter
+
+    rng = random.Random(3)
+    plain, odd = "''  \n\t strvelmdSTRVELMDabcÉé1²!?_-ſª\x1c\x85\xa0", "İ日本　😀́"
+    texts = ["", "a", "'re", "'r", "WE'RE'V", "x 'll  '", "  \n", "a'", "''s'", "don't", "a<|endoftext|>b <|endoftext|>", "x" * 3000, " " * 700]
+    texts += ["".join(rng.choice(plain + odd * (i % 2)) for _ in range(rng.randint(0, 200))) for i in range(1500)]
+    texts += ["".join(rng.choice(["<|endoftext|>", "'ll", "'RE", "'", "  ", " ", "\n", "word", "12"]) for _ in range(30)) for _ in range(200)]
+    buf, offsets = text_bytes(pa.array(texts))
+    counter, words = (cls(public_tokenizers.path(f)) for cls, f in ((TokenCounter, "byte_bpe_50k.json"), (WordIds, "word_bpe_49k.json")))
+    counts, ids = [], []
+    for a, b in slices(offsets, 5000):
+        part = buf[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a]
+        counts += counter.counts(*part).tolist()
+        found, n = words(*part)
+        ids += [x.tolist() for x in np.split(found, np.cumsum(n)[:-1])]
+    library = [Tokenizer.from_file(public_tokenizers.path(f)) for f in ("byte_bpe_50k.json", "word_bpe_49k.json")]
+    assert counts == [len(library[0].encode(t, add_special_tokens=False).ids) for t in texts]
+    assert ids == [library[1].encode(t, add_special_tokens=False).ids for t in texts]
