@@ -65,6 +65,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargoline.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(read_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cargoline.llm.toxicity import OPERATING_POINT, score_toxicity, train_toxicity
 
@@ -78,5 +84,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontamination, op3_token_counts, op5_best_fit_packing, op6_sharding, op7_fingerprints,
-    op8_line_dedup, op10_toxicity)}
+    op8_line_dedup, op9_jaccard_join, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}

@@ -212,3 +212,62 @@ def test_tokenizers_on_awkward_texts():
     library = [Tokenizer.from_file(public_tokenizers.path(f)) for f in ("byte_bpe_50k.json", "word_bpe_49k.json")]
     assert counts == [len(library[0].encode(t, add_special_tokens=False).ids) for t in texts]
     assert ids == [library[1].encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def brute_components(docs, k=3, num=90, den=100):
+    import re
+
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = {}
+    for d, text in docs.items():
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(fold))
+        sets[d] = {tuple(w[i: i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+    root = {d: d for d in docs}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = defaultdict(list)
+    for d, s in sets.items():
+        for x in s:
+            holders[x].append(d)
+    shared = Counter((a, b) for v in holders.values() for i, a in enumerate(v) for b in v[i + 1:])
+    for (a, b), n in shared.items():
+        if den * n >= num * (len(sets[a]) + len(sets[b]) - n):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    return {d: (len(sets[d]), find(d)) for d in docs}
+
+
+def test_op9(docs, result):
+    want = brute_components({d: r["text"] for d, r in docs.items()})
+    rows = result("op9_jaccard_join")
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want and len(rows) == len(want)
+    assert any(c != d for d, (_, c) in want.items())
+
+
+@pytest.mark.parametrize("k,num,den", [(5, 80, 100), (2, 60, 100)])
+def test_jaccard_small_blocks(spark, docs, monkeypatch, k, num, den):
+    """Other thresholds, and blocks cut into many sub-blocks."""
+    import random
+
+    from cargoline.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 300)
+    rng = random.Random(k)
+    base = [f"w{i}" for i in range(40)]
+    texts = {d: r["text"] for d, r in list(docs.items())[:80]}
+    for i in range(120):  # a chain of copies with more and more changes, and short ones
+        words = base.copy()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(40)] = f"x{rng.randrange(6)}"
+        texts[1000 + i] = " ".join(words[: rng.choice([3, 8, 40, 40, 40])])
+    texts |= {2000: None, 2001: "", 2002: " \n ", 2003: "one", 2004: "ONE", 2005: "one two"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = brute_components(texts, k, num, den)
+    rows = jaccard_join.jaccard_components(df, k, num, den).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
+    kept = {r["doc_id"] for r in jaccard_join.drop_near_duplicates(df, k, num, den).collect()}
+    assert kept == {c for _, c in want.values()}
