@@ -33,6 +33,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.drop("text")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargoline.llm.suffix_dedup import remove_repeats
+
+    out = remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -83,6 +90,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_language_id, op2_decontamination, op3_token_counts, op5_best_fit_packing, op6_sharding, op7_fingerprints,
+    op1_language_id, op2_decontamination, op3_token_counts, op4_suffix_dedup, op5_best_fit_packing, op6_sharding, op7_fingerprints,
     op8_line_dedup, op9_jaccard_join, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}

@@ -271,3 +271,49 @@ def test_jaccard_small_blocks(spark, docs, monkeypatch, k, num, den):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
     kept = {r["doc_id"] for r in jaccard_join.drop_near_duplicates(df, k, num, den).collect()}
     assert kept == {c for _, c in want.values()}
+
+
+def brute_repeats(texts, length=400):
+    """{id: (n_bytes, n_removed, n_spans, kept)} of byte strings by id."""
+    seen = Counter()
+    for raw in texts.values():
+        for i in range(len(raw) - length + 1):
+            seen[hash(raw[i: i + length])] += 1
+    out = {}
+    for d, raw in texts.items():
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if seen[hash(raw[i: i + length])] > 1:
+                gone[i: i + length] = b"\1" * length
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out[d] = (len(raw), sum(gone), spans, bytes(b for b, g in zip(raw, gone) if not g))
+    return out
+
+
+def test_op4(docs, result):
+    want = {d: (n, k, s, hashlib.sha256(raw).hexdigest()) for d, (n, k, s, raw) in
+            brute_repeats({d: (r["text"] or "").encode() for d, r in docs.items()}).items()}
+    rows = result("op4_suffix_dedup")
+    assert {r["doc_id"]: tuple(r)[1:] for r in rows} == want and len(rows) == len(want)
+    assert sum(k for _, k, _, _ in want.values()) > 0
+
+
+@pytest.mark.parametrize("hot_rows", [20_000, 3])
+def test_repeats_of_periodic_and_shared_texts(spark, monkeypatch, hot_rows):
+    """Runs of one word, passages that many texts share, copies, and anchors dealt to several tasks."""
+    import random
+
+    from cargoline.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", hot_rows)
+    rng = random.Random(hot_rows)
+    word = lambda n: "".join(rng.choice("abé") for _ in range(n))
+    passages = [word(n) for n in (99, 100, 101, 150, 300)]
+    texts = {0: None, 1: "", 2: "a" * 99, 3: "a" * 100, 4: "a" * 101, 5: "ab " * 200, 6: "x" + "ab " * 80, 7: word(500), 8: word(120)}
+    texts |= {9: texts[7], 10: texts[8], 11: texts[7][50:200], 12: word(99), 13: passages[0] * 2}
+    for i in range(14, 60):
+        texts[i] = word(rng.randint(0, 200)) + rng.choice(passages) + word(rng.randint(0, 200)) + rng.choice(passages + [""]) + word(rng.randint(0, 40))
+    df = spark.createDataFrame([(d, t, 7) for d, t in texts.items()], "doc_id long, text string, kept int").repartition(5)
+    rows = suffix_dedup.remove_repeats(df, 100).collect()
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in rows}
+    assert got == brute_repeats({d: (t or "").encode() for d, t in texts.items()}, 100)
