@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cargoline.llm.common import written
 
@@ -91,7 +92,7 @@ def _stream(min_docs: int):
     return run
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _pack_drops(positions: pd.Series) -> pd.Series:
     def pack(p):
         keep = np.ones((int(max(p)) // 8 + 1) * 8, bool)
@@ -131,7 +132,7 @@ def line_keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
         "doc", "version", F.size("drop").cast("long").alias("n_dropped"), _pack_drops("drop").alias("keep"))
 
 
-@F.pandas_udf("n_lines long, kept string")
+@F.pandas_udf(T.StructType([T.StructField("n_lines", T.LongType()), T.StructField("kept", T.StringType())]))
 def _apply(texts: pd.Series, bitmaps: pd.Series) -> pd.DataFrame:
     def one(text, packed):
         if packed is None:

@@ -194,7 +194,7 @@ class WordIds:
 
 def _cut(path: str, capacity: int, end_id: int, batch_bytes: int, with_ids: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
-                       + [("ids", pa.list_(pa.uint32()))] * with_ids)
+                       + [("ids", pa.list_(pa.int64()))] * with_ids)
 
     def run(batches):
         tokenize = per_worker(("word ids", path), lambda: WordIds(path))

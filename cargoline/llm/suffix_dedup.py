@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cargoline.llm.common import WordHasher, slices, text_bytes, written
 
@@ -347,7 +348,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
         "w1", "w2", F.coalesce("whole", F.lit(False)).alias("whole"), "spans")
 
 
-@F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")
+@F.pandas_udf(T.StructType([*(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())]))
 def _remove(texts: pd.Series, whole: pd.Series, spans: pd.Series) -> pd.DataFrame:
     def one(text, all_, found):
         raw = text.encode()
