@@ -32,7 +32,7 @@ from cargoline.llm.common import WordHasher, slices, text_bytes, written
 #: bytes of a hashed substring; no byte of UTF-8 text is 0xFF
 GRAM, _PAD = 64, 0xFF
 #: contexts that one task merges, and contexts of one anchor before it is dealt to several
-MERGE_ROWS, HOT_ROWS = 30_000, 20_000
+MERGE_ROWS, HOT_ROWS = 30_000, 50_000
 
 
 class Grams:
@@ -253,6 +253,21 @@ def merge_shards(columns: list[np.ndarray], length: int, keep_rows: bool = False
 _SPANS = "w1 long, w2 long, a long, b long, h1 long, h2 long"
 
 
+def _merged(w1: np.ndarray, w2: np.ndarray, a: np.ndarray, b: np.ndarray):
+    """The spans [a, b) of texts with those that touch or overlap joined."""
+    order = np.lexsort((a, w2, w1))
+    w1, w2, a, b = (x[order] for x in (w1, w2, a, b))
+    if not len(a):
+        return w1, w2, a, b
+    fresh = np.concatenate([[True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])])
+    shift = (np.cumsum(fresh) - 1) * (int(b.max()) + 1)  # the texts one after the other
+    far = np.maximum.accumulate(b + shift)
+    fresh[1:] |= (a + shift)[1:] > far[:-1]
+    at = np.flatnonzero(fresh)
+    last = np.append(at[1:], len(a)) - 1
+    return w1[at], w2[at], a[at], far[last] - shift[last]
+
+
 def _merge(length: int):
     """Shards of one task -> spans [a, b) to remove, and strings of dealt anchors still to be
     compared with other tasks (h1, h2 set)."""
@@ -292,10 +307,12 @@ def _merge(length: int):
         which = np.repeat(np.arange(len(occurrences)), count)
         own = np.arange(len(which)) - np.repeat(np.cumsum(count) - count - first, count)
         o = occurrences[which]
-        yield rows_of(o[:, 1], o[:, 2], o[:, 3] - left + begin[own], o[:, 3] - left + end[own] + length - 1)
+        yield rows_of(*_merged(o[:, 1], o[:, 2], o[:, 3] - left + begin[own], o[:, 3] - left + end[own] + length - 1))
         # strings of dealt anchors: those found once here, and a witness of those found twice
         out, witnessed = [], set()
-        for i, w1, w2, pos in occurrences[hot[occurrences[:, 0]]].tolist():
+        first_at = dict(zip(*(x.tolist() for x in np.unique(occurrences[:, 0], return_index=True))))
+        for i in np.flatnonzero(hot).tolist():
+            _, w1, w2, pos = occurrences[first_at[i]].tolist()  # a row with an open string has one occurrence
             raw = np.ascontiguousarray(rows[:, i]).tobytes()
             for s in np.flatnonzero(valid[:, i]).tolist():
                 digest = xxhash.xxh3_128_intdigest(raw[s: s + length])
