@@ -15,7 +15,6 @@ from cargoline.functions.columns import (  # noqa: F401
     money,
     non_negative,
     ratio,
-    round_avg,
     safe_ratio,
     severity,
     severity_rank,

@@ -69,11 +69,6 @@ def cents_to_money(cents: str | Column, dtype: T.DecimalType = MONEY) -> Column:
     return (col(cents).cast(T.DecimalType(20, 0)) * F.lit(Decimal("0.01"))).cast(dtype)
 
 
-def round_avg(c: Column, digits: int = 9) -> Column:
-    """Round an average of doubles so summation order cannot change the answer."""
-    return F.round(c, digits)
-
-
 def isclose(a: str | Column, b: str | Column, rel_tol: float = 1e-9, abs_tol: float = 1e-9) -> Column:
     """``math.isclose`` semantics; NULL or NaN on either side is not close."""
     a, b = as_double(a), as_double(b)

@@ -50,6 +50,8 @@ from cargoline.operators.views import (  # noqa: F401
     critical_stockout_customers,
     exception_cost_pareto,
     exception_queue,
+    filter_orders,
+    filter_stock,
     freight_per_kg_by_carrier,
     lead_time_distribution,
     service_by_region_segment,

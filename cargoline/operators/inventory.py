@@ -6,13 +6,14 @@ partial aggregate instead of a row_number window over all snapshots.
 """
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cargoline.functions.columns import (
     EXCEPTION_COVER_DAYS,
-    round_avg,
     severity,
     severity_rank,
 )
@@ -27,14 +28,14 @@ def days_of_inventory(inventory: DataFrame) -> DataFrame:
     )
 
 
-def stockout_exceptions(inventory: DataFrame, ordered: bool = False) -> DataFrame:
+def stockout_exceptions(inventory: DataFrame, ordered: bool = False, severities: Sequence[str] | None = None) -> DataFrame:
     """Demanded rows with at most five days of cover, banded by severity.
 
     The list's order is severity (``severity_rank``) then demand desc.  With
     ``ordered=True`` the frame is globally sorted that way; it is off by
     default because a global sort of a scan-fed output costs a sampling pass
     over the whole input plus a range shuffle -- consumers sort when writing
-    or take a top-k.
+    or take a top-k.  ``severities`` keeps some of the bands (O35).
     """
     add = F.col("average_daily_demand")
     rows = inventory.filter((add > 0) & (F.col("on_hand_units") <= add * EXCEPTION_COVER_DAYS))
@@ -43,6 +44,8 @@ def stockout_exceptions(inventory: DataFrame, ordered: bool = False) -> DataFram
         .withColumn("severity", severity("days_of_inventory"))
         .withColumn("severity_rank", severity_rank("severity"))
     )
+    if severities is not None:
+        out = out.filter(F.col("severity").isin(list(severities)))
     if ordered:
         out = out.orderBy(F.col("severity_rank").asc_nulls_last(), add.desc(), "snapshot_date", "warehouse", "sku")
     return out
@@ -83,13 +86,13 @@ def inventory_cover(inventory: DataFrame) -> DataFrame:
     return days_of_inventory(latest)
 
 
-def stockout_low_cover(inventory: DataFrame) -> DataFrame:
+def stockout_low_cover(inventory: DataFrame, severities: Sequence[str] | None = None) -> DataFrame:
     """Stockout / low-cover exceptions counted by warehouse and severity."""
-    exc = stockout_exceptions(inventory)
+    exc = stockout_exceptions(inventory, severities=severities)
     return exc.groupBy("warehouse", "severity", "severity_rank").agg(
         F.count(F.lit(1)).cast(T.LongType()).alias("exceptions"),
         F.sum("on_hand_units").cast(T.LongType()).alias("on_hand_units"),
-        round_avg(F.avg("days_of_inventory")).alias("average_days_of_inventory"),
-        round_avg(F.sum("average_daily_demand")).alias("total_average_daily_demand"),
+        F.avg("days_of_inventory").alias("average_days_of_inventory"),
+        F.sum("average_daily_demand").alias("total_average_daily_demand"),
     )
 

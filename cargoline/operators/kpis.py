@@ -20,7 +20,6 @@ from cargoline.functions.columns import (
     flag_int,
     flag_rate,
     ratio,
-    round_avg,
     safe_ratio,
 )
 
@@ -102,15 +101,15 @@ def kpi_summary(service: DataFrame, forecasts: DataFrame, inventory: DataFrame,
         flag_rate("otif").alias("otif_rate"),
         safe_ratio(F.sum("backorder_units"), ordered).alias("backorder_rate"),
         ratio(F.sum("lead_time_days"), F.count("lead_time_days")).alias("average_lead_time_days"),
-        round_avg(F.avg("freight_cost_per_kg")).alias("average_freight_cost_per_kg"),
-        as_double(F.sum("cost_to_serve")).alias("total_cost_to_serve"),
+        F.avg("freight_cost_per_kg").alias("average_freight_cost_per_kg"),
+        F.coalesce(as_double(F.sum("cost_to_serve")), F.lit(0.0)).alias("total_cost_to_serve"),
     )
     fc = weighted_forecast_accuracy(forecasts).select("weighted_forecast_accuracy")
     inv = stockout_rate(inventory).select("stockout_location_sku_rate")
     act = warehouse_productivity(activity).select(
         F.col("units_per_labor_hour").alias("warehouse_productivity_units_per_hour")
     )
-    wide = svc.crossJoin(fc).crossJoin(inv).crossJoin(act)  # four one-row frames
+    wide = svc.crossJoin(F.broadcast(fc)).crossJoin(F.broadcast(inv)).crossJoin(F.broadcast(act))  # four one-row frames
     return wide.select(*[F.col(m).cast(T.DoubleType()).alias(m) for m in SUMMARY_METRICS]).unpivot(
         [], list(SUMMARY_METRICS), "metric", "value"
     )

@@ -11,12 +11,14 @@ stays exact without that:
    or above the bracket collapse into one count each, values inside -- about
    ``8 n / accuracy`` ranks (wider, in ranks, for small groups) -- are counted
    per distinct value (partially aggregated, so ties in a hot group collapse);
-3. a window over the bracket's distinct values (bounded by the bracket, not by
-   the group) finds the values at ranks floor/ceil of ``p (n - 1)`` and
-   interpolates linearly, the ``percentile_cont`` definition.
+3. inside the bracket, values are dealt by their place to a thousand parts; a window
+   over the part counts finds the parts that hold ranks floor/ceil of ``p (n - 1)``,
+   and a window over the distinct values of those parts alone finds the values, which
+   are interpolated linearly, the ``percentile_cont`` definition.
 
-If the sketch ever misses its guarantee the query raises instead of returning
-a wrong value.  ``method="approx"`` returns ``percentile_approx`` (an observed
+If the sketch ever missed its guarantee, the group would be widened to all its
+values.  The input is read once for the sketch and once for the counts: hand in a
+written frame where it is costly to compute.  ``method="approx"`` returns ``percentile_approx`` (an observed
 value) and ``method="builtin"`` Spark's exact ``percentile`` for small groups.
 """
 from __future__ import annotations
@@ -27,6 +29,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: parts of a bracket; the last window sees one of them
+SUB_BRACKETS = 1000
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     if not keys:
         return left.crossJoin(F.broadcast(right)) if how == "inner" else left.join(right, how=how)
@@ -101,29 +107,44 @@ def percentile_cont(
     # Pass 2, one aggregate: every value falls below, inside or above its
     # group's bracket; rows are counted per (side, bracket value), so the
     # values outside the bracket collapse into two counts per group.
-    tagged = _null_safe_join(v, stats.filter(F.col("_n") > 0).select(*keys, "_lo", "_hi"), keys)
+    # Inside, values are dealt by their place in the bracket to SUB_BRACKETS parts.
+    bounds = stats.filter(F.col("_n") > 0)
+    tagged = _null_safe_join(v, bounds.select(*keys, "_lo", "_hi"), keys)
     side = F.when(F.col("_v") < F.col("_lo"), 0).when(F.col("_v") > F.col("_hi"), 2).otherwise(1)
-    counts = tagged.groupBy(*keys, side.alias("_side"), F.when(side == 1, F.col("_v")).alias("_x")).agg(
+    within = F.when(F.col("_hi") > F.col("_lo"), F.least(
+        F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * SUB_BRACKETS), F.lit(SUB_BRACKETS - 1))).otherwise(0)
+    part = F.when(side == 0, -1).when(side == 2, SUB_BRACKETS).otherwise(within).cast("int")
+    counts = tagged.groupBy(*keys, part.alias("_part"), F.when(side == 1, F.col("_v")).alias("_x")).agg(
         F.count(F.lit(1)).alias("_c")
     )
-    # The window sees one group's bracket values only (bounded by the bracket).
-    w = Window.partitionBy(*keys).orderBy("_side", "_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.withColumn("_cum", F.sum("_c").over(w))
-    ranked = _null_safe_join(counts, stats.filter(F.col("_n") > 0).select(*keys, "_pos", "_r_lo", "_r_hi"), keys)
-    first_rank = F.col("_cum") - F.col("_c")
-    last_rank = F.col("_cum") - 1
-    covers = lambda r: (first_rank <= F.col(r)) & (last_rank >= F.col(r))
+    # Counts by part (at most SUB_BRACKETS + 2 rows a group) tell which parts hold the
+    # target ranks; only their distinct values are put in order.
+    def running(order: Sequence[str], within_keys: Sequence[str]):
+        return Window.partitionBy(*within_keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    parts = counts.groupBy(*keys, "_part").agg(F.sum("_c").alias("_c"))
+    parts = parts.withColumn("_before", F.sum("_c").over(running(["_part"], keys)) - F.col("_c"))
+    targets = bounds.select(*keys, "_pos", "_r_lo", "_r_hi")
+    parts = _null_safe_join(parts, targets, keys)
+    first, last = F.col("_before"), F.col("_before") + F.col("_c") - 1
+    holding = parts.filter((first <= F.col("_r_hi")) & (last >= F.col("_r_lo")))
+    missed = holding.filter(~F.col("_part").between(0, SUB_BRACKETS - 1)).select(*keys).distinct()
+    ranked = _null_safe_join(counts, holding.select(*keys, F.col("_part").alias("_p"), "_before", "_pos", "_r_lo", "_r_hi"), keys)
+    ranked = ranked.filter(F.col("_part") == F.col("_p"))
+    ranked = ranked.withColumn("_cum", F.col("_before") + F.sum("_c").over(running(["_x"], [*keys, "_part"])))
+    covers = lambda r: (F.col("_cum") - F.col("_c") <= F.col(r)) & (F.col("_cum") > F.col(r))
     picked = ranked.groupBy(*keys).agg(
         F.max(F.when(covers("_r_lo"), F.col("_x"))).alias("_x_lo"),
         F.max(F.when(covers("_r_hi"), F.col("_x"))).alias("_x_hi"),
         F.max("_pos").alias("_pos"),
         F.max("_r_lo").alias("_r_lo"),
     )
-    # a target rank outside the bracket (side 0 or 2) leaves _x NULL
-    missed = F.col("_x_lo").isNull() | F.col("_x_hi").isNull()
-    result = F.when(missed, F.raise_error(F.lit("percentile bracket missed the target rank"))).otherwise(
-        F.col("_x_lo") + (F.col("_pos") - F.col("_r_lo")) * (F.col("_x_hi") - F.col("_x_lo"))
-    )
-    values = picked.select(*keys, result.cast("double").alias(alias))
+    values = picked.select(*keys, (F.col("_x_lo") + (F.col("_pos") - F.col("_r_lo")) * (F.col("_x_hi") - F.col("_x_lo")))
+                           .cast("double").alias("_inside"))
+    # A rank outside the bracket would break the sketch's guarantee; such a group is widened
+    # to all its values.  Without one the join below is empty and its scan is skipped.
+    wide = _null_safe_join(v, missed, keys).groupBy(*keys).agg(F.percentile("_v", p).cast("double").alias("_whole"))
+    out = _null_safe_join(stats.select(*keys, *extra_names), values, keys, "left")
+    out = _null_safe_join(out, wide, keys, "left")
     # every group of the input, with NULL where it had no value
-    return _null_safe_join(stats.select(*keys, *extra_names), values, keys, "left")
+    return out.select(*keys, *extra_names, F.coalesce("_whole", "_inside").alias(alias))

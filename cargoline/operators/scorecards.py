@@ -7,6 +7,8 @@ over the grouped rows (one row per carrier), never over orders.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,9 +20,9 @@ from cargoline.functions.columns import (
     flag_int,
     flag_rate,
     ratio,
-    round_avg,
     tier_penalty,
 )
+from cargoline.operators.keys import one_row_per_key
 from cargoline.operators.quantiles import percentile_cont
 
 
@@ -41,8 +43,8 @@ def carrier_scorecard(service: DataFrame) -> DataFrame:
             flag_rate("on_time").alias("on_time_delivery_rate"),
             _avg_exact("lead_time_days").alias("average_lead_time_days"),
             _avg_exact("freight_cost").alias("average_freight_cost"),
-            round_avg(F.avg("freight_cost_per_kg")).alias("average_freight_cost_per_kg"),
-            F.sum("exception_cost").cast(TOTAL_MONEY).alias("total_exception_cost"),
+            F.avg("freight_cost_per_kg").alias("average_freight_cost_per_kg"),
+            F.coalesce(F.sum("exception_cost"), F.lit(0)).cast(TOTAL_MONEY).alias("total_exception_cost"),
         )
         .orderBy(F.col("otif_rate").desc_nulls_last(), F.col("average_freight_cost_per_kg").asc_nulls_last(), "carrier")
     )
@@ -56,13 +58,13 @@ def mart_carrier_scorecard(mart: DataFrame, p90_method: str = "exact") -> DataFr
         ratio(F.sum(flag_int("otif")), F.count("otif")).alias("otif_rate"),
         ratio(F.sum(flag_int("on_time")), F.count("on_time")).alias("on_time_delivery_rate"),
         _avg_exact("lead_time_days").alias("average_lead_time_days"),
-        round_avg(F.avg("freight_cost_per_kg")).alias("average_freight_cost_per_kg"),
+        F.avg("freight_cost_per_kg").alias("average_freight_cost_per_kg"),
         F.sum("exception_cost").cast(TOTAL_MONEY).alias("total_exception_cost"),
     ]
     # the scorecard aggregates ride along in the percentile's first pass
     scored = percentile_cont(
         mart, ["carrier"], "freight_cost_per_kg", 0.9, "p90_freight_cost_per_kg", p90_method, extra=metrics
-    ).withColumn("p90_freight_cost_per_kg", round_avg(F.col("p90_freight_cost_per_kg")))
+    )
     over_carriers = Window.partitionBy()  # one row per carrier: a handful of rows
     return scored.select(
         "*",
@@ -77,15 +79,15 @@ def customer_cost_to_serve(service: DataFrame, customers: DataFrame) -> DataFram
     revenue, with segment and region; sorted by cost share desc."""
     per_customer = service.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.count("order_id").cast(T.LongType()).alias("orders"),
-        F.sum("revenue").cast(TOTAL_MONEY).alias("revenue"),
-        F.sum("cost_to_serve").cast(TOTAL_MONEY).alias("cost_to_serve"),
+        F.coalesce(F.sum("revenue"), F.lit(0)).cast(TOTAL_MONEY).alias("revenue"),
+        F.coalesce(F.sum("cost_to_serve"), F.lit(0)).cast(TOTAL_MONEY).alias("cost_to_serve"),
         flag_rate("otif").alias("otif_rate"),
         F.sum("backorder_units").cast(T.LongType()).alias("backorder_units"),
     )
     share = F.when(F.col("revenue") > 0, ratio("cost_to_serve", "revenue"))
     return (
         per_customer.withColumn("cost_to_serve_pct_revenue", share)
-        .join(customers.select("customer_id", "customer_segment", "region"), "customer_id", "left")
+        .join(one_row_per_key(customers, "customer_id", ["customer_segment", "region"]), "customer_id", "left")
         .orderBy(F.col("cost_to_serve_pct_revenue").desc_nulls_last(), "customer_id")
     )
 
@@ -109,12 +111,14 @@ def _supplier_orders(lines: DataFrame, service: DataFrame) -> DataFrame:
     ).drop("_lines")
 
 
-def supplier_risk_scorecard(lines: DataFrame, suppliers: DataFrame, service: DataFrame) -> DataFrame:
+def supplier_risk_scorecard(lines: DataFrame, suppliers: DataFrame, service: DataFrame,
+                            once: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Supplier resilience risk.
 
     Each order's OTIF and backorder are attributed to every supplier on the
     order (as in the reference).  score = clip(0.60 (1 - otif) + 0.25 *
     backorder / max(max backorder, 1) + 0.15 * tier penalty, 0, 1).
+    ``once`` may write the per-supplier frame, which is read twice.
     """
     w_service, w_backorder, w_tier = RISK_WEIGHTS
     per_supplier = _supplier_orders(lines, service).groupBy("supplier_id").agg(
@@ -122,7 +126,8 @@ def supplier_risk_scorecard(lines: DataFrame, suppliers: DataFrame, service: Dat
         ratio(F.sum("otif"), F.count("otif")).alias("otif_rate"),
         F.sum("backorder_units").cast(T.LongType()).alias("backorder_units"),
     )
-    scored = per_supplier.join(suppliers, "supplier_id", "left")
+    scored = per_supplier.join(one_row_per_key(suppliers, "supplier_id"), "supplier_id", "left")
+    scored = once(scored)  # read twice: for the scores and for the largest backorder
     top = scored.agg(F.max("backorder_units").alias("_max_backorder"))  # one row
     norm = ratio(F.col("backorder_units"), F.greatest(F.col("_max_backorder"), F.lit(1)))
     score = clip(
@@ -153,6 +158,6 @@ def supplier_line_shortage(lines: DataFrame, suppliers: DataFrame, service: Data
     )
     return (
         own.join(attributed, "supplier_id", "left")
-        .join(suppliers.select("supplier_id", "supplier_name", "supplier_risk_tier"), "supplier_id", "left")
+        .join(one_row_per_key(suppliers, "supplier_id", ["supplier_name", "supplier_risk_tier"]), "supplier_id", "left")
         .withColumn("attribution_ratio", ratio("attributed_backorder_units", "line_backorder_units"))
     )

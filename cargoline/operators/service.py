@@ -9,6 +9,11 @@ Two null policies are kept apart, as in the reference's two paths:
   on_time / cost, ``in_full AND NULL`` three-valued OTIF, NULL order id kept
   as a group, a duplicate shipment fans out.
 
+A string header value makes the rollup a sort aggregate; over the adapter's lines it
+rides on the order that the sort-merge join on the order key leaves, without a sort of
+its own (a hash aggregate over ``collect_set`` falls back to sorting after 128 orders a
+task and is slower).
+
 Scale: the rollup groups on ``order_id`` and the shipment side is grouped (or
 shuffled) on the same key, so the left join is a sort-merge join that reuses
 the aggregate's hash partitioning (one exchange per side).  Header values use
@@ -39,7 +44,7 @@ def order_rollup(lines: DataFrame, policy: str = "mart") -> DataFrame:
 
     return src.groupBy("order_id").agg(
         F.min("customer_id").alias("customer_id"),
-        header_min("warehouse").alias("warehouse"),
+        F.min("warehouse").alias("warehouse"),
         F.min(F.col("order_date").cast(T.DateType())).alias("order_date"),
         F.max(F.col("promised_date").cast(T.DateType())).alias("promised_date"),
         total("units_ordered", T.LongType()).alias("units_ordered"),
@@ -48,17 +53,6 @@ def order_rollup(lines: DataFrame, policy: str = "mart") -> DataFrame:
     )
 
 
-def header_min(c: str) -> F.Column:
-    """``min`` of a header value repeated on an order's rows.
-
-    For STRING columns ``min`` would force a sort-based aggregate (its buffer
-    is not fixed-width); ``array_min(collect_set(c))`` is the same value, stays
-    hash-based, and holds only the distinct values of one order (one, when the
-    header is consistent).  Fixed-width columns use plain ``min``.
-    """
-    return F.array_min(F.collect_set(c))
-
-
 def _unique_shipments(shipments: DataFrame) -> DataFrame:
     """Shipments grouped by order_id with a one-to-one guard.
 
@@ -68,7 +62,7 @@ def _unique_shipments(shipments: DataFrame) -> DataFrame:
     cols = [c for c in SHIPMENT_COLUMNS if c != "order_id"]
     grouped = shipments.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("_shipments"),
-        *[(header_min(c) if c == "carrier" else F.min(c)).alias(c) for c in cols]
+        *[F.min(c).alias(c) for c in cols]
     )
     guard = F.when(
         F.col("_shipments") > 1,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,9 +20,9 @@ from cargoline.functions.columns import (
     flag_int,
     flag_rate,
     ratio,
-    round_avg,
 )
 from cargoline.operators.inventory import stockout_exceptions
+from cargoline.operators.keys import one_row_per_key
 from cargoline.operators.quantiles import percentile_cont
 
 # Shipment weight bands (kg, right-closed) of the stratified carrier view.
@@ -83,6 +83,39 @@ def apply_filters(view: DataFrame, filters: Filters | None) -> DataFrame:
     return view if pred is None else view.filter(pred)
 
 
+def filter_orders(service: DataFrame, filters: Filters, customers: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:
+    """O35 on the order grain.  Columns of the order filter directly; region and segment
+    keep orders of matching customers, category and supplier keep orders with at least one
+    matching line (both on the same line).  All lookups are semi joins: rows never multiply.
+    """
+    if filters.severity is not None:
+        raise ValueError("severity is a dimension of the stockout views")
+    out = apply_filters(service, replace(filters, region=None, customer_segment=None, product_category=None, supplier_id=None))
+    of_customer = Filters(region=filters.region, customer_segment=filters.customer_segment)
+    if of_customer != Filters():
+        out = out.join(apply_filters(customers, of_customer).select("customer_id"), "customer_id", "left_semi")
+    if filters.product_category is not None or filters.supplier_id is not None:
+        hit = apply_filters(lines.select("order_id", "sku", "supplier_id"), Filters(supplier_id=filters.supplier_id))
+        if filters.product_category is not None:
+            hit = hit.join(apply_filters(products, Filters(product_category=filters.product_category)).select("sku"), "sku", "left_semi")
+        out = out.join(hit.select("order_id"), "order_id", "left_semi")
+    return out.select(*service.columns)
+
+
+def filter_stock(rows: DataFrame, filters: Filters, products: DataFrame, date_column: str) -> DataFrame:
+    """O35 on location-SKU rows (snapshots, forecasts): dates, warehouse, and category and
+    supplier of the product.  Severity belongs to the exceptions made of the rows."""
+    for name in ("region", "customer_segment", "carrier"):
+        if getattr(filters, name) is not None:
+            raise ValueError(f"filter on {name!r} but stock has no such dimension")
+    own = Filters(filters.date_from, filters.date_to, date_column, warehouse=filters.warehouse)
+    out = apply_filters(rows, own)
+    of_product = Filters(product_category=filters.product_category, supplier_id=filters.supplier_id)
+    if of_product != Filters():
+        out = out.join(apply_filters(products, of_product).select("sku"), "sku", "left_semi").select(*rows.columns)
+    return out
+
+
 def service_by_region_segment(service: DataFrame, customers: DataFrame) -> DataFrame:
     """OTIF, OTD and unit fill by customer region and segment.
 
@@ -99,7 +132,7 @@ def service_by_region_segment(service: DataFrame, customers: DataFrame) -> DataF
         F.sum("cost_to_serve").cast(TOTAL_MONEY).alias("_cost"),
     )
     return (
-        per_customer.join(customers.select("customer_id", "region", "customer_segment"), "customer_id", "left")
+        per_customer.join(one_row_per_key(customers, "customer_id", ["region", "customer_segment"]), "customer_id", "left")
         .groupBy("region", "customer_segment")
         .agg(
             F.sum("_orders").cast(T.LongType()).alias("orders"),
@@ -120,7 +153,7 @@ def carrier_quadrant(service: DataFrame, carriers: DataFrame) -> DataFrame:
     shipped = service.filter(F.col("carrier").isNotNull())
     portfolio = shipped.agg(
         flag_rate("otif").alias("portfolio_otif_rate"),
-        round_avg(F.avg("freight_cost_per_kg")).alias("portfolio_freight_cost_per_kg"),
+        F.avg("freight_cost_per_kg").alias("portfolio_freight_cost_per_kg"),
     )
     good_service = F.col("otif_rate") >= F.col("portfolio_otif_rate")
     low_cost = F.col("average_freight_cost_per_kg") <= F.col("portfolio_freight_cost_per_kg")
@@ -137,22 +170,24 @@ def carrier_quadrant(service: DataFrame, carriers: DataFrame) -> DataFrame:
     )
 
 
-def exception_queue(service: DataFrame, k: int = 100) -> DataFrame:
-    """The top-k non-OTIF orders by backorder units, cost, order id, with
-    the reason (late, short or both) and their queue position."""
+def exception_queue(service: DataFrame, k: int | None = None, ordered: bool = False) -> DataFrame:
+    """The non-OTIF orders with the reason (late, short or both).
+
+    The queue's priority is backorder units, then cost, then order id.  By default every
+    order is returned, in no order (``ordered=True`` adds a distributed sort).  With ``k``
+    the first k are returned with their ``queue_rank``; its window runs over k rows.
+    """
     late = ~F.col("on_time")
     short = ~F.col("in_full")
     reason = F.when(late & short, "both").when(late, "late").otherwise("short")
     order = [F.col("backorder_units").desc_nulls_last(), F.col("cost_to_serve").desc_nulls_last(),
              F.col("order_id").asc_nulls_last()]
-    top = (
-        service.filter(~F.col("otif"))
-        .select("order_id", "customer_id", "warehouse", "carrier", "order_date", "promised_date", "delivery_date",
-                "units_ordered", "units_shipped", "backorder_units", "cost_to_serve", reason.alias("reason"))
-        .orderBy(*order)
-        .limit(k)
-    )
-    # the window runs over the k queued rows only
+    queue = service.filter(~F.col("otif")).select(
+        "order_id", "customer_id", "warehouse", "carrier", "order_date", "promised_date", "delivery_date",
+        "units_ordered", "units_shipped", "backorder_units", "cost_to_serve", reason.alias("reason"))
+    if k is None:
+        return queue.orderBy(*order) if ordered else queue
+    top = queue.orderBy(*order).limit(k)
     return top.withColumn("queue_rank", F.row_number().over(Window.partitionBy().orderBy(*order)).cast(T.LongType()))
 
 
@@ -164,27 +199,42 @@ def freight_per_kg_by_carrier(service: DataFrame, p90_method: str = "exact") ->
         F.count(F.lit(1)).cast(T.LongType()).alias("shipments"),
         F.sum("freight_cost").cast(TOTAL_MONEY).alias("freight_cost"),
         F.sum("shipment_weight_kg").cast(TOTAL_MONEY).alias("shipment_weight_kg"),
-        round_avg(F.avg("freight_cost_per_kg")).alias("average_freight_cost_per_kg"),
+        F.avg("freight_cost_per_kg").alias("average_freight_cost_per_kg"),
     ]
     out = percentile_cont(weighed, ["carrier"], "freight_cost_per_kg", 0.9, "p90_freight_cost_per_kg", p90_method,
                           extra=aggs)
-    return out.withColumn("freight_cost_per_kg", ratio("freight_cost", "shipment_weight_kg")).withColumn(
-        "p90_freight_cost_per_kg", round_avg(F.col("p90_freight_cost_per_kg"))
-    )
+    return out.withColumn("freight_cost_per_kg", ratio("freight_cost", "shipment_weight_kg"))
 
 
 def lead_time_distribution(service: DataFrame) -> DataFrame:
-    """Orders per lead-time day with share and cumulative share."""
+    """Orders per lead-time day with share and cumulative share, and the exact median
+    and 90th percentile (continuous) of all lead times on every row.
+
+    Everything after the first aggregate runs over one row per day: the value at rank r is
+    the first day whose cumulative count exceeds r.
+    """
     per_day = service.filter(F.col("lead_time_days").isNotNull()).groupBy("lead_time_days").agg(
         F.count(F.lit(1)).cast(T.LongType()).alias("orders")
     )
-    total = F.sum("orders").over(Window.partitionBy())
+    everything = Window.partitionBy()
+    total = F.sum("orders").over(everything)
     running = F.sum("orders").over(
-        Window.partitionBy().orderBy("lead_time_days").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        everything.orderBy("lead_time_days").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return per_day.select("lead_time_days", "orders", ratio(F.col("orders"), total).alias("share"),
-                          running.cast(T.LongType()).alias("cumulative_orders"),
-                          ratio(running, total).alias("cumulative_share"))
+    days = per_day.select("lead_time_days", "orders", total.alias("_n"), running.alias("_to"))
+
+    def at_rank(rank: Column) -> Column:
+        return F.min(F.when(F.col("_to") > rank, F.col("lead_time_days"))).over(everything).cast("double")
+
+    def percentile(p: float) -> Column:
+        place = (F.col("_n") - 1).cast("double") * F.lit(p)
+        low, high = at_rank(F.floor(place)), at_rank(F.ceil(place))
+        return low + (place - F.floor(place)) * (high - low)
+
+    return days.select("lead_time_days", "orders", ratio("orders", "_n").alias("share"),
+                       F.col("_to").cast(T.LongType()).alias("cumulative_orders"),
+                       ratio("_to", "_n").alias("cumulative_share"),
+                       percentile(0.5).alias("p50_lead_time_days"), percentile(0.9).alias("p90_lead_time_days"))
 
 
 def exception_cost_pareto(service: DataFrame, by: str = "carrier") -> DataFrame:
@@ -261,7 +311,7 @@ def critical_stockout_customers(
     threshold = threshold.filter(F.col("revenue_threshold").isNotNull())
     top = revenue.crossJoin(F.broadcast(threshold)).filter(  # one-row threshold
         F.col("customer_revenue").cast("double") >= F.col("revenue_threshold")
-    ).withColumn("revenue_threshold", F.round("revenue_threshold", 6))
+    )
     hit = (
         lines.withColumn("month", F.trunc("order_date", "month"))
         .join(critical, ["month", "warehouse", "sku"], "left_semi")
@@ -276,5 +326,5 @@ def critical_stockout_customers(
             .alias("critical_units_short"),
         )
         .join(top.select("customer_id", "customer_revenue", "revenue_threshold"), "customer_id")
-        .join(customers.select("customer_id", "customer_segment", "region"), "customer_id", "left")
+        .join(one_row_per_key(customers, "customer_id", ["customer_segment", "region"]), "customer_id", "left")
     )

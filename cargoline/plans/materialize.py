@@ -13,12 +13,14 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from functools import cached_property
 
-from cargoline.plans.model import FulfillmentModel
+from pyspark.sql import DataFrame, SparkSession
+
+from cargoline.plans.model import DEFAULT_FILTERS, FulfillmentModel
 from cargoline.session import checkpoint_dir
-from cargoline.sources.readers import Sources, write_parquet_sources
+from cargoline.sources.adapter import TpchSources
+from cargoline.sources.readers import Sources, by_month, write_parquet_sources
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -47,15 +49,61 @@ class MaterializedModel(FulfillmentModel):
         for name in ("order_service", "mart_order_service"):
             path = os.path.join(folder, name)
             # partitioned by order month: date filters on any mart prune files
-            (getattr(base, name).withColumn("order_month", F.trunc("order_date", "month"))
-             .write.mode("overwrite").partitionBy("order_month").parquet(path))
+            by_month(getattr(base, name)).write.mode("overwrite").partitionBy("order_month").parquet(path)
             self._by_month[name] = spark.read.parquet(path)
             self.__dict__[name] = self._by_month[name].drop("order_month")  # fills the cached_property
         self.folder = folder
 
     def filtered_order_service(self, filters=None):
         """O35 over the month-partitioned table: date filters prune partitions."""
-        from cargoline import operators as ops
-        from cargoline.plans.model import DEFAULT_FILTERS
+        return self._filtered(self._by_month["order_service"], filters or DEFAULT_FILTERS).drop("order_month")
+
+
+def written_once(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    path = new_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class WrittenTpchSources(TpchSources):
+    """The adapter's sources; the order lines, shipments and the grid are written on first use."""
+
+    @cached_property
+    def erp_order_lines(self) -> DataFrame:
+        return written_once(self._spark, TpchSources.erp_order_lines.func(self), "lines")
+
+    @cached_property
+    def tms_shipments(self) -> DataFrame:
+        return written_once(self._spark, TpchSources.tms_shipments.func(self), "shipments")
+
+    @cached_property
+    def demand_grid(self) -> DataFrame:
+        return written_once(self._spark, TpchSources.demand_grid.func(self), "grid")
+
+
+class WrittenModel(FulfillmentModel):
+    """A model for outputs that read a frame several times: what an output shares is written
+    when it is first needed, so nothing upstream of it runs twice."""
+
+    def __init__(self, spark: SparkSession, sources: Sources, **options):
+        super().__init__(sources, **options)
+        self._spark = spark
+
+    def once(self, df: DataFrame) -> DataFrame:
+        return written_once(self._spark, df, "shared")
+
+    @cached_property
+    def order_rollup(self) -> DataFrame:
+        return self.once(FulfillmentModel.order_rollup.func(self))
+
+    @cached_property
+    def order_service(self) -> DataFrame:
+        return self.once(FulfillmentModel.order_service.func(self))
+
+    @cached_property
+    def reported_service(self) -> DataFrame:
+        return self.once(FulfillmentModel.reported_service.func(self))
 
-        return ops.apply_filters(self._by_month["order_service"], filters or DEFAULT_FILTERS).drop("order_month")
+    @cached_property
+    def mart_order_service(self) -> DataFrame:
+        return self.once(FulfillmentModel.mart_order_service.func(self))

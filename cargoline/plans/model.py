@@ -19,10 +19,13 @@ from cargoline.sources.readers import Sources
 
 
 class FulfillmentModel:
-    def __init__(self, sources: Sources, p90_method: str = "exact", queue_size: int = 100):
+    def __init__(self, sources: Sources, p90_method: str = "exact"):
         self.src = sources
         self.p90_method = p90_method
-        self.queue_size = queue_size
+
+    def once(self, df: DataFrame) -> DataFrame:
+        """A frame that an output reads twice; ``WrittenModel`` writes it."""
+        return df
 
     # --- order grain ----------------------------------------------------
     @cached_property
@@ -83,7 +86,7 @@ class FulfillmentModel:
 
     @cached_property
     def supplier_risk_scorecard(self) -> DataFrame:
-        return ops.supplier_risk_scorecard(self.src.erp_order_lines, self.src.suppliers, self.order_service)
+        return ops.supplier_risk_scorecard(self.src.erp_order_lines, self.src.suppliers, self.order_service, self.once)
 
     @cached_property
     def supplier_line_shortage(self) -> DataFrame:
@@ -154,12 +157,12 @@ class FulfillmentModel:
 
     @cached_property
     def exception_queue(self) -> DataFrame:
-        return ops.exception_queue(self.order_service, self.queue_size)
+        return ops.exception_queue(self.order_service)
 
     @cached_property
     def late_full_queue(self) -> DataFrame:
         late_only = self.order_service.filter(~self.order_service["on_time"] & self.order_service["in_full"])
-        return ops.exception_queue(late_only, self.queue_size)
+        return ops.exception_queue(late_only)
 
     @cached_property
     def freight_per_kg_by_carrier(self) -> DataFrame:
@@ -189,8 +192,26 @@ class FulfillmentModel:
 
     def filtered_order_service(self, filters: ops.Filters | None = None) -> DataFrame:
         """The order service under dashboard filters."""
-        filters = filters or DEFAULT_FILTERS
-        return ops.apply_filters(self.order_service, filters)
+        return self._filtered(self.order_service, filters or DEFAULT_FILTERS)
+
+    def _filtered(self, service: DataFrame, filters: ops.Filters) -> DataFrame:
+        return ops.filter_orders(service, filters, self.src.customers, self.src.erp_order_lines, self.src.products)
+
+    def filtered(self, filters: ops.Filters) -> "FilteredModel":
+        """This model with every dashboard view under ``filters``."""
+        return FilteredModel(self, filters)
+
+    @cached_property
+    def filtered_service_by_region_segment(self) -> DataFrame:
+        return self.filtered(CUSTOMER_FILTERS).service_by_region_segment
+
+    @cached_property
+    def filtered_exception_queue(self) -> DataFrame:
+        return self.filtered(PRODUCT_FILTERS).exception_queue
+
+    @cached_property
+    def filtered_stockout_low_cover(self) -> DataFrame:
+        return self.filtered(STOCKOUT_FILTERS).stockout_low_cover
 
     # --- governance -----------------------------------------------------------
     @cached_property
@@ -204,13 +225,22 @@ class FulfillmentModel:
             ops.mart_metrics_long(self.mart_kpi_summary),
         )
 
+    @cached_property
+    def reported_service(self) -> DataFrame:
+        """The order service without its one-to-one guard: the report states a duplicate
+        shipment as a failed check instead of raising."""
+        return ops.order_service(self.src.erp_order_lines, self.src.tms_shipments, validate=False, rollup=self.order_rollup)
+
     @cached_property
     def data_quality_report(self) -> DataFrame:
-        s = self.src
+        s, service = self.src, self.reported_service
+        summary = self.once(ops.kpi_summary(service, s.demand_forecasts, s.wms_inventory_snapshots, s.warehouse_activity))
+        reconciled = ops.reconcile_metrics(
+            ops.frame_metrics_long(summary, service), ops.mart_metrics_long(self.mart_kpi_summary))
         return ops.data_quality_report(
             s.customers, s.suppliers, s.products, s.erp_order_lines, s.tms_shipments,
             s.wms_inventory_snapshots, s.demand_forecasts, s.warehouse_activity,
-            self.kpi_summary, self.order_service, self.carrier_scorecard, self.reconcile_metrics,
+            summary, service, ops.carrier_scorecard(service), reconciled,
         )
 
 
@@ -230,6 +260,61 @@ def register_views(model: FulfillmentModel, prefix: str = "") -> FulfillmentMode
     return model
 
 
+class FilteredModel(FulfillmentModel):
+    """The views of a model under dashboard filters.
+
+    Order views filter the order service: dates, warehouse and carrier by column, region
+    and segment through the customer, category and supplier through the order's lines.
+    Inventory and forecast views filter by date, warehouse, and category and supplier
+    through the product; severity applies to the stockout views.
+    """
+
+    def __init__(self, base: FulfillmentModel, filters: ops.Filters):
+        super().__init__(base.src, base.p90_method)
+        self.base, self.filters = base, filters
+        self.once = base.once
+
+    @cached_property
+    def order_service(self) -> DataFrame:
+        return self.base._filtered(self.base.order_service, self.filters)
+
+    @cached_property
+    def mart_order_service(self) -> DataFrame:
+        return self.base._filtered(self.base.mart_order_service, self.filters)
+
+    def _stock(self, rows: DataFrame, date_column: str) -> DataFrame:
+        return ops.filter_stock(rows, self.filters, self.src.products, date_column)
+
+    @cached_property
+    def stockout_exceptions(self) -> DataFrame:
+        return ops.stockout_exceptions(self._stock(self.src.wms_inventory_snapshots, "snapshot_date"), severities=self.filters.severity)
+
+    @cached_property
+    def stockout_low_cover(self) -> DataFrame:
+        return ops.stockout_low_cover(self._stock(self.src.wms_inventory_snapshots, "snapshot_date"), severities=self.filters.severity)
+
+    @cached_property
+    def inventory_cover(self) -> DataFrame:
+        return ops.inventory_cover(self._stock(self.src.wms_inventory_snapshots, "snapshot_date"))
+
+    @cached_property
+    def forecast_accuracy_by_category(self) -> DataFrame:
+        return ops.forecast_accuracy_by_category(self._stock(self.src.demand_forecasts, "month"), self.src.products)
+
+    @cached_property
+    def demand_shock_trend(self) -> DataFrame:
+        return ops.demand_shock_trend(self._stock(self.src.demand_forecasts, "month"), self.src.products)
+
+    @cached_property
+    def forecast_bias_by_warehouse(self) -> DataFrame:
+        return ops.demand_shock_trend(self._stock(self.src.demand_forecasts, "month"), self.src.products, ["warehouse"])
+
+
+# One representative filter for each family of dimensions.
+CUSTOMER_FILTERS = ops.Filters(region=("EUROPE", "ASIA"), customer_segment=("BUILDING", "MACHINERY", "AUTOMOBILE"))
+PRODUCT_FILTERS = ops.Filters(product_category=("STANDARD", "PROMO", "ECONOMY"), supplier_id=(1, 2, 3, 5, 8), warehouse=("WH-CENTRAL", "WH-SOUTH"))
+STOCKOUT_FILTERS = ops.Filters(severity=("Critical", "High"), product_category=("STANDARD", "PROMO"),
+                               date_from=dt.date(1995, 1, 1), date_to=dt.date(1997, 12, 31))
 # A representative dashboard filter: two years, two warehouses, two carriers.
 DEFAULT_FILTERS = ops.Filters(
     date_from=dt.date(1996, 1, 1), date_to=dt.date(1997, 12, 31),

@@ -207,7 +207,7 @@ KPI = {
            coalesce({_rate('sum(backorder_units)', 'sum(units_ordered)')}, 0.0::DOUBLE) AS backorder_rate,
            {_rate('sum(lead_time_days)', 'count(lead_time_days)')} AS average_lead_time_days,
            round(avg(freight_cost_per_kg), 9) AS average_freight_cost_per_kg,
-           CAST(sum(cost_to_serve) AS DOUBLE) AS total_cost_to_serve,
+           coalesce(CAST(sum(cost_to_serve) AS DOUBLE), 0.0::DOUBLE) AS total_cost_to_serve,
            CAST(count(*) AS DOUBLE) AS total_orders
     FROM svc""",
     "kpi_wide": """
@@ -292,8 +292,11 @@ def _daily(partition: str = "") -> str:
     keys = f"{partition}, " if partition else ""
     part = f"PARTITION BY {partition} " if partition else ""
     sums = ",\n".join(
-        f"CAST(sum({c}) OVER w AS BIGINT) AS rolling_30d_{c}" for c in _DAILY_ROLL
+        f"CAST(sum(o.{c}) AS BIGINT) AS rolling_30d_{c}" for c in _DAILY_ROLL
     )
+    # the window under test restated as joins: by date range, and to the day before
+    same, prior = (f"{a}.{partition} = t.{partition}" if partition else "true" for a in "oy")
+    keyed = f"back_key = t.{partition}" if partition else "true"
     return f"""
     WITH daily AS (
         SELECT {keys}order_date, CAST(count(*) AS BIGINT) AS orders,
@@ -305,30 +308,49 @@ def _daily(partition: str = "") -> str:
                {_rate('sum(CAST(coalesce(otif, false) AS INTEGER))', 'count(*)')} AS daily_otif_rate,
                {_rate('sum(units_shipped)', 'sum(units_ordered)')} AS daily_fill_rate
         FROM mart GROUP BY {keys}order_date),
-    rolling AS (
-        SELECT *, {sums}
-        FROM daily
-        WINDOW w AS ({part}ORDER BY order_date ASC NULLS LAST
-                     RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW))
-    SELECT *, {_rate('rolling_30d_on_time_orders', 'rolling_30d_orders')} AS rolling_30d_otd_rate,
-              {_rate('rolling_30d_otif_orders', 'rolling_30d_orders')} AS rolling_30d_otif_rate,
-              {_rate('rolling_30d_units_shipped', 'rolling_30d_units_ordered')} AS rolling_30d_fill_rate,
-              daily_otd_rate - lag(daily_otd_rate) OVER ({part}ORDER BY order_date ASC NULLS LAST)
-                AS day_over_day_otd_change,
-              daily_otif_rate - lag(daily_otif_rate) OVER ({part}ORDER BY order_date ASC NULLS LAST)
-                AS day_over_day_otif_change
-    FROM rolling"""
-
-
-def _queue(where: str) -> str:
-    order = "backorder_units DESC NULLS LAST, cost_to_serve DESC NULLS LAST, order_id ASC NULLS LAST"
+    numbered AS (
+        SELECT *, row_number() OVER ({part}ORDER BY order_date ASC NULLS LAST) AS n FROM daily),
+    back AS (
+        SELECT t.{partition or "n"} AS back_key, t.n AS back_n, {sums}
+        FROM numbered t JOIN numbered o
+          ON {same} AND (o.order_date BETWEEN t.order_date - INTERVAL 29 DAYS AND t.order_date
+                         OR (o.order_date IS NULL AND t.order_date IS NULL))
+        GROUP BY t.{partition or "n"}, t.n)
+    SELECT t.* EXCLUDE (n), back.* EXCLUDE (back_key, back_n),
+           {_rate('rolling_30d_on_time_orders', 'rolling_30d_orders')} AS rolling_30d_otd_rate,
+           {_rate('rolling_30d_otif_orders', 'rolling_30d_orders')} AS rolling_30d_otif_rate,
+           {_rate('rolling_30d_units_shipped', 'rolling_30d_units_ordered')} AS rolling_30d_fill_rate,
+           t.daily_otd_rate - y.daily_otd_rate AS day_over_day_otd_change,
+           t.daily_otif_rate - y.daily_otif_rate AS day_over_day_otif_change
+    FROM numbered t JOIN back ON back_n = t.n AND {keyed}
+    LEFT JOIN numbered y ON y.n = t.n - 1 AND {prior}"""
+
+
+def _queue(where: str, rows: str = "svc") -> str:
     return f"""
-    SELECT *, CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS queue_rank
-    FROM (SELECT order_id, customer_id, warehouse, carrier, order_date, promised_date, delivery_date,
-                 units_ordered, units_shipped, backorder_units, cost_to_serve,
-                 CASE WHEN NOT on_time AND NOT in_full THEN 'both' WHEN NOT on_time THEN 'late' ELSE 'short' END AS reason
-          FROM svc WHERE {where}
-          ORDER BY {order} LIMIT 100)"""
+    SELECT order_id, customer_id, warehouse, carrier, order_date, promised_date, delivery_date,
+           units_ordered, units_shipped, backorder_units, cost_to_serve,
+           CASE WHEN NOT on_time AND NOT in_full THEN 'both' WHEN NOT on_time THEN 'late' ELSE 'short' END AS reason
+    FROM {rows} WHERE {where}"""
+
+
+def _region_segment(rows: str, extra: str = "") -> str:
+    return f"""
+    SELECT c.region, c.customer_segment, CAST(count(*) AS BIGINT) AS orders,
+           {_flag_rate('s.otif')} AS otif_rate, {_flag_rate('s.on_time')} AS on_time_delivery_rate,
+           {_rate('sum(s.units_shipped)', 'sum(s.units_ordered)')} AS unit_fill_rate,
+           CAST(sum(s.cost_to_serve) AS DECIMAL(38,2)) AS cost_to_serve
+    FROM {rows} s LEFT JOIN customers c ON c.customer_id = s.customer_id {extra}
+    GROUP BY c.region, c.customer_segment"""
+
+
+def _low_cover(where: str = "") -> str:
+    return f"""
+    SELECT warehouse, severity, severity_rank, CAST(count(*) AS BIGINT) AS exceptions,
+           CAST(sum(on_hand_units) AS BIGINT) AS on_hand_units,
+           round(avg(days_of_inventory), 9) AS average_days_of_inventory,
+           round(sum(average_daily_demand), 9) AS total_average_daily_demand
+    FROM stockouts {where} GROUP BY warehouse, severity, severity_rank"""
 
 
 def _pareto(by: str) -> str:
@@ -590,12 +612,7 @@ FINAL = {
                  arg_max(on_hand_units, snapshot_date) AS on_hand_units,
                  arg_max(average_daily_demand, snapshot_date) AS average_daily_demand
           FROM wms_inventory_snapshots GROUP BY warehouse, sku)""",
-    "stockout_low_cover": """
-    SELECT warehouse, severity, severity_rank, CAST(count(*) AS BIGINT) AS exceptions,
-           CAST(sum(on_hand_units) AS BIGINT) AS on_hand_units,
-           round(avg(days_of_inventory), 9) AS average_days_of_inventory,
-           round(sum(average_daily_demand), 9) AS total_average_daily_demand
-    FROM stockouts GROUP BY warehouse, severity, severity_rank""",
+    "stockout_low_cover": _low_cover(),
     "forecast_accuracy_by_category": f"""
     SELECT product_category, {_accuracy_cols()}
     FROM demand_forecasts f LEFT JOIN (SELECT sku, product_category FROM products) p USING (sku)
@@ -625,13 +642,16 @@ FINAL = {
            CAST(sum(units_shipped) AS BIGINT) AS units_processed, CAST(count(*) AS BIGINT) AS order_lines
     FROM erp_order_lines GROUP BY 1, 2""",
     # dashboard views
-    "service_by_region_segment": f"""
-    SELECT c.region, c.customer_segment, CAST(count(*) AS BIGINT) AS orders,
-           {_flag_rate('s.otif')} AS otif_rate, {_flag_rate('s.on_time')} AS on_time_delivery_rate,
-           {_rate('sum(s.units_shipped)', 'sum(s.units_ordered)')} AS unit_fill_rate,
-           CAST(sum(s.cost_to_serve) AS DECIMAL(38,2)) AS cost_to_serve
-    FROM svc s LEFT JOIN customers c ON c.customer_id = s.customer_id
-    GROUP BY c.region, c.customer_segment""",
+    "service_by_region_segment": _region_segment("svc"),
+    "filtered_service_by_region_segment": _region_segment(
+        "svc", "WHERE c.region IN ('EUROPE', 'ASIA') AND c.customer_segment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')"),
+    "filtered_exception_queue": _queue("""NOT otif AND warehouse IN ('WH-CENTRAL', 'WH-SOUTH') AND EXISTS (
+        SELECT 1 FROM erp_order_lines l JOIN products p ON p.sku = l.sku
+        WHERE l.order_id = svc.order_id AND l.supplier_id IN (1, 2, 3, 5, 8)
+          AND p.product_category IN ('STANDARD', 'PROMO', 'ECONOMY'))"""),
+    "filtered_stockout_low_cover": _low_cover("""WHERE severity IN ('Critical', 'High')
+        AND snapshot_date BETWEEN DATE '1995-01-01' AND DATE '1997-12-31'
+        AND sku IN (SELECT sku FROM products WHERE product_category IN ('STANDARD', 'PROMO'))"""),
     "carrier_quadrant": f"""
     SELECT c.carrier, c.orders, c.otif_rate, c.average_freight_cost_per_kg,
            p.portfolio_otif_rate, p.portfolio_freight_cost_per_kg,
@@ -661,7 +681,9 @@ FINAL = {
            CAST(sum(orders) OVER (ORDER BY lead_time_days ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT)
              AS cumulative_orders,
            {_rate('sum(orders) OVER (ORDER BY lead_time_days ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)',
-                  'sum(orders) OVER ()')} AS cumulative_share
+                  'sum(orders) OVER ()')} AS cumulative_share,
+           (SELECT quantile_cont(CAST(lead_time_days AS DOUBLE), 0.5) FROM svc) AS p50_lead_time_days,
+           (SELECT quantile_cont(CAST(lead_time_days AS DOUBLE), 0.9) FROM svc) AS p90_lead_time_days
     FROM (SELECT lead_time_days, CAST(count(*) AS BIGINT) AS orders FROM svc
           WHERE lead_time_days IS NOT NULL GROUP BY lead_time_days)""",
     "exception_cost_pareto": _pareto("carrier"),
@@ -721,8 +743,8 @@ FINAL = {
 }
 
 
-# Money columns (exact DECIMAL inside both engines) that each query hands over
-# as DOUBLE, the interchange type of the correctness check.
+# Money columns (exact DECIMAL inside both engines): each query hands them over as whole
+# numbers of the smallest unit, cents or (inventory value) ten-thousandths.
 MONEY_OUTPUTS = {
     'carrier_scorecard': ('total_exception_cost',),
     'critical_stockout_customers': ('customer_revenue',),
@@ -733,6 +755,8 @@ MONEY_OUTPUTS = {
     'exception_cost_pareto': ('exception_cost',),
     'exception_cost_pareto_by_warehouse': ('exception_cost',),
     'exception_queue': ('cost_to_serve',),
+    'filtered_exception_queue': ('cost_to_serve',),
+    'filtered_service_by_region_segment': ('cost_to_serve',),
     'filtered_order_service': ('revenue', 'freight_cost', 'handling_cost', 'exception_cost', 'cost_to_serve', 'shipment_weight_kg'),
     'freight_per_kg_by_carrier': ('freight_cost', 'shipment_weight_kg'),
     'late_full_queue': ('cost_to_serve',),
@@ -764,8 +788,9 @@ def _interchange(name: str, sql: str) -> str:
     money = MONEY_OUTPUTS.get(name)
     if not money:
         return sql
-    casts = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in money)
-    return f"SELECT * REPLACE ({casts}) FROM (\n{sql}\n) AS q"
+    unit = {"inventory_value": (10000, "_e4")}
+    casts = ", ".join(f"CAST({c} * {unit.get(c, (100, ''))[0]} AS BIGINT) AS {c}{unit.get(c, (0, '_cents'))[1]}" for c in money)
+    return f"SELECT * EXCLUDE ({', '.join(money)}), {casts} FROM (\n{sql}\n) AS q"
 
 
 def oracle_sql() -> dict[str, str]:

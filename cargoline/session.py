@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,9 +52,10 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is
-    unset -- local tests and the bench -- a fresh scratch folder is created and
-    registered, so reruns never clear or reuse an old folder.
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only a local master
+    without that setting -- tests and the bench -- gets a fresh scratch folder, so
+    reruns never clear or reuse an old one.  On a cluster an unset folder is an error:
+    a scratch folder of one machine is not seen by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -61,6 +63,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="cargoline-ckpt-", dir=os.environ.get("CARGOLINE_SCRATCH", "/tmp"))
     sc.setCheckpointDir(folder)
     return folder

@@ -14,8 +14,8 @@ Scale notes
 * nation (25 rows) and region (5 rows) are fixed-size TPC-H dimensions: the
   only explicit broadcasts here.
 * The inventory/forecast grid is months x warehouses x parts.  It is never
-  shuffled: demand is folded into one small map per SKU (bounded by the
-  calendar), joined to the parts on ``sku`` and exploded inside each task; the
+  shuffled: demand is folded into one short list per SKU and warehouse (bounded
+  by the calendar), joined to the parts and written out inside each task; the
   month span is a one-row aggregate (no cross join of large inputs).
 """
 from __future__ import annotations
@@ -171,54 +171,39 @@ def monthly_demand_grid(lines: DataFrame, products_df: DataFrame) -> DataFrame:
     """Dense month x warehouse x sku grid with demand (0 where nothing was
     ordered), ``days_in_month`` and the SKU's ``unit_price``.
 
-    The grid is never shuffled.  Demand is aggregated per (month, warehouse,
-    sku) and folded into one map per SKU keyed by the cell's position
-    ``month_offset * 3 + warehouse_index`` (at most months x warehouses
-    entries: bounded by the calendar, not by order volume).  The map joins the
-    products on ``sku``; each task then turns it into a dense array and
-    ``posexplode``s it into the SKU's cells, so ``demand`` is a generator
-    output that later filters cannot re-inline.  The month span is a one-row
-    aggregate of the demand table itself.
+    Months are the calendar span of the lines, warehouses those that occur in them; lines
+    without a date or a warehouse have no cell.  The grid is never shuffled.  Demand is
+    folded to one short list of (month, demand) per SKU and warehouse (at most one entry
+    a calendar month); the lists join the products on ``sku`` and each task writes out the
+    zeros between their entries, in one pass over the list.  The span and the warehouses
+    are one row, read off the folded lists (the same exchange).
     """
-    demand = lines.groupBy(F.trunc("order_date", "month").alias("month"), "warehouse", "sku").agg(
-        F.sum("units_ordered").alias("demand")
-    )
-    span = demand.agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"))
-    per_sku = demand.crossJoin(F.broadcast(span)).groupBy("sku").agg(  # span: one row
-        F.map_from_entries(F.collect_list(F.struct(_cell_position("month", "warehouse"), "demand"))).alias("_by_cell")
-    )
-    n_cells = (F.months_between("last_month", "first_month").cast(T.IntegerType()) + 1) * len(WAREHOUSES)
-    dense = F.transform(
-        F.sequence(F.lit(0), n_cells - 1),
-        lambda i: F.coalesce(F.element_at(F.col("_by_cell"), i), F.lit(0).cast(T.LongType())),
+    month_number = F.year("order_date") * 12 + F.month("order_date") - 1
+    cells = lines.filter(F.col("order_date").isNotNull() & F.col("warehouse").isNotNull()).groupBy(
+        "sku", "warehouse", month_number.alias("_m")).agg(F.sum("units_ordered").cast(T.LongType()).alias("_d"))
+    folded = cells.groupBy("sku", "warehouse").agg(F.sort_array(F.collect_list(F.struct("_m", "_d"))).alias("_cells"))
+    span = folded.agg(  # one row
+        F.min(F.col("_cells")[0]["_m"]).alias("_first"), F.max(F.element_at("_cells", -1)["_m"]).alias("_last"),
+        F.sort_array(F.collect_set("warehouse")).alias("_warehouses"),
     )
+    entry = F.col("_cells")
+    upto = lambda i: F.coalesce(F.get(entry, i)["_m"], F.col("_last") + 1)  # noqa: E731  the next entry's month
+    zeros = lambda n: F.array_repeat(F.lit(0).cast(T.LongType()), n)
+    filled = F.flatten(F.transform(entry, lambda e, i: F.concat(
+        F.array(F.coalesce(e["_d"], F.lit(0).cast(T.LongType()))), zeros(upto(i + 1) - e["_m"] - 1))))
+    dense = F.when(entry.isNull(), zeros(F.col("_last") - F.col("_first") + 1)).otherwise(
+        F.concat(zeros(entry[0]["_m"] - F.col("_first")), filled))
+    listed = products_df.select("sku", "unit_price").crossJoin(F.broadcast(span))
+    listed = listed.withColumn("warehouse", F.explode("_warehouses"))
     return (
-        products_df.select("sku", "unit_price")
-        .join(per_sku, "sku", "left")
-        .crossJoin(F.broadcast(span))  # one-row side
-        .select("sku", "unit_price", "first_month", F.posexplode(dense).alias("_cell", "demand"))
-        .withColumn("month", F.add_months("first_month", F.expr(f"_cell div {len(WAREHOUSES)}")))
-        .select(
-            "month",
-            F.element_at(F.array(*[F.lit(w) for w in WAREHOUSES]),
-                         (F.col("_cell") % len(WAREHOUSES) + 1).cast(T.IntegerType())).alias("warehouse"),
-            "sku", "unit_price", "demand",
-            F.dayofmonth(F.last_day("month")).alias("days_in_month"),
-        )
+        listed.join(folded, ["sku", "warehouse"], "left")
+        .select("sku", "unit_price", "warehouse", "_first", F.posexplode(dense).alias("_i", "demand"))
+        .withColumn("_m", F.col("_first") + F.col("_i"))
+        .withColumn("month", F.make_date(F.expr("_m div 12").cast("int"), (F.col("_m") % 12 + 1).cast("int"), F.lit(1)))
+        .select("month", "warehouse", "sku", "unit_price", "demand", F.dayofmonth(F.last_day("month")).alias("days_in_month"))
     )
 
 
-def _cell_position(month: str, warehouse: str) -> Column:
-    """Position of a (month, warehouse) cell in a SKU's dense grid row (needs
-    ``first_month`` in scope); an unknown warehouse gets no position."""
-    wh = F.col(warehouse)
-    idx = None
-    for i, w in enumerate(WAREHOUSES):
-        idx = F.when(wh == w, i) if idx is None else idx.when(wh == w, i)
-    offset = F.months_between(F.col(month), F.col("first_month")).cast(T.IntegerType())
-    return offset * len(WAREHOUSES) + idx
-
-
 def wms_inventory_snapshots(grid: DataFrame) -> DataFrame:
     m = F.month("month")
     cents = (F.col("unit_price") * 100).cast(T.LongType())

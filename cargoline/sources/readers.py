@@ -4,6 +4,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cargoline.schemas import source_schemas
@@ -84,6 +85,16 @@ def read_parquet_sources(spark: SparkSession, folder: str) -> Sources:
     return Sources(**tables)
 
 
+def by_month(df: DataFrame) -> DataFrame:
+    """``df`` with its ``order_month``, rebalanced by it before a partitioned write.
+
+    Rows of a month meet in one task, and adaptive execution splits a large month and
+    joins small ones to the advisory partition size, so the number of files follows the
+    bytes written, not writers x months.
+    """
+    return df.withColumn("order_month", F.trunc("order_date", "month")).hint("rebalance", "order_month")
+
+
 def write_parquet_sources(sources: Sources, folder: str, mode: str = "overwrite",
                           keep_projections: bool = False) -> Sources:
     """Write the tables as parquet and point ``sources`` at the written copies.
@@ -96,8 +107,6 @@ def write_parquet_sources(sources: Sources, folder: str, mode: str = "overwrite"
     an intermediate stay projections over its written files; by default every
     table is written, so the folder is a complete, re-readable extract.
     """
-    from pyspark.sql import functions as F
-
     spark = sources.erp_order_lines.sparkSession
     order = ["erp_order_lines"] + [n for n in SOURCE_FILES if n != "erp_order_lines"]
     skip = set(sources.projections()) if keep_projections else set()
@@ -107,8 +116,7 @@ def write_parquet_sources(sources: Sources, folder: str, mode: str = "overwrite"
         df = getattr(sources, name)
         path = os.path.join(folder, SOURCE_FILES[name])
         if name == "erp_order_lines":
-            (df.withColumn("order_month", F.trunc("order_date", "month"))
-               .write.mode(mode).partitionBy("order_month").parquet(path))
+            by_month(df).write.mode(mode).partitionBy("order_month").parquet(path)
             sources.rebase(name, spark.read.parquet(path).drop("order_month"))
             for shared in sources.intermediates():  # e.g. the demand grid, from the written lines
                 shared_path = os.path.join(folder, "_" + shared)
