@@ -7,9 +7,10 @@ three steps:
    dealt by hash to so many parts (a number fixed by the size class) that at least one
    part with content is equal in both sets, so documents with an equal part are
    candidates, and no link is lost.  Keys of parts travel as packed, sorted blocks.
+   A part of fewer than three shingles says little (a common passage would make
+   candidates of strangers): among its documents, those stay candidates whose bitmaps
+   allow the threshold, found by the trees of step 3.
 2. *Blocks.*  Connected candidates form a block; a large block is cut into sub-blocks.
-   Keys of parts with fewer than three shingles join nothing to a component (a common
-   passage would glue strangers together); their documents form blocks of their own.
 3. *Trees.*  Each sub-block builds a tree whose nodes hold the OR of their documents'
    token bitmaps and the range of their sizes.  A dual traversal drops a pair of nodes
    where even the largest possible overlap is too small or where all are linked already;
@@ -30,8 +31,11 @@ from pyspark.sql import functions as F
 from cargoline.llm.common import WordHasher, ascii_fold, mix64, slices, text_bytes, written
 from cargoline.llm.components import connected_components
 
-BITS = 1024
+#: bits of a bitmap: a power of two, twice the set's size between these bounds
+LEAST_BITS, MOST_BITS = 1024, 65536
 FANOUT = 8
+#: documents of a weak key that one task compares by bitmap
+WEAK_MEMBERS = 4096
 #: shingles in a sub-block
 BLOCK_SHINGLES = 1 << 19
 _WEAK = np.uint64(1)
@@ -141,14 +145,28 @@ def _set_hash(s: np.ndarray) -> tuple[int, int]:
     return (digest >> 64) - (1 << 63), (digest & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """The token bitmap of a set, as 64-bit words."""
+    width = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(shingles) - 1).bit_length()))
+    bits = np.zeros(width, np.uint8)
+    bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.uint64)
+
+
+def _folded(bitmaps: list[np.ndarray]) -> np.ndarray:
+    """Bitmaps of one width: wider ones are folded, as a place is a hash modulo the width."""
+    width = min(len(b) for b in bitmaps)
+    return np.stack([np.bitwise_or.reduce(b.reshape(-1, width), 0) for b in bitmaps])
+
+
 def _describe(k: int):
     def run(batches):
         for batch in batches:
             sets = list(_sets(batch, k))
             hashes = [_set_hash(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([h[i] for h in hashes], pa.int64()) for i in (0, 1))],
-                names=["doc_id", "n_shingles", "h1", "h2"])
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([h[i] for h in hashes], pa.int64()) for i in (0, 1)),
+                 pa.array([bitmap(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "n_shingles", "h1", "h2", "bits"])
 
     return run
 
@@ -255,31 +273,25 @@ class SignatureTree:
     """A tree over sets sorted by size: each node has the OR of bitmaps, the size range, and
     the most shingles that any set below has beyond its bits."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sizes = np.array([len(s) for s in sets])
-        self.order = np.lexsort(([int(s[0]) & 0x7FFFFFFFFFFFFFFF for s in sets], self.sizes))
-        self.sizes = self.sizes[self.order]
-        bitmaps = np.zeros((len(sets), BITS // 64), np.uint64)
-        for row, i in enumerate(self.order):
-            bits = np.zeros(BITS, np.uint8)
-            bits[(sets[i] & np.uint64(BITS - 1)).astype(np.int64)] = 1
-            bitmaps[row] = np.packbits(bits).view(np.uint64)
-        slack = self.sizes - np.bitwise_count(bitmaps).sum(1)
-        self.levels = [(bitmaps, self.sizes, self.sizes, slack)]
+    def __init__(self, bitmaps: list[np.ndarray], sizes: list[int]):
+        bits = _folded(bitmaps)
+        self.order = np.lexsort((bits[:, 0], sizes))
+        bits, size = bits[self.order], np.asarray(sizes, np.int64)[self.order]
+        slack = size - np.bitwise_count(bits).sum(1)
+        self.levels = [(bits, size, size, slack)]
         while len(self.levels[-1][0]) > 1:
             bits, low, high, more = self.levels[-1]
             cuts = np.arange(0, len(bits), FANOUT)
             self.levels.append((np.bitwise_or.reduceat(bits, cuts), np.minimum.reduceat(low, cuts), np.maximum.reduceat(high, cuts), np.maximum.reduceat(more, cuts)))
 
 
-def dual_traversal(left: SignatureTree, right: SignatureTree, same: bool, num: int, den: int, linked, check) -> None:
-    """Visit the pairs of documents that may reach the threshold.
+def dual_traversal(tree: SignatureTree, num: int, den: int, linked, check) -> None:
+    """Visit the pairs of documents of a tree that may reach the threshold.
 
-    ``linked(a range, b range)`` says whether all of two ranges are in one component, and
-    ``check(i, j)`` verifies two documents (places in the trees' orders).
+    ``linked(a0, a1, b0, b1)`` says whether nothing is to be found between two ranges, and
+    ``check(i, j)`` takes a pair of documents (places in the tree's order).
     """
-    top = max(len(left.levels), len(right.levels)) - 1
-    stack = [(top, 0, 0)]
+    stack = [(len(tree.levels) - 1, 0, 0)]
     while stack:
         level, a, b = stack.pop()
         width = FANOUT ** level
@@ -288,29 +300,24 @@ def dual_traversal(left: SignatureTree, right: SignatureTree, same: bool, num: i
         if level == 0:
             check(a, b)
             continue
-        # the children's pairs at once
-        la, lb = left.levels[min(level - 1, len(left.levels) - 1)], right.levels[min(level - 1, len(right.levels) - 1)]
-        a0 = a * FANOUT if level - 1 < len(left.levels) else 0
-        b0 = b * FANOUT if level - 1 < len(right.levels) else 0
-        sa = slice(a0, a0 + FANOUT if level - 1 < len(left.levels) else 1)
-        sb = slice(b0, b0 + FANOUT if level - 1 < len(right.levels) else 1)
-        bits = np.bitwise_count(la[0][sa, None] & lb[0][None, sb]).sum(2)
-        low = la[1][sa, None] + lb[1][None, sb]
-        most = np.minimum(bits + np.minimum(la[3][sa, None], lb[3][None, sb]), np.minimum(la[2][sa, None], lb[2][None, sb]))
-        # |x & y| >= t * |x | y| needs (1 + t) |x & y| >= t (|x| + |y|), and sizes within a factor t
-        fits = ((num + den) * most >= num * low) & (den * la[2][sa, None] >= num * lb[1][None, sb]) & (den * lb[2][None, sb] >= num * la[1][sa, None])
+        bits, least, most, slack = tree.levels[level - 1]
+        sa, sb = slice(a * FANOUT, (a + 1) * FANOUT), slice(b * FANOUT, (b + 1) * FANOUT)
+        shared = np.bitwise_count(bits[sa, None] & bits[None, sb]).sum(2) + np.minimum(slack[sa, None], slack[None, sb])
+        overlap = np.minimum(shared, np.minimum(most[sa, None], most[None, sb]))
+        # |x & y| >= t |x | y| needs (1 + t) |x & y| >= t (|x| + |y|), and sizes within a factor t
+        fits = (num + den) * overlap >= num * (least[sa, None] + least[None, sb])
+        fits &= (den * most[sa, None] >= num * least[None, sb]) & (den * most[None, sb] >= num * least[sa, None])
         for i, j in np.argwhere(fits)[::-1].tolist():
-            if not same or a0 + i <= b0 + j:
-                stack.append((level - 1, a0 + i, b0 + j))
+            if a * FANOUT + i <= b * FANOUT + j:
+                stack.append((level - 1, a * FANOUT + i, b * FANOUT + j))
 
 
-def link_sets(sets: list[np.ndarray], num: int, den: int, labels: list | None = None, minor: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links (pairs of places) that join components among ``sets``.
-
-    ``labels`` are components known before.  With ``minor``, only pairs with a minor set
-    are looked at.
-    """
-    tree = SignatureTree(sets)
+def link_sets(bitmaps: list[np.ndarray], sizes: list[int], num: int, den: int, verify, labels: list | None = None,
+              minor: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links (pairs of places) that join components.  ``verify(i, j)`` decides a pair that the
+    bitmaps allow.  ``labels`` are components known before; with ``minor``, only pairs with
+    a minor set are looked at."""
+    tree = SignatureTree(bitmaps, sizes)
     order = tree.order
     known = {}
     label = np.array([known.setdefault(labels[i] if labels else i, len(known)) for i in order])
@@ -322,73 +329,100 @@ def link_sets(sets: list[np.ndarray], num: int, den: int, labels: list | None =
         return bool((la == la[0]).all() and (lb == la[0]).all()) or small is not None and not small[a0:a1].any() and not small[b0:b1].any()
 
     def check(i, j):
-        if label[i] != label[j]:
-            x, y = sets[order[i]], sets[order[j]]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if den * both >= num * (len(x) + len(y) - both):
-                found.append((int(order[i]), int(order[j])))
-                label[label == label[j]] = label[i]
+        if label[i] != label[j] and verify(order[i], order[j]):
+            found.append((int(order[i]), int(order[j])))
+            label[label == label[j]] = label[i]
 
-    dual_traversal(tree, tree, True, num, den, linked, check)
+    dual_traversal(tree, num, den, linked, check)
     return found
 
 
+def _allowed(num: int, den: int):
+    """Rows (block, cell, a, n, bits) sorted by block and cell -> links (a, b) that bitmaps allow."""
+
+    def solve(rows):
+        members, sizes, bits = zip(*rows)
+        maps = [np.frombuffer(b, np.uint64) for b in bits]
+        return [(members[i], members[j]) for i, j in link_sets(maps, list(sizes), num, den, lambda i, j: True)]
+
+    return _grouped(2, solve)
+
+
+def _grouped(n_keys: int, solve):
+    """mapInArrow over rows sorted by their first ``n_keys`` columns: links of each group."""
+
+    def run(batches):
+        key, rows, out = None, [], []
+        for batch in batches:
+            for values in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+                if values[:n_keys] != key:
+                    if len(rows) > 1:
+                        out += solve(rows)
+                    key, rows = values[:n_keys], []
+                rows.append(values[n_keys:])
+            if len(out) > 10_000:
+                yield _links(out)
+                out = []
+        if len(rows) > 1:
+            out += solve(rows)
+        yield _links(out)
+
+    return run
+
+
+def _links(pairs):
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
 _PLACED = "block long, sub int, doc long, label long, minor boolean, shingles binary"
 
 
-def _place(k: int):
+def _place(k: int, batch_bytes: int = 8 << 20):
     """Texts with their places -> one row for each place, with the shingles."""
+    types = pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()
+
+    def packed(rows):
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, types)], names=["block", "sub", "doc", "label", "minor", "shingles"])
 
     def run(batches):
         for batch in batches:
-            rows = [[] for _ in range(6)]
+            rows, size = [[] for _ in types], 0
             for doc, s, places in zip(batch.column("doc_id").to_pylist(), _sets(batch, k), batch.column("places").to_pylist()):
                 raw = s.tobytes()
                 for p in places:
                     for column, value in zip(rows, (p["block"], p["sub"], doc, p["label"], p["minor"], raw)):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))],
-                                             names=["block", "sub", "doc", "label", "minor", "shingles"])
+                    size += len(raw)
+                    if size > batch_bytes:
+                        yield packed(rows)
+                        rows, size = [[] for _ in types], 0
+            yield packed(rows)
 
     return run
 
 
 def _join(num: int, den: int):
-    """Rows sorted by (block, sub) -> links (a, b)."""
+    """Rows (block, sub, doc, label, minor, shingles) sorted by block and sub -> links (a, b)."""
 
     def solve(rows):
-        docs, sets, labels, minors = {}, [], [], []
+        sets, labels, minors = {}, [], []
         for doc, label, minor, raw in rows:
-            if doc not in docs:  # a leader is in every sub-block
-                docs[doc] = len(sets)
-                sets.append(np.frombuffer(raw, np.uint64))
+            if doc not in sets:  # a leader is in every sub-block
+                sets[doc] = np.frombuffer(raw, np.uint64)
                 labels.append(label)
-                minors.append(bool(minor))
-        who = list(docs)
-        only = np.array(minors) if any(m is not None for m in (r[2] for r in rows)) else None
-        return [(who[i], who[j]) for i, j in link_sets(sets, num, den, labels, only)]
-
-    def run(batches):
-        key, rows, out = None, [], []
-        for batch in batches:
-            for block, sub, *row in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if (block, sub) != key:
-                    if len(rows) > 1:
-                        out += solve(rows)
-                    key, rows = (block, sub), []
-                rows.append(row)
-            if len(out) > 10_000:
-                yield _links(out)
-                out = []
-        if len(rows) > 1:
-            out += solve(rows)
-        yield _links(out)
+                minors.append(minor)
+        who, values = list(sets), list(sets.values())
 
-    return run
+        def verify(i, j):
+            x, y = values[i], values[j]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return den * both >= num * (len(x) + len(y) - both)
 
+        only = np.array(minors, bool) if minors[0] is not None else None
+        links = link_sets([bitmap(x) for x in values], [len(x) for x in values], num, den, verify, labels, only)
+        return [(who[i], who[j]) for i, j in links]
 
-def _links(pairs):
-    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
+    return _grouped(2, solve)
 
 
 def _solve(texts: DataFrame, places: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -409,24 +443,31 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
-    about = written(texts.mapInArrow(_describe(k), "doc_id long, n_shingles long, h1 long, h2 long"), "sets")
+    about = written(texts.mapInArrow(_describe(k), "doc_id long, n_shingles long, h1 long, h2 long, bits binary"), "sets")
     # equal sets are one member, named by its smallest id
-    member = about.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"))
+    filled = about.where("n_shingles > 0")
+    member = written(filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n")), "members")
 
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     routed = texts.mapInArrow(_route(k, num, den, buckets), "bucket int, entries binary, links binary")
     found = written(routed.repartition(buckets, "bucket").mapInArrow(_candidates, "block long, a long, b long"), "candidates")
+    # documents of a weak key whose bitmaps allow the threshold; a large group in cells
+    weak = found.where("block is not null").select("block", "a")
+    sized = weak.groupBy("block").agg(F.ceil(F.count("*") / WEAK_MEMBERS).cast("int").alias("subs"))
+    sub = F.pmod(F.xxhash64("a"), F.col("subs")).cast("int")
+    cells = weak.join(sized, "block").withColumn("sub", sub).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
+    cells = cells.select("block", (F.least("sub", "other") * F.col("subs") + F.greatest("sub", "other")).alias("cell"), "a")
+    signed = about.join(member.select("h1", "h2", "doc"), (about["doc_id"] == F.col("doc")) & (about["h1"] == member["h1"]) & (about["h2"] == member["h2"]))
+    signed = signed.select(about["h1"].alias("a"), F.col("n_shingles").alias("n"), "bits")
+    allowed = cells.join(signed, "a").select("block", "cell", "a", "n", "bits").repartition("block", "cell").sortWithinPartitions("block", "cell", "a")
+    allowed = allowed.mapInArrow(_allowed(num, den), "a long, b long")
     of = member.select(F.col("h1").alias("h"), "doc")
     pairs = (
-        found.where("block is null").select("a", "b").distinct()
+        found.where("block is null").select("a", "b").union(allowed).distinct()
         .join(of.withColumnsRenamed({"h": "a", "doc": "x"}), "a").join(of.withColumnsRenamed({"h": "b", "doc": "y"}), "b").select("x", "y")
     )
-    strong = connected_components(pairs, "x", "y").select(F.col("component").alias("block"), F.col("node").alias("doc"))
-    weak = found.where("block is not null").select("block", F.col("a").alias("h")).distinct().join(of, "h").select("block", "doc")
-    # the two kinds of block have their own numbers
-    blocks = written(
-        strong.select(F.xxhash64(F.lit("strong"), "block").alias("block"), "doc").union(weak.select(F.xxhash64(F.lit("weak"), "block").alias("block"), "doc"))
-        .join(member.select("doc", "n"), "doc"), "blocks")
+    routed = connected_components(pairs, "x", "y").select(F.col("component").alias("block"), F.col("node").alias("doc"))
+    blocks = written(routed.join(member.select("doc", "n"), "doc"), "blocks")
     sized = blocks.groupBy("block").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("subs"), F.min("doc").alias("leader"), F.count("*").alias("size")).where("size > 1")
     placed = blocks.join(sized, "block").withColumn("sub", F.pmod(F.xxhash64("doc"), F.col("subs")).cast("int"))
     everywhere = F.sequence(F.lit(0), F.col("subs") - 1)
@@ -447,7 +488,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
             "doc", "block", F.explode(F.when(F.col("minor"), everywhere).otherwise(F.array("sub"))).alias("sub"), "label", "minor")
         links = links.union(written(_solve(texts, again, k, num, den), "links"))
     whole = connected_components(links, "a", "b").withColumnRenamed("node", "doc")
-    named = about.join(member.select("h1", "h2", "doc"), ["h1", "h2"], "left").join(whole, "doc", "left")
+    named = about.drop("bits").join(member.select("h1", "h2", "doc"), ["h1", "h2"], "left").join(whole, "doc", "left")
     return named.select("doc_id", "n_shingles", F.coalesce("component", "doc", "doc_id").alias("component_id"))
 
 
