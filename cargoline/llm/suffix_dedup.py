@@ -31,7 +31,7 @@ from cargoline.llm.common import WordHasher, slices, text_bytes, written
 
 #: bytes of a hashed substring; no byte of UTF-8 text is 0xFF
 GRAM, _PAD = 64, 0xFF
-#: contexts that one task merges, and contexts of one anchor before it is dealt to several
+#: contexts that one task merges, and texts that hold one anchor before it is dealt to several
 MERGE_ROWS, HOT_ROWS = 30_000, 50_000
 
 
@@ -73,7 +73,7 @@ def anchors(grams: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarray:
 
 
 def _find(length: int):
-    schema = pa.schema([("anchor", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("pos", pa.int64())])
+    schema = pa.schema([("anchor", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("pos", pa.int64()), ("fresh", pa.int32())])
 
     def run(batches):
         make = Grams()
@@ -85,7 +85,10 @@ def _find(length: int):
                 grams = make(buf[offsets[a]: offsets[b]])
                 at = anchors(grams, own, length)
                 doc = np.searchsorted(own, at, "right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (grams[at].view(np.int64), w1[a:b][doc], w2[a:b][doc], at - own[doc])], schema=schema)
+                found = grams[at].view(np.int64)
+                fresh = np.zeros(len(at), np.int32)  # the first of its kind in its text
+                fresh[np.unique(np.stack([doc, found]), axis=1, return_index=True)[1]] = 1
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found, w1[a:b][doc], w2[a:b][doc], at - own[doc], fresh)], schema=schema)
 
     return run
 
@@ -342,13 +345,13 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("w1"), F.xxhash64(F.lit(1), text).alias("w2"), text.alias("text"))
     texts = keyed.where(F.octet_length("text") >= length)
-    found = written(texts.select("w1", "w2", "text").mapInArrow(_find(length), "anchor long, w1 long, w2 long, pos long"), "anchors")
+    found = written(texts.select("w1", "w2", "text").mapInArrow(_find(length), "anchor long, w1 long, w2 long, pos long, fresh int"), "anchors")
     place = F.xxhash64("w1", "w2", "pos")
-    counted = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min(place).alias("low"), F.max(place).alias("high"))
+    counted = found.groupBy("anchor").agg(F.sum("fresh").alias("n"), F.min(place).alias("low"), F.max(place).alias("high"))
     repeated = counted.where("low <> high").select("anchor", F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("salts"))
     # one row of each distinct text speaks for all
     rows = written(texts.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min("id").alias("speaker")), "texts")
-    places = found.join(repeated, "anchor").groupBy("w1", "w2").agg(F.collect_set(F.struct("pos", "salts")).alias("places"))
+    places = found.drop("fresh").join(repeated, "anchor").groupBy("w1", "w2").agg(F.collect_set(F.struct("pos", "salts")).alias("places"))
     per_text = written(places.join(rows, ["w1", "w2"]).withColumnsRenamed({"w1": "v1", "w2": "v2"}), "repeated-anchors")
     total = per_text.agg(F.sum(F.size("places"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / MERGE_ROWS))
