@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoline.llm.common import read_table, remainder
+from cargoline.llm.sql import ORACLE_SQL  # noqa: F401
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,4 +93,3 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontamination, op3_token_counts, op4_suffix_dedup, op5_best_fit_packing, op6_sharding, op7_fingerprints,
     op8_line_dedup, op9_jaccard_join, op10_toxicity)}
-ORACLE_SQL: dict[str, str] = {}
