@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 UNDETERMINED = "und"
+_PADDING = bytes(64)
 _OTHER = re.compile(r"[\W\d_]+")
 RESULT = "lang_pred string, score double, margin double, rejected boolean"
 
@@ -36,28 +37,25 @@ class LanguageModel:
     dictionaries: dict[str, bytes]
     level: int = 9
     block_bytes: int = 2048
-    #: texts below ``short_bytes`` are compressed at ``short_level``, which finds more matches
+    #: blocks below ``short_bytes`` are padded, or the compressor would store them as they are
     short_bytes: int = 256
-    short_level: int = 19
     #: rejected where (second best - best) bytes < min_margin * text bytes ** 0.5
     min_margin: float = 0.05
     #: bits of advantage are scaled by this before the soft maximum
     temperature: float = 0.05
     _ready: dict = field(default_factory=dict, repr=False, compare=False)
 
-    def compressors(self, level: int) -> dict:
-        if level not in self._ready:
+    def compressors(self) -> dict:
+        if not self._ready:
             import zstandard as zstd
 
-            extra = {"min_match": 3} if level == self.short_level else {}
             params = zstd.ZstdCompressionParameters.from_level(
-                level, write_content_size=False, write_checksum=False, write_dict_id=False, **extra)
-            ready = self._ready[level] = {}
+                self.level, min_match=3, write_content_size=False, write_checksum=False, write_dict_id=False)
             for lang, raw in self.dictionaries.items():
                 content = zstd.ZstdCompressionDict(raw, dict_type=zstd.DICT_TYPE_RAWCONTENT)
                 content.precompute_compress(compression_params=params)
-                ready[lang] = zstd.ZstdCompressor(dict_data=content, compression_params=params).compress
-        return self._ready[level]
+                self._ready[lang] = zstd.ZstdCompressor(dict_data=content, compression_params=params).compress
+        return self._ready
 
     def __getstate__(self):
         return {**self.__dict__, "_ready": {}}
@@ -71,8 +69,8 @@ class LanguageModel:
         if not raw:
             return UNDETERMINED, 0.0, 0.0, True
         blocks = [raw[i: i + self.block_bytes] for i in range(0, len(raw), self.block_bytes)]
-        use = self.compressors(self.short_level if len(raw) < self.short_bytes else self.level)
-        sizes = sorted((sum(len(c(b)) for b in blocks), i, lang) for i, (lang, c) in enumerate(use.items()))
+        blocks[-1] += _PADDING * (len(blocks[-1]) < self.short_bytes)
+        sizes = sorted((sum(len(c(b)) for b in blocks), i, lang) for i, (lang, c) in enumerate(self.compressors().items()))
         best = sizes[0]
         margin = float(sizes[1][0] - best[0]) if len(sizes) > 1 else float(len(raw))
         weight = sum(math.exp(min(0.0, (best[0] - s) * 8 * self.temperature)) for s, _, _ in sizes)
