@@ -36,8 +36,8 @@ LEAST_BITS, MOST_BITS = 1024, 65536
 FANOUT = 8
 #: documents of a weak key that one task compares by bitmap
 WEAK_MEMBERS = 4096
-#: shingles in a sub-block
-BLOCK_SHINGLES = 1 << 19
+#: shingles in a sub-block, and shingles of the corpus for each bucket of keys
+BLOCK_SHINGLES, BUCKET_SHINGLES = 1 << 19, 1 << 23
 _WEAK = np.uint64(1)
 
 
@@ -448,9 +448,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     filled = about.where("n_shingles > 0")
     member = written(filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n")), "members")
 
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = about.agg(F.sum("n_shingles")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_SHINGLES))
     routed = texts.mapInArrow(_route(k, num, den, buckets), "bucket int, entries binary, links binary")
-    found = written(routed.repartition(buckets, "bucket").mapInArrow(_candidates, "block long, a long, b long"), "candidates")
+    found = written(routed.repartitionById(buckets, "bucket").mapInArrow(_candidates, "block long, a long, b long"), "candidates")
     # documents of a weak key whose bitmaps allow the threshold; a large group in cells
     weak = found.where("block is not null").select("block", "a")
     sized = weak.groupBy("block").agg(F.ceil(F.count("*") / WEAK_MEMBERS).cast("int").alias("subs"))

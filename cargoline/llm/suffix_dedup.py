@@ -357,7 +357,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / MERGE_ROWS))
     speaking = texts.join(per_text, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2")) & F.col("id").eqNullSafe(F.col("speaker")))
     shards = speaking.select("w1", "w2", "text", "places").mapInArrow(_shards(length, buckets), "bucket int, shard binary")
-    spans = written(shards.repartition(buckets, "bucket").mapInArrow(_merge(length), _SPANS), "spans")
+    spans = written(shards.repartitionById(buckets, "bucket").mapInArrow(_merge(length), _SPANS), "spans")
     dealt = spans.where("h1 is not null")
     mark = F.xxhash64("w1", "w2", "a")
     again = dealt.groupBy("h1", "h2").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low <> high").select("h1", "h2")
