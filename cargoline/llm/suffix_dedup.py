@@ -73,7 +73,7 @@ def anchors(grams: np.ndarray, offsets: np.ndarray, length: int) -> np.ndarray:
 
 
 def _find(length: int):
-    schema = pa.schema([("anchor", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("pos", pa.int64()), ("fresh", pa.int32())])
+    schema = pa.schema([("anchor", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("pos", pa.list_(pa.int64()))])
 
     def run(batches):
         make = Grams()
@@ -85,10 +85,12 @@ def _find(length: int):
                 grams = make(buf[offsets[a]: offsets[b]])
                 at = anchors(grams, own, length)
                 doc = np.searchsorted(own, at, "right") - 1
-                found = grams[at].view(np.int64)
-                fresh = np.zeros(len(at), np.int32)  # the first of its kind in its text
-                fresh[np.unique(np.stack([doc, found]), axis=1, return_index=True)[1]] = 1
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found, w1[a:b][doc], w2[a:b][doc], at - own[doc], fresh)], schema=schema)
+                found, place = grams[at].view(np.int64), at - own[doc]
+                order = np.lexsort((place, found, doc))  # one row for each text and anchor
+                found, doc, place = found[order], doc[order], place[order]
+                first = np.flatnonzero(np.concatenate([[True], (found[1:] != found[:-1]) | (doc[1:] != doc[:-1])])[: len(at)])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int32()), pa.array(place))
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (found[first], w1[a:b][doc[first]], w2[a:b][doc[first]])), lists], schema=schema)
 
     return run
 
@@ -158,9 +160,9 @@ def _shards(length: int, buckets: int, shard_rows: int = 20_000):
             places = batch.column("places").to_pylist()
             for a, b in slices(offsets, 1 << 20):
                 part = buf[offsets[a]: offsets[b]]
-                doc = np.repeat(np.arange(a, b), [len(p) for p in places[a:b]])
-                pos = np.array([x["pos"] for p in places[a:b] for x in p], np.int64)
-                salts = np.array([x["salts"] for p in places[a:b] for x in p], np.uint64)
+                doc = np.repeat(np.arange(a, b), [sum(len(x["pos"]) for x in p) for p in places[a:b]])
+                pos = np.array([q for p in places[a:b] for x in p for q in x["pos"]], np.int64)
+                salts = np.array([x["salts"] for p in places[a:b] for x in p for _ in x["pos"]], np.uint64)
                 begin, end = offsets[doc] - offsets[a], offsets[doc + 1] - offsets[a]
                 at = begin + pos
                 make.hasher(part)
@@ -345,15 +347,16 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("w1"), F.xxhash64(F.lit(1), text).alias("w2"), text.alias("text"))
     texts = keyed.where(F.octet_length("text") >= length)
-    found = written(texts.select("w1", "w2", "text").mapInArrow(_find(length), "anchor long, w1 long, w2 long, pos long, fresh int"), "anchors")
-    place = F.xxhash64("w1", "w2", "pos")
-    counted = found.groupBy("anchor").agg(F.sum("fresh").alias("n"), F.min(place).alias("low"), F.max(place).alias("high"))
-    repeated = counted.where("low <> high").select("anchor", F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("salts"))
+    found = written(texts.select("w1", "w2", "text").mapInArrow(_find(length), "anchor long, w1 long, w2 long, pos array<long>"), "anchors")
+    place = F.xxhash64("w1", "w2")
+    counted = found.groupBy("anchor").agg(
+        F.count("*").alias("n"), F.min(place).alias("low"), F.max(place).alias("high"), F.max(F.size("pos")).alias("most"))
+    repeated = counted.where("low <> high or most > 1").select("anchor", F.ceil(F.col("n") / HOT_ROWS).cast("int").alias("salts"))
     # one row of each distinct text speaks for all
     rows = written(texts.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.min("id").alias("speaker")), "texts")
-    places = found.drop("fresh").join(repeated, "anchor").groupBy("w1", "w2").agg(F.collect_set(F.struct("pos", "salts")).alias("places"))
+    places = found.join(repeated, "anchor").groupBy("w1", "w2").agg(F.collect_set(F.struct("pos", "salts")).alias("places"))
     per_text = written(places.join(rows, ["w1", "w2"]).withColumnsRenamed({"w1": "v1", "w2": "v2"}), "repeated-anchors")
-    total = per_text.agg(F.sum(F.size("places"))).first()[0] or 0
+    total = per_text.agg(F.sum(F.aggregate("places", F.lit(0), lambda n, p: n + F.size(p["pos"])))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / MERGE_ROWS))
     speaking = texts.join(per_text, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2")) & F.col("id").eqNullSafe(F.col("speaker")))
     shards = speaking.select("w1", "w2", "text", "places").mapInArrow(_shards(length, buckets), "bucket int, shard binary")
