@@ -2,7 +2,7 @@
 
 Usage: python tests/plan_report.py [sf_dir] [--broadcast]
 Runs each query once over materialised sources (the refresh's shape) and
-prints: shuffle exchanges, reused exchanges, join strategies, aggregate
+prints: file scans, shuffle exchanges, reused exchanges, join strategies, aggregate
 operators, windows and the widest window partition keys.  Without
 ``--broadcast`` the planner's static broadcast is disabled (at 100 TB every
 input table is far above any threshold) while AQE's runtime size check stays
@@ -31,7 +31,7 @@ def main(argv):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
     model = MaterializedModel(spark, from_tpch(spark, sf_dir))
-    print(f"{'query':38} {'shuffles':>8} {'reused':>6} {'SMJ':>4} {'BHJ':>4} {'BNLJ':>4} {'hashAgg':>7} "
+    print(f"{'query':38} {'scans':>5} {'shuffles':>8} {'reused':>6} {'SMJ':>4} {'BHJ':>4} {'BNLJ':>4} {'hashAgg':>7} "
           f"{'objAgg':>6} {'sortAgg':>7} {'window':>6}")
     for name in MODEL_QUERIES:
         out = getattr(model, name)
@@ -39,7 +39,8 @@ def main(argv):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         shuffles = len(re.findall(r"(?<!Reused)Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
-        print(f"{name:38} {shuffles:8d} {plan.count('ReusedExchange'):6d} {plan.count('SortMergeJoin'):4d} "
+        scans = len(re.findall(r"FileScan|Scan parquet", plan))
+        print(f"{name:38} {scans:5d} {shuffles:8d} {plan.count('ReusedExchange'):6d} {plan.count('SortMergeJoin'):4d} "
               f"{plan.count('BroadcastHashJoin'):4d} {plan.count('BroadcastNestedLoopJoin'):4d} "
               f"{plan.count('HashAggregate('):7d} {plan.count('ObjectHashAggregate('):6d} "
               f"{plan.count('SortAggregate('):7d} {plan.count('Window ['):6d}", flush=True)
