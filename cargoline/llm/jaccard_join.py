@@ -427,8 +427,9 @@ def _join(num: int, den: int):
 
 def _solve(texts: DataFrame, places: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Links found in the sub-blocks of ``places`` (doc, block, sub, label, minor)."""
+    # no bound is known for the places: the same join at every size, never a broadcast
     own = places.groupBy("doc").agg(F.collect_list(F.struct("block", "sub", "label", "minor")).alias("places"))
-    held = texts.join(own, texts["doc_id"] == own["doc"]).select("doc_id", "text", "places").mapInArrow(_place(k), _PLACED)
+    held = texts.join(own.hint("merge"), texts["doc_id"] == own["doc"]).select("doc_id", "text", "places").mapInArrow(_place(k), _PLACED)
     return held.repartition("block", "sub").sortWithinPartitions("block", "sub", "doc").mapInArrow(_join(num, den), "a long, b long")
 
 
@@ -496,4 +497,4 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 def drop_near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document, the smallest id, of every component."""
     extra = jaccard_components(docs, k, num, den, id_col, text_col).where("component_id <> doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(extra, docs[id_col].cast("long") == extra["__id"], "left_anti")
+    return docs.join(extra.hint("merge"), docs[id_col].cast("long") == extra["__id"], "left_anti")
