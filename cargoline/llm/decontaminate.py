@@ -80,7 +80,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
         .groupBy("doc_id", "version").agg(F.collect_set(F.struct("place", "n")).alias("places"))
     )
     c = candidates.select(F.col("doc_id").alias("c_id"), F.col("version").alias("c_version"), "places")
-    held = texts.join(c, texts["doc_id"].eqNullSafe(c["c_id"]) & (texts["version"] == c["c_version"]), "left")
+    held = texts.join(c.hint("merge"), texts["doc_id"].eqNullSafe(c["c_id"]) & (texts["version"] == c["c_version"]), "left")
     held = held.select("doc_id", "version", item_words(F.col("text")).alias("all"), "places")
     standing = F.transform("places", lambda p: F.struct(
         p["place"].alias("place"), p["n"].alias("n"), F.array_join(F.slice("all", p["place"] + 1, p["n"]), " ").alias("passage")))
@@ -115,4 +115,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, i
     """The rows of ``docs`` in which no window of the benchmark occurs."""
     bad = contamination(docs, benchmark, window, id_col=id_col, text_col=text_col).where("contaminated").select(
         F.col("doc_id").alias("__id"), F.col("version").alias("__version"))
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__version")), "left_anti")
+    return docs.join(bad.hint("merge"), docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__version")), "left_anti")

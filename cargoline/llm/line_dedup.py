@@ -152,7 +152,7 @@ def apply_keep_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_i
     """
     b = bitmaps.select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), F.col("n_dropped").alias("__dropped"), F.col("keep").alias("__keep"))
     joined = docs.withColumn("__hash", F.xxhash64(text_col)).join(
-        b, (F.col(id_col).cast("long") == F.col("__doc")) & (F.col("__hash") == F.col("__version")), "left")
+        b.hint("merge"), (F.col(id_col).cast("long") == F.col("__doc")) & (F.col("__hash") == F.col("__version")), "left")
     done = joined.withColumn("__out", _apply(F.col(text_col), F.col("__keep")))
     kept = [F.col("__out").getField("kept").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return done.select(*kept, F.col("__out").getField("n_lines").alias("n_lines"), F.coalesce("__dropped", F.lit(0)).cast("long").alias("n_dropped"))

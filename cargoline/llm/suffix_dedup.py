@@ -358,7 +358,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     per_text = written(places.join(rows, ["w1", "w2"]).withColumnsRenamed({"w1": "v1", "w2": "v2"}), "repeated-anchors")
     total = per_text.agg(F.sum(F.aggregate("places", F.lit(0), lambda n, p: n + F.size(p["pos"])))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / MERGE_ROWS))
-    speaking = texts.join(per_text, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2")) & F.col("id").eqNullSafe(F.col("speaker")))
+    speaking = texts.join(per_text.hint("merge"), (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2")) & F.col("id").eqNullSafe(F.col("speaker")))
     shards = speaking.select("w1", "w2", "text", "places").mapInArrow(_shards(length, buckets), "bucket int, shard binary")
     spans = written(shards.repartitionById(buckets, "bucket").mapInArrow(_merge(length), _SPANS), "spans")
     dealt = spans.where("h1 is not null")
@@ -404,7 +404,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     text = F.coalesce(F.col(text_col), F.lit(""))
     spans = repeated_spans(docs, length, id_col, text_col).withColumnsRenamed({"w1": "__w1", "w2": "__w2", "whole": "__whole", "spans": "__spans"})
     joined = docs.withColumn("__a", F.xxhash64(text)).withColumn("__b", F.xxhash64(F.lit(1), text)).join(
-        spans, (F.col("__a") == F.col("__w1")) & (F.col("__b") == F.col("__w2")), "left")
+        spans.hint("merge"), (F.col("__a") == F.col("__w1")) & (F.col("__b") == F.col("__w2")), "left")
     new = ("n_bytes", "n_removed", "n_spans", "kept")
     done = joined.withColumn("__out", _remove(text, F.coalesce("__whole", F.lit(False)), F.col("__spans")))
     return done.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new], *[F.col("__out").getField(c).alias(c) for c in new])
