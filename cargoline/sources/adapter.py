@@ -174,8 +174,8 @@ def monthly_demand_grid(lines: DataFrame, products_df: DataFrame) -> DataFrame:
     Months are the calendar span of the lines, warehouses those that occur in them; lines
     without a date or a warehouse have no cell.  The grid is never shuffled.  Demand is
     folded to one short list of (month, demand) per SKU and warehouse (at most one entry
-    a calendar month); the lists join the products on ``sku`` and each task writes out the
-    zeros between their entries, in one pass over the list.  The span and the warehouses
+    a calendar month); the lists join the products on ``sku`` and each task writes out every
+    entry and the empty months after it, in one pass over the list.  The span and the warehouses
     are one row, read off the folded lists (the same exchange).
     """
     month_number = F.year("order_date") * 12 + F.month("order_date") - 1
@@ -186,19 +186,21 @@ def monthly_demand_grid(lines: DataFrame, products_df: DataFrame) -> DataFrame:
         F.min(F.col("_cells")[0]["_m"]).alias("_first"), F.max(F.element_at("_cells", -1)["_m"]).alias("_last"),
         F.sort_array(F.collect_set("warehouse")).alias("_warehouses"),
     )
-    entry = F.col("_cells")
-    upto = lambda i: F.coalesce(F.get(entry, i)["_m"], F.col("_last") + 1)  # noqa: E731  the next entry's month
-    zeros = lambda n: F.array_repeat(F.lit(0).cast(T.LongType()), n)
-    filled = F.flatten(F.transform(entry, lambda e, i: F.concat(
-        F.array(F.coalesce(e["_d"], F.lit(0).cast(T.LongType()))), zeros(upto(i + 1) - e["_m"] - 1))))
-    dense = F.when(entry.isNull(), zeros(F.col("_last") - F.col("_first") + 1)).otherwise(
-        F.concat(zeros(entry[0]["_m"] - F.col("_first")), filled))
+    zero = F.lit(0).cast(T.LongType())
+    start = F.array(F.struct(F.col("_first").alias("_m"), zero.alias("_d")))
+    entries = F.when(F.col("_cells").isNull(), start).when(F.col("_cells")[0]["_m"] > F.col("_first"), F.concat(start, "_cells")).otherwise(F.col("_cells"))
     listed = products_df.select("sku", "unit_price").crossJoin(F.broadcast(span))
     listed = listed.withColumn("warehouse", F.explode("_warehouses"))
+    # each entry stands for its month and the empty months up to the next entry
+    runs = (
+        listed.join(folded, ["sku", "warehouse"], "left").withColumn("_runs", entries)
+        .select("sku", "unit_price", "warehouse", F.inline(F.transform("_runs", lambda e, i: F.struct(
+            e["_m"].alias("_m"), F.coalesce(e["_d"], zero).alias("_d"),
+            F.coalesce(F.get("_runs", i + 1)["_m"], F.col("_last") + 1).alias("_next")))))
+    )
     return (
-        listed.join(folded, ["sku", "warehouse"], "left")
-        .select("sku", "unit_price", "warehouse", "_first", F.posexplode(dense).alias("_i", "demand"))
-        .withColumn("_m", F.col("_first") + F.col("_i"))
+        runs.select("sku", "unit_price", "warehouse", "_d", F.posexplode(F.sequence("_m", F.col("_next") - 1)).alias("_i", "_m"))
+        .withColumn("demand", F.when(F.col("_i") == 0, F.col("_d")).otherwise(zero))
         .withColumn("month", F.make_date(F.expr("_m div 12").cast("int"), (F.col("_m") % 12 + 1).cast("int"), F.lit(1)))
         .select("month", "warehouse", "sku", "unit_price", "demand", F.dayofmonth(F.last_day("month")).alias("days_in_month"))
     )
