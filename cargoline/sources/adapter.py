@@ -176,7 +176,7 @@ def monthly_demand_grid(lines: DataFrame, products_df: DataFrame) -> DataFrame:
     folded to one short list of (month, demand) per SKU and warehouse (at most one entry
     a calendar month); the lists join the products on ``sku`` and each task writes out every
     entry and the empty months after it, in one pass over the list.  The span and the warehouses
-    are one row, read off the folded lists (the same exchange).
+    are one row; the plan aggregates the lines a second time for it.
     """
     month_number = F.year("order_date") * 12 + F.month("order_date") - 1
     cells = lines.filter(F.col("order_date").isNotNull() & F.col("warehouse").isNotNull()).groupBy(
