@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cargoline.llm.common import per_worker
+
 UNDETERMINED = "und"
 _PADDING = bytes(64)
 _OTHER = re.compile(r"[\W\d_]+")
@@ -43,25 +45,24 @@ class LanguageModel:
     min_margin: float = 0.05
     #: bits of advantage are scaled by this before the soft maximum
     temperature: float = 0.05
-    _ready: dict = field(default_factory=dict, repr=False, compare=False)
 
     def compressors(self) -> dict:
-        if not self._ready:
+        # one set in a worker: a task's own would stay until the worker collects its cycles
+        held = per_worker(("language compressors",), dict)
+        key = (self.level, *self.dictionaries.items())
+        if held.get("key") != key:
             import zstandard as zstd
 
+            ready = {}
+
             params = zstd.ZstdCompressionParameters.from_level(
                 self.level, min_match=3, write_content_size=False, write_checksum=False, write_dict_id=False)
             for lang, raw in self.dictionaries.items():
                 content = zstd.ZstdCompressionDict(raw, dict_type=zstd.DICT_TYPE_RAWCONTENT)
                 content.precompute_compress(compression_params=params)
-                self._ready[lang] = zstd.ZstdCompressor(dict_data=content, compression_params=params).compress
-        return self._ready
-
-    def __getstate__(self):
-        return {**self.__dict__, "_ready": {}}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
+                ready[lang] = zstd.ZstdCompressor(dict_data=content, compression_params=params).compress
+            held.update(key=key, ready=ready)
+        return held["ready"]
 
     def predict(self, text: str | None) -> tuple[str, float, float, bool]:
         """(language, score, margin in bytes, rejected) of one whole text."""
