@@ -374,12 +374,12 @@ def _links(pairs):
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
-_PLACED = "block long, sub int, doc long, label long, minor boolean, shingles binary"
+_PLACED = "block long, sub long, doc long, label long, minor boolean, shingles binary"
 
 
 def _place(k: int, batch_bytes: int = 8 << 20):
     """Texts with their places -> one row for each place, with the shingles."""
-    types = pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()
+    types = pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()
 
     def packed(rows):
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, types)], names=["block", "sub", "doc", "label", "minor", "shingles"])
@@ -433,6 +433,27 @@ def _solve(texts: DataFrame, places: DataFrame, k: int, num: int, den: int) -> D
     return held.repartition("block", "sub").sortWithinPartitions("block", "sub", "doc").mapInArrow(_join(num, den), "a long, b long")
 
 
+def _grid(large: DataFrame) -> DataFrame:
+    """Places (doc, block, sub, label, minor) at which every minor document of a block meets
+    all the others.
+
+    Minor and other documents are dealt to chunks of their own; a cell holds a minor chunk
+    and one other chunk of either kind, so about two sub-blocks' shingles at most.  Cells
+    are numbered within the block: pairs of minor chunks (i <= j) at i * minors + j, then
+    (minor chunk, other chunk).
+    """
+    chunks = lambda own: F.ceil(F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)) / BLOCK_SHINGLES).cast("long")
+    counted = large.groupBy("block").agg(chunks(F.col("minor")).alias("minors"), chunks(~F.col("minor")).alias("others"))
+    minors, others, own = F.col("minors"), F.col("others"), F.col("chunk")
+    rows = large.join(counted.where("minors > 0"), "block").withColumn("chunk", F.pmod(F.xxhash64("doc"), F.when(F.col("minor"), minors).otherwise(others)))
+    each = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    with_minors = F.transform(each(minors), lambda i: F.least(own, i) * minors + F.greatest(own, i))
+    with_others = F.transform(each(others), lambda i: minors * minors + own * others + i)
+    from_others = F.transform(each(minors), lambda i: minors * minors + i * others + own)
+    cells = F.when(F.col("minor"), F.concat(with_minors, with_others)).otherwise(from_others)
+    return rows.select("doc", "block", F.explode(cells).alias("sub"), "label", "minor")
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row with an id.
 
@@ -485,10 +506,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
         large = written(large.join(known, "doc", "left").withColumn("label", F.coalesce("component", "doc")).drop("component"), "large")
         main = large.groupBy("block", "label").agg(F.count("*").alias("c")).groupBy("block").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
         large = large.join(main, "block").withColumn("minor", F.col("label") != F.col("main"))
-        open_ = large.where("minor").select("block").distinct()
-        again = large.join(open_, "block", "left_semi").select(
-            "doc", "block", F.explode(F.when(F.col("minor"), everywhere).otherwise(F.array("sub"))).alias("sub"), "label", "minor")
-        links = links.union(written(_solve(texts, again, k, num, den), "links"))
+        links = links.union(written(_solve(texts, _grid(large), k, num, den), "links"))
     whole = connected_components(links, "a", "b").withColumnRenamed("node", "doc")
     named = about.drop("bits").join(member.select("h1", "h2", "doc"), ["h1", "h2"], "left").join(whole, "doc", "left")
     return named.select("doc_id", "n_shingles", F.coalesce("component", "doc", "doc_id").alias("component_id"))
