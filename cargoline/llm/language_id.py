@@ -20,6 +20,7 @@ from cargoline.llm.common import per_worker
 
 UNDETERMINED = "und"
 _PADDING = bytes(64)
+_LAST = (1 << 63) - 1
 _OTHER = re.compile(r"[\W\d_]+")
 RESULT = "lang_pred string, score double, margin double, rejected boolean"
 
@@ -83,30 +84,35 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
                          **options) -> LanguageModel:
     """Dictionaries from at most ``docs_per_lang`` texts of each language (NULLs are not used).
 
-    The texts are those with the smallest hash of their content, found by one count per
-    language and one filtered scan; each gives at most ``chars_per_doc`` characters of
-    dictionary.  Raises where the column has more than ``max_langs`` values: it is no
-    language label then.  Without labelled rows the model rejects every text.
+    The texts are the distinct ones with the smallest hash of their content; each gives at
+    most ``chars_per_doc`` characters of dictionary.  They are found by one estimate of the
+    distinct texts per language and one filtered scan, repeated with a wider share for
+    languages that gave fewer texts than wanted, until all their texts were looked at.
+    Raises where the column has more than ``max_langs`` values: it is no language label
+    then.  Without labelled rows the model rejects every text.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(max_langs + 1).collect()
+        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("place", F.xxhash64(F.lit("language sample"), "text"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("place").alias("texts")).limit(max_langs + 1).collect()
     if len(counts) > max_langs:
         raise ValueError(f"{lang_col} has more than {max_langs} values")
     if not counts:
         return LanguageModel({}, **options)
-    # keep a row with probability 2 * wanted / rows of its language, by a hash of its text
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 2.0 * docs_per_lang / r["n"]))])
-    place = F.pmod(F.xxhash64(F.lit("language sample"), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = (
-        rows.withColumn("place", place).where(F.col("place") < share[F.col("lang")])
-        .select("lang", "place", F.substring("text", 1, chars_per_doc).alias("text"))
-        .distinct().collect()
-    )
+    # keep a text with probability 2 * wanted / texts of its language, by its hash
+    share = {r["lang"]: min(1.0, 2.0 * docs_per_lang / max(1, r["texts"])) for r in counts}
+    found: dict[str, list] = {}
+    while share:
+        limit = F.create_map(*[F.lit(x) for lang, s in share.items() for x in (lang, min(_LAST, int(s * 2.0 ** 64) - (1 << 63)))])
+        picked = (
+            rows.where(F.col("place") <= limit[F.col("lang")]).groupBy("lang", "place")
+            .agg(F.min(F.substring("text", 1, chars_per_doc)).alias("text")).collect()
+        )
+        for lang in share:
+            found[lang] = sorted((r["place"], r["text"]) for r in picked if r["lang"] == lang)
+        share = {lang: min(1.0, 4.0 * s) for lang, s in share.items() if s < 1.0 and len(found[lang]) < docs_per_lang}
     out: dict[str, bytes] = {}
     for lang in [r["lang"] for r in sorted(counts, key=lambda r: (-r["n"], r["lang"]))]:
-        texts = [r["text"] for r in sorted((r for r in picked if r["lang"] == lang), key=lambda r: (r["place"], r["text"]))]
-        out[lang] = plain("\n".join(texts[:docs_per_lang]))
+        out[lang] = plain("\n".join(text for _, text in found[lang][:docs_per_lang]))
     return LanguageModel(out, **options)
 
 

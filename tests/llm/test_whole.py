@@ -30,3 +30,25 @@ def test_second_round_tasks_are_bounded(spark, monkeypatch):
     for block, sub, doc, _ in seen[1]:
         cells.setdefault((block, sub), []).append(want[doc][0])
     assert max(map(sum, cells.values())) < 2 * 1.5 * budget < sum(n for n, _ in want.values())
+
+
+def test_language_sample_counts_texts_not_rows(spark):
+    """Copies of a text leave the other texts of the language their places in the sample."""
+    from cargoline.llm.language_id import train_language_model
+
+    text = lambda lang, i: F.concat(F.lit(f"{lang} "), F.translate(i.cast("string"), "0123456789", "abcdefghij"), F.lit(" ."))
+    i = F.col("id")
+    rows = spark.range(100_000).select(text("hot", F.when(i < 3000, i).otherwise(F.lit(99_999))).alias("text"), F.lit("aa").alias("lang"))
+    rows = rows.union(spark.range(100_000).select(text("few", i % 20).alias("text"), F.lit("bb").alias("lang")))
+    found = train_language_model(rows).dictionaries
+    assert len(set(found["aa"].split(b"hot ")) - {b""}) == 200
+    assert len(set(x.strip() for x in found["bb"].split(b"few ")) - {b""}) == 20
+
+
+def test_language_sample_widens(spark, monkeypatch):
+    """An estimate that is far too large costs another scan, not texts."""
+    from cargoline.llm import language_id
+
+    monkeypatch.setattr(language_id.F, "approx_count_distinct", lambda c: F.count(F.lit(1)) * 1000)
+    rows = spark.range(500).select(F.concat(F.lit("w "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"), F.lit("aa").alias("lang"))
+    assert len(language_id.train_language_model(rows).dictionaries["aa"].split(b"w ")) == 201
