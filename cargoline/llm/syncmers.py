@@ -1,9 +1,13 @@
-"""Document fingerprints from closed syncmers of words.
-
-A window of K words is an anchor where the smallest hash among its inner S-word strings
-is the first or the last of them.  Whether a window is chosen depends on its own words
-alone, so an edit disturbs only the anchors that overlap it, and the anchors of two texts
-can be matched place by place.  Only DataFrame functions are used.
+"""Document fingerprints from closed syncmers of words, and of code points in short texts.
+
+A window of K units is an anchor where the smallest hash among its inner S-unit strings
+is the first or the last of them.  Whether a window is chosen depends on its own units
+alone, so an edit disturbs only the anchors that overlap it.  Units are words between
+white space; code points of scripts written without blanks, and of words of more than 16
+code points, are units of their own.  Texts of few units have windows of code points as
+well: all of them up to ``FEW`` units, and a share, falling to none at ``MANY`` units, of
+those with the smallest hashes, so that texts a little shorter or longer stay alike.
+Only DataFrame functions are used.
 """
 from __future__ import annotations
 
@@ -13,36 +17,64 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 K, S = 6, 2
+#: windows of code points, and the units of a text from which they thin out and are not taken
+CHAR_K, CHAR_S, FEW, MANY = 4, 2, 16, 64
 _FIRST_ID = -(1 << 63)
+_WHITE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Thai to Myanmar, Khmer, CJK and kana: written without blanks
+_DENSE = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u9fff\uf900-\ufaff\uff66-\uff9f\x{20000}-\x{3ffff}"
+_WORD = r"(?<![^{w}])(?:[!-~]{{1,16}}|[^{w}{d}]{{1,16}})(?![^{w}])".format(w=_WHITE, d=_DENSE)
+_UNIT = rf"{_WORD}|[^{_WHITE}]"
 
 
-def word_hashes(text):
-    """Hashes of the words between blanks (NULL and empty texts have none)."""
-    return F.when(F.length(text) > 0, F.transform(F.split(text, " "), lambda w: F.xxhash64(w))).otherwise(F.array().cast("array<bigint>"))
+def unit_hashes(text):
+    """Hashes of the units of a text (NULL, empty and blank texts have none)."""
+    units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_UNIT), F.lit(0))
+    return F.transform(units, lambda w: F.xxhash64(w))
 
 
-def with_anchors(df: DataFrame, text_col: str, out: str, k: int = K, s: int = S) -> DataFrame:
-    """``df`` with the anchors of ``text_col`` (32-bit hashes, in the order of their places) in ``out``.
+def char_hashes(text):
+    """Hashes of the code points of a text, a run of white space as one blank."""
+    points = F.regexp_extract_all(F.trim(F.regexp_replace(text, f"[{_WHITE}]+", " ")), F.lit("(?s)."), F.lit(0))
+    return F.transform(points, lambda c: F.xxhash64(c))
 
-    A text of words without an anchor, as short ones are, has one: the hash of all its
-    words.  A text without words has none.
-    """
-    h, strings, chosen = F.col("__h"), F.col("__s"), F.col("__a")
+
+def _with_syncmers(df: DataFrame, hashes: str, out: str, k: int, s: int, *seed) -> DataFrame:
+    """``df`` with the hashes of the closed syncmers of the array ``hashes`` in ``out`` (NULL below ``k``)."""
+    h, strings = F.col(hashes), F.col("__s")
     n, inner = F.size(h), k - s
     string = (lambda x, i: F.xxhash64(x, F.get(h, i + 1))) if s == 2 else (lambda x, i: F.xxhash64(F.slice(h, i + 1, s)))
     smallest_at_edge = lambda i: F.array_min(F.slice(strings, i + 1, inner + 1)) == F.least(F.get(strings, i), F.get(strings, i + inner))
     places = F.when(n >= k, F.filter(F.sequence(F.lit(0), n - k), smallest_at_edge))
     return (
-        df.withColumn("__h", word_hashes(F.col(text_col)))
-        .withColumn("__s", F.transform(F.slice(h, 1, F.greatest(n - s + 1, F.lit(0))), string))
-        .withColumn("__a", F.transform(places, lambda i: F.hash(F.slice(h, i + 1, k))))
-        .withColumn(out, F.when(F.size(chosen) > 0, chosen).when(n > 0, F.array(F.hash(h))).otherwise(F.array().cast("array<int>")))
-        .drop("__h", "__s", "__a")
+        df.withColumn("__s", F.transform(F.slice(h, 1, F.greatest(n - s + 1, F.lit(0))), string))
+        .withColumn(out, F.transform(places, lambda i: F.hash(*seed, F.slice(h, i + 1, k))))
+        .drop("__s")
+    )
+
+
+def with_anchors(df: DataFrame, text_col: str, out: str, k: int = K, s: int = S) -> DataFrame:
+    """``df`` with the anchors of ``text_col`` (32-bit hashes) in ``out``: those of units, then
+    those of code points, each in the order of their places.
+
+    A text of units without an anchor, as those of fewer than ``CHAR_K`` code points are,
+    has one: the hash of all its units.  A text without units has none.
+    """
+    n, nothing = F.size("__h"), F.array().cast("array<int>")
+    share = F.least(F.lit(1.0), (F.lit(MANY) - n) / F.lit(float(MANY - FEW)))
+    df = _with_syncmers(df.withColumn("__h", unit_hashes(F.col(text_col))), "__h", "__a", k, s)
+    df = df.withColumn("__c", F.when((n > 0) & (n < MANY), char_hashes(F.col(text_col))))
+    df = _with_syncmers(df, "__c", "__b", CHAR_K, CHAR_S, F.lit("code points"))
+    thin = F.filter("__b", lambda a: F.pmod(a, F.lit(1 << 16)) < share * F.lit(1 << 16))
+    df = df.withColumn("__a", F.concat(F.coalesce("__a", nothing), F.coalesce(thin, nothing)))
+    return (
+        df.withColumn(out, F.when(F.size("__a") > 0, F.col("__a")).when(n > 0, F.array(F.hash("__h"))).otherwise(nothing))
+        .drop("__h", "__a", "__c", "__b")
     )
 
 
 def fingerprint(anchors):
-    """The anchors as text, eight hex digits each, in the order of their places."""
+    """The anchors as text, eight hex digits each, in their order."""
     return F.lower(F.array_join(F.transform(anchors, lambda a: F.lpad(F.hex(a.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), ""))
 
 

@@ -52,3 +52,33 @@ def test_language_sample_widens(spark, monkeypatch):
     monkeypatch.setattr(language_id.F, "approx_count_distinct", lambda c: F.count(F.lit(1)) * 1000)
     rows = spark.range(500).select(F.concat(F.lit("w "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"), F.lit("aa").alias("lang"))
     assert len(language_id.train_language_model(rows).dictionaries["aa"].split(b"w ")) == 201
+
+
+def test_fingerprints_of_short_and_blankless_texts(spark):
+    """Half a text that is kept, and an edit of one character, leave anchors in common."""
+    import random
+
+    from cargoline.llm import syncmers
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8)))
+    make = {
+        "chinese": lambda: "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(300)),
+        "chinese lines": lambda: "\n".join("".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(12)) for _ in range(20)),
+        "one token": lambda: "".join(rng.choices("0123456789abcdef", k=600)),
+        "lines": lambda: "\n".join(word() for _ in range(150)),
+        "tabs": lambda: "\t".join(word() for _ in range(150)),
+        **{f"{n} words": (lambda n=n: " ".join(word() for _ in range(n))) for n in (4, 5, 8, 11, 16, 30, 63, 64, 90)},
+    }
+    kinds = [kind for kind in make for _ in range(5)]
+    texts = [make[kind]() for kind in kinds]
+    rows = syncmers.fingerprint_edits(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for r in rows:
+        if r["doc_id"] % 5 < 4:  # the next one is of the same kind
+            assert r["near_edited"] > 0.1 and r["near_edited"] > r["near_next"], kinds[r["doc_id"]]
+    pairs = [(kind, t, t[: len(t) // 3] + "#" + t[len(t) // 3 + 1:]) for kind, t in zip(kinds, texts)]
+    pairs += [(kind + ", two more", t, t + " two more") for kind, t in zip(kinds, texts) if "63" in kind or "64" in kind]
+    df = spark.createDataFrame(pairs, "kind string, a string, b string")
+    df = syncmers.with_anchors(syncmers.with_anchors(df, "a", "x"), "b", "y")
+    for r in df.select("kind", syncmers.likeness(F.col("x"), F.col("y")).alias("like")).collect():
+        assert r["like"] > 0.4, r
