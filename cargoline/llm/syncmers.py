@@ -79,7 +79,10 @@ def fingerprint(anchors):
 
 
 def likeness(a, b):
-    """Shared part of two texts' distinct anchors, 0 to 1 (1 where neither has any)."""
+    """Shared part of two texts' distinct anchors, 0 to 1 (1 where neither has any).
+
+    Places, order and repeats of the anchors do not count.
+    """
     union = F.size(F.array_union(a, b))
     return F.when(union == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / union)
 
