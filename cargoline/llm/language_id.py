@@ -85,7 +85,8 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
     """Dictionaries from at most ``docs_per_lang`` texts of each language (NULLs are not used).
 
     The texts are the distinct ones with the smallest hash of their content; each gives at
-    most ``chars_per_doc`` characters of dictionary.  They are found by one estimate of the
+    most ``chars_per_doc`` characters of dictionary, from a place chosen by a hash of the
+    text, and equal excerpts count once.  They are found by one estimate of the
     distinct texts per language and one filtered scan, repeated with a wider share for
     languages that gave fewer texts than wanted, until all their texts were looked at.
     Raises where the column has more than ``max_langs`` values: it is no language label
@@ -100,12 +101,14 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
         return LanguageModel({}, **options)
     # keep a text with probability 2 * wanted / texts of its language, by its hash
     share = {r["lang"]: min(1.0, 2.0 * docs_per_lang / max(1, r["texts"])) for r in counts}
+    start = F.pmod(F.xxhash64(F.lit("excerpt"), "text"), F.greatest(F.length("text") - chars_per_doc + 1, F.lit(1))).cast("int")
+    excerpt = F.substring("text", start + 1, F.lit(chars_per_doc))
     found: dict[str, list] = {}
     while share:
         limit = F.create_map(*[F.lit(x) for lang, s in share.items() for x in (lang, min(_LAST, int(s * 2.0 ** 64) - (1 << 63)))])
         picked = (
-            rows.where(F.col("place") <= limit[F.col("lang")]).groupBy("lang", "place")
-            .agg(F.min(F.substring("text", 1, chars_per_doc)).alias("text")).collect()
+            rows.where(F.col("place") <= limit[F.col("lang")]).select("lang", "place", excerpt.alias("text"))
+            .groupBy("lang", "text").agg(F.min("place").alias("place")).collect()
         )
         for lang in share:
             found[lang] = sorted((r["place"], r["text"]) for r in picked if r["lang"] == lang)

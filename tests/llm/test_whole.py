@@ -82,3 +82,13 @@ def test_fingerprints_of_short_and_blankless_texts(spark):
     df = syncmers.with_anchors(syncmers.with_anchors(df, "a", "x"), "b", "y")
     for r in df.select("kind", syncmers.likeness(F.col("x"), F.col("y")).alias("like")).collect():
         assert r["like"] > 0.4, r
+
+
+def test_language_excerpts_are_not_all_from_the_start(spark):
+    """A banner that opens every text of a language does not fill its dictionary."""
+    from cargoline.llm.language_id import train_language_model
+
+    letters = str.maketrans("0123456789", "abcdefghij")
+    texts = ["banner words " * 50 + " ".join(f"q{i * 1000 + j}".translate(letters) for j in range(200)) for i in range(1, 301)]
+    found = train_language_model(spark.createDataFrame([(t, "aa") for t in texts], "text string, lang string")).dictionaries["aa"].split()
+    assert len({w for w in found if w.startswith(b"q")}) > len(found) / 4
