@@ -1,5 +1,6 @@
 """Training-data operators: language ID, decontamination, token counts, repeated-span removal,
-packing, sharding, fingerprints, line dedup, n-gram Jaccard join and toxicity scoring.
+packing, sharding, fingerprints, line dedup, n-gram Jaccard join, toxicity scoring,
+collocations, harmonic packing and vector codes.
 
 Nothing outside this subpackage (and ``corpus_pipeline.py``) imports it.
 """

@@ -90,6 +90,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= OPERATING_POINT).cast("int").alias("predicted"), "threshold", "toxic")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargoline.llm.collocations import collocations
+
+    return collocations(read_table(spark, sf_dir, "documents"), max_words=3, min_count=10, share=50, top=2000).drop("words")
+
+
+def op12_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from cargoline.llm.harmonic import pack_harmonic
+
+    return pack_harmonic(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargoline.llm.vector_codes import codebooks_sha256, encode_vectors
+
+    rows, books = encode_vectors(read_table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+    return rows.select("vec_id", "code", "error", "label_error", F.lit(codebooks_sha256(books)).alias("codebooks_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_decontamination, op3_token_counts, op4_suffix_dedup, op5_best_fit_packing, op6_sharding, op7_fingerprints,
-    op8_line_dedup, op9_jaccard_join, op10_toxicity)}
+    op8_line_dedup, op9_jaccard_join, op10_toxicity, op11_collocations, op12_harmonic_packing, op13_vector_codes)}
