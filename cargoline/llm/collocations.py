@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,19 +44,24 @@ class Transform:
         if bits * depth <= 63:
             key = np.zeros(n, np.uint64)
             for i in range(depth):
-                key = key << np.uint64(bits) | ahead[i: n + i].astype(np.uint64)
+                key <<= np.uint64(bits)
+                key |= ahead[i: n + i].astype(np.uint64)
             order = np.argsort(key, kind="stable")
         else:
             order = np.lexsort([ahead[i: n + i] for i in reversed(range(depth))])
         self.last = text[order - 1]
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma + 1))])
-        self.breaks = np.concatenate([[0], np.cumsum(self.last == 0)])
-        self.rows = n + 1
-        self.places = np.sort(self.last.astype(np.int64) * self.rows + np.arange(n))
+        self.breaks = np.concatenate([[0], np.cumsum(self.last == 0)]).astype(np.int32)
+
+    @cached_property
+    def places(self) -> np.ndarray:
+        """Rows by their symbol in the transform: symbol * (rows + 1) + row."""
+        n = len(self.last)
+        return np.sort(self.last * np.int64(n + 1) + np.arange(n))
 
     def rank(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """How often ``symbol`` stands in the transform before ``row``."""
-        return np.searchsorted(self.places, symbol * self.rows + row) - self.first[symbol]
+        return np.searchsorted(self.places, symbol * np.int64(len(self.last) + 1) + row) - self.first[symbol]
 
     def words_in(self, low: np.ndarray, size: np.ndarray) -> np.ndarray:
         """How many rows of each interval have a word, not a break, in the transform."""
@@ -75,13 +81,13 @@ class BidirectionalIndex:
         low = self.forward.first[words]
         size = self.forward.first[words + 1] - low
         there = size > 0
-        return words[there, None], low[there], low[there], size[there]
+        return words[there, None].astype(np.int32), low[there], low[there], size[there]
 
     def extend_left(self, level: tuple) -> tuple:
         """All phrases one word longer than those of ``level``, by the word before them."""
         phrases, low, back, size = level
         if not len(size):
-            return np.zeros((0, phrases.shape[1] + 1), np.int64), *[np.zeros(0, np.int64)] * 3
+            return np.zeros((0, phrases.shape[1] + 1), np.int32), *[np.zeros(0, np.int64)] * 3
         begin = np.cumsum(size) - size
         rows = np.arange(int(size.sum())) + np.repeat(low - begin, size)
         key = np.repeat(np.arange(len(size)), size) * (self.sigma + 1) + self.forward.last[rows]
@@ -91,7 +97,7 @@ class BidirectionalIndex:
         real = symbol > 0
         owner, symbol, count, back = owner[real], symbol[real], count[real], back[real]
         low = self.forward.first[symbol] + self.forward.rank(symbol, low[owner])
-        return np.column_stack([symbol, phrases[owner]]), low, back, count
+        return np.column_stack([symbol.astype(np.int32), phrases[owner]]), low, back, count
 
     def extensions(self, level: tuple) -> tuple[np.ndarray, np.ndarray]:
         """How many occurrences of each phrase have a word before them, and after them."""
@@ -121,59 +127,68 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(sizes), pa.py_buffer(buf[inside])])
     coded = words.dictionary_encode()
     order = pc.array_sort_indices(coded.dictionary).to_numpy()
-    number = np.empty(len(order), np.int64)
+    number = np.empty(len(order), np.int32)
     number[order] = np.arange(1, len(order) + 1)
     ids = number[coded.indices.to_numpy()]
-    breaks = np.concatenate([[0], np.cumsum(_BREAKS[buf])])[starts]
+    breaks = np.cumsum(_BREAKS[buf], dtype=np.int32)[starts]
     last = np.flatnonzero(np.diff(breaks, append=-1))  # the last word of each piece
     return np.insert(ids, last + 1, 0), coded.dictionary.take(pa.array(order))
 
 
-def count_ngrams(texts: pa.Array, depth: int) -> tuple[pa.Table, np.ndarray]:
-    """All n-grams of up to ``depth`` words of one shard (phrase, words, f, before, after) and a hash of each."""
+def count_ngrams(texts: pa.Array, depth: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All n-grams of up to ``depth`` words of one shard: (words in byte order, a row of word
+    ids for each n-gram, 0 behind its last word, and its f, before and after)."""
     ids, words = _words(texts)
     index = BidirectionalIndex(ids, len(words), depth)
-    hashes = np.array([0, *[zlib.crc32(w) for w in words.to_pylist()]], np.uint64)
-    level, tables, marks = index.words(), [], []
+    level, grams, counts = index.words(), [], []
     for n in range(1, depth + 1):
-        phrases = level[0]
-        columns = [words.take(pa.array(phrases[:, i] - 1)) for i in range(n)]
-        phrase = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if n > 1 else columns[0]
-        before, after = index.extensions(level)
-        tables.append(pa.table({"phrase": phrase, "words": np.full(len(phrases), n, np.int8), "f": level[3], "before": before, "after": after}))
-        mark = np.zeros(len(phrases), np.uint64)
-        for i in range(n):
-            mark = mix64(mark * np.uint64(31) + hashes[phrases[:, i]])
-        marks.append(mark)
+        rows = np.zeros((len(level[0]), depth), np.int32)
+        rows[:, :n] = level[0]
+        grams.append(rows)
+        counts.append(np.column_stack([level[3], *index.extensions(level)]).astype(np.int32))
         if n < depth:
             level = index.extend_left(level)
-    return pa.concat_tables(tables), np.concatenate(marks)
+    return words, np.concatenate(grams), np.concatenate(counts)
 
 
 _BLOBS = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("ngrams", pa.binary())])
+_NGRAMS = pa.schema([("phrase", pa.large_binary()), ("words", pa.int32()), ("f", pa.int32()), ("before", pa.int32()), ("after", pa.int32())])
+
 
+def _phrases(words: pa.Array, grams: np.ndarray) -> pa.Array:
+    """The n-grams' words joined by blanks."""
+    columns = [words.take(pa.array(c - 1, mask=c == 0)) for c in grams.T]
+    return pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary()), null_handling="skip")
 
-def _blobs(lang: str | None, texts: pa.Array, depth: int, buckets: int):
-    """The n-grams of a shard as one compressed batch a bucket, some 16 MB at a time."""
-    table, marks = count_ngrams(texts, depth)
-    bucket = (marks % np.uint64(buckets)).astype(np.int64)
+
+def _blobs(lang: str | None, texts: pa.Array, depth: int, buckets: int, chunk_rows: int = 1 << 17):
+    """The n-grams of a shard as one compressed batch a bucket; their text is made some buckets at a time."""
+    words, grams, counts = count_ngrams(texts, depth)
+    hashes = np.array([0, *[zlib.crc32(w) for w in words.to_pylist()]], np.uint64)
+    mark = np.zeros(len(grams), np.uint64)
+    for column in grams.T:
+        mark = mix64(mark + hashes[column])
+    bucket = (mark % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    batch = table.take(pa.array(order)).combine_chunks().to_batches()
-    if not batch:
-        return
-    (batch,), bucket = batch, bucket[order]
-    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+    bucket = bucket[order]
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
     options = pa.ipc.IpcWriteOptions(compression="zstd")
-    held, size = [], 0
-    for a, b in zip(cuts, cuts[1:]):
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema, options=options) as stream:
-            stream.write_batch(batch.slice(a, b - a))
-        held.append((lang, int(bucket[a]), sink.getvalue().to_pybytes()))
-        size += len(held[-1][2])
-        if size > 1 << 24 or b == len(bucket):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held), _BLOBS)], schema=_BLOBS)
-            held, size = [], 0
+    at = 0
+    while at < len(cuts) - 1:
+        end = max(at + 1, int(np.searchsorted(cuts, cuts[at] + chunk_rows, "right")) - 1)
+        own = order[cuts[at]: cuts[end]]
+        columns = [_phrases(words, grams[own]), (grams[own] > 0).sum(1), *counts[own].T]
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _NGRAMS)], schema=_NGRAMS)
+        rows = []
+        for a, b in zip((cuts[at:end] - cuts[at]).tolist(), (cuts[at + 1: end + 1] - cuts[at]).tolist()):
+            if a < b:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, _NGRAMS, options=options) as stream:
+                    stream.write_batch(batch.slice(a, b - a))
+                rows.append((lang, int(bucket[cuts[at] + a]), sink.getvalue().to_pybytes()))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _BLOBS)], schema=_BLOBS)
+        at = end
 
 
 def _shards(depth: int, buckets: int, shard_bytes: int):
@@ -247,7 +262,7 @@ def _merged(min_count: int, hold_rows: int):
 
 
 def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang_col: str = "lang", text_col: str = "text",
-                  shard_bytes: int = 12 << 20, bucket_bytes: int = 16 << 20, hold_rows: int = 1 << 20) -> DataFrame:
+                  shard_bytes: int = 12 << 20, bucket_bytes: int = 8 << 20, hold_rows: int = 1 << 19) -> DataFrame:
     """Per language and phrase of 1 .. ``max_words`` words: lang, phrase, words, f, before, after.
 
     Only phrases with f >= ``min_count`` are returned; one row per language without a

@@ -327,5 +327,5 @@ def test_vector_codes_odd_inputs(spark, monkeypatch):
 
 
 def test_shard_of_no_words():
-    table, marks = collocations.count_ngrams(pa.array([b"", b" .,"], pa.large_binary()), 3)
-    assert len(table) == len(marks) == 0
+    words, grams, counts = collocations.count_ngrams(pa.array([b"", b" .,"], pa.large_binary()), 3)
+    assert len(words) == len(grams) == len(counts) == 0 and list(collocations._blobs("x", pa.array([b""], pa.large_binary()), 3, 4)) == []
