@@ -227,6 +227,7 @@ def _merged(min_count: int, hold_rows: int):
     """Task over blobs sorted by (bucket, lang): one sum per n-gram; a row without phrase has the bucket's number of words."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64()), ("before", pa.int64()), ("after", pa.int64())])
     sums = ["f", "before", "after"]
+    wide = pa.schema([t if t.name not in sums else pa.field(t.name, pa.int64()) for t in _NGRAMS])
 
     def folded(tables):
         table = pa.concat_tables(tables)
@@ -250,7 +251,7 @@ def _merged(min_count: int, hold_rows: int):
                     if held:
                         yield from result(key, held)
                     key, held, n, base = (bucket, lang), [], 0, 0
-                held.append(pa.ipc.open_stream(blob).read_all())
+                held.append(pa.ipc.open_stream(blob).read_all().cast(wide))
                 n += len(held[-1])
                 if n > base + hold_rows:  # copies of the same n-grams by many shards are summed on the way
                     held = [folded(held)]
