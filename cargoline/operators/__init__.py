@@ -1,9 +1,8 @@
 """DataFrame-in, DataFrame-out KPI operators."""
 from cargoline.operators.daily import mart_daily_service  # noqa: F401
+from cargoline.operators.demand import average_daily_demand, demand_cells, demand_grid, monthly_demand_grid  # noqa: F401
 from cargoline.operators.inventory import (  # noqa: F401
-    average_daily_demand,
     days_of_inventory,
-    demand_grid,
     inventory_cover,
     stockout_exceptions,
     stockout_low_cover,

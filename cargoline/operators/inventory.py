@@ -17,7 +17,6 @@ from cargoline.functions.columns import (
     severity,
     severity_rank,
 )
-from cargoline.sources import adapter
 
 
 def days_of_inventory(inventory: DataFrame) -> DataFrame:
@@ -51,23 +50,6 @@ def stockout_exceptions(inventory: DataFrame, ordered: bool = False, severities:
     return out
 
 
-def demand_grid(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Dense month x warehouse x sku demand, 0 where nothing was ordered."""
-    return adapter.monthly_demand_grid(lines, products).select(
-        "month", "warehouse", "sku", F.col("demand").cast(T.LongType()).alias("demand_units")
-    )  # noqa: E501
-
-
-def average_daily_demand(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """Month demand / days in month over the dense grid."""
-    return adapter.monthly_demand_grid(lines, products).select(
-        "month", "warehouse", "sku",
-        F.col("demand").cast(T.LongType()).alias("demand_units"),
-        F.col("days_in_month").cast(T.LongType()).alias("days_in_month"),
-        (F.col("demand") / F.col("days_in_month")).alias("average_daily_demand"),
-    )
-
-
 def warehouse_activity_rollup(lines: DataFrame) -> DataFrame:
     """Units shipped (processed) per month and warehouse."""
     return lines.groupBy(F.trunc("order_date", "month").alias("activity_month"), "warehouse").agg(

@@ -1,16 +1,18 @@
 """Data-quality checks (O18) and the mart grain check.
 
-The report is data -- (check, status, detail) rows -- built in one plan:
-
-* one aggregate pass per source table computes all of its row-predicate
-  violation counts at once (``count_if``), not one scan per check;
-* each key-uniqueness check is one partial-aggregated shuffle of its typed
-  key (NULL keys group together, as a dataframe ``duplicated`` does);
-* lines and shipments are folded to one row per order once, and one full join of
-  the two answers coverage, promises and shipment uniqueness;
-* each other reference check is an anti join of the distinct typed keys;
-* the one-row results are combined by one-row cross joins and exploded
-  into the 38 report rows.
+The report is data -- (check, status, detail) rows -- and reads every source once:
+
+* the order lines are folded by each of their keys (line, order, customer, SKU, supplier) in
+  one pass of grouping sets with typed keys; the row predicates ride along.  The folds
+  are written, as several checks read them;
+* shipments are folded to one row per order; a full join with the order fold answers
+  coverage, promises and shipment uniqueness;
+* customers, products and suppliers are folded by key; a full join with the line fold of
+  that key answers uniqueness and references;
+* dated tables prove their grain by bitmaps: 64 months (or 64 whole-number ids) of a key are
+  the bits of one number, so the exchange has one row where the table has up to 64;
+* every result is a few named numbers; they meet in one row, from which the 38 report
+  rows are made.
 
 ``raise_on_fail`` turns any FAIL into an error at collection time.
 """
@@ -24,6 +26,7 @@ from pyspark.sql import types as T
 
 from cargoline.functions.columns import as_double, holds, is_finite, non_negative
 from cargoline.operators.kpis import SUMMARY_METRICS
+from cargoline.session import written_once
 
 # The check names and their detail texts in data_quality_report, and the tolerance.
 TOLERANCE = 1e-9
@@ -36,75 +39,98 @@ def mart_grain_check(mart: DataFrame, key: str = "order_id") -> DataFrame:
     )
 
 
-def _duplicates(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
-    """One row, one column per check: the number of key values that occur more
-    than once in its table.
+def _facts(df: DataFrame, **numbers: Column) -> tuple[list[str], DataFrame]:
+    """(names, one row with the named whole numbers as a map; 0 for NULL)."""
+    cells = [x for name, c in numbers.items() for x in (F.lit(name), F.coalesce(c.cast(T.LongType()), F.lit(0).cast(T.LongType())))]
+    return list(numbers), df.agg(F.create_map(*cells).alias("facts"))
 
-    Each check groups its table by its own typed key columns (NULL keys group
-    together, as a dataframe ``duplicated`` does) with map-side partial
-    counts.  Grouping all tables' keys in one shuffle was measured 1.8x slower:
-    the keys must then travel as strings, which costs more bytes and hashing
-    than the extra stages save.
-    """
-    out = None
-    for name, df, keys in checks:
-        one = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(
-            F.count_if(F.col("_n") > 1).cast(T.LongType()).alias(name)
-        )
-        out = one if out is None else out.crossJoin(F.broadcast(one))  # one-row frames
-    return out
 
+# --- uniqueness by bitmaps -----------------------------------------------------
+def _bits(number: str) -> Column:
+    """All values of ``number`` in a group of 64 consecutive ones, as bits of one BIGINT."""
+    return F.bit_or(F.expr(f"shiftleft(1L, cast({number} & 63 as int))"))
 
-def _references(lines: DataFrame, shipments: DataFrame, customers: DataFrame, products: DataFrame,
-                suppliers: DataFrame) -> DataFrame:
-    """One row with the five reference-check counts.
 
-    Per reference, the child's distinct typed keys (partially aggregated) are anti-joined
-    with the parent.  NULL keys never match (they count as missing).
-    """
-    def missing(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:
-        keys = child.select(F.col(fk).alias("_fk")).distinct()
-        return keys.join(parent.select(F.col(pk).alias("_pk")), F.col("_fk") == F.col("_pk"), "left_anti").agg(
-            F.count(F.lit(1)).cast(T.LongType()).alias(name))
-
-    return _row(
-        missing(lines, "customer_id", customers, "customer_id", "r_customer"),
-        missing(lines, "sku", products, "sku", "r_product"),
-        missing(lines, "supplier_id", suppliers, "supplier_id", "r_supplier"),
-    )
+def _surplus(rows: str = "_n", bits: str = "_bits") -> Column:
+    """Rows beyond the first of their key; without bits (a NULL) the group is one key."""
+    return F.sum(F.col(rows) - F.coalesce(F.bit_count(bits), F.lit(1)))
+
+
+def by_date(df: DataFrame, date: str, keys: Sequence[str], *extra: Column) -> DataFrame:
+    """``df`` by ``keys`` and up to 64 months of one day of the month: ``_n`` rows, the months as ``_bits``."""
+    month = (F.year(date) * 12 + F.month(date)).cast("long")
+    rows = df.withColumns({"_day": F.dayofmonth(date), "_month": month, "_era": F.shiftright(month, 6)})
+    return rows.groupBy(*keys, "_day", "_era").agg(F.count(F.lit(1)).alias("_n"), _bits("_month").alias("_bits"), *extra)
+
+
+def by_id(df: DataFrame, key: str) -> DataFrame:
+    """``df`` by ``key``: whole numbers 64 to a row, any other type one."""
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        rows = df.select(F.col(key).cast("long").alias("_id")).withColumn("_era", F.shiftright("_id", 6))
+        return rows.groupBy("_era").agg(F.count(F.lit(1)).alias("_n"), _bits("_id").alias("_bits"))
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).withColumn("_bits", F.lit(1).cast("long"))
+
+
+# --- folds ------------------------------------------------------------------------
+LINE_KEYS = ("order_line_id", "order_id", "customer_id", "sku", "supplier_id")
+
+
+def line_folds(lines: DataFrame) -> dict[str, DataFrame]:
+    """Per key of LINE_KEYS: one row per value (NULL is one) with ``_n`` lines, the promised dates'
+    range and the lines that violate a row predicate.  One pass over the lines, written."""
+    grouping = F.lit(0)
+    kinds = {key: (1 << len(LINE_KEYS)) - 1 - (1 << len(LINE_KEYS) - 1 - i) for i, key in enumerate(LINE_KEYS)}
+    for i, key in enumerate(LINE_KEYS):
+        grouping = F.when(F.col("_grouping") == kinds[key], i).otherwise(grouping)
+    folds = lines.groupingSets([[key] for key in LINE_KEYS], *LINE_KEYS).agg(
+        F.grouping_id().alias("_grouping"),
+        F.count(F.lit(1)).alias("_n"),
+        F.min("promised_date").alias("_first"), F.max("promised_date").alias("_last"),
+        F.count_if(~(non_negative("units_ordered") & non_negative("units_shipped"))).alias("v_units_negative"),
+        F.count_if(~holds(F.col("units_shipped") <= F.col("units_ordered"))).alias("v_over_shipped"),
+        F.count_if(~holds(F.col("promised_date") >= F.col("order_date"))).alias("v_promise_before_order"),
+    ).withColumn("_kind", grouping).drop("_grouping")
+    rows = written_once(folds, "line-folds", partition_by="_kind")
+    return {key: rows.where(F.col("_kind") == i).drop("_kind") for i, key in enumerate(LINE_KEYS)}
 
 
-def _orders(lines: DataFrame, shipments: DataFrame) -> DataFrame:
-    """One row: order/shipment coverage both ways and the promise checks.
+def _references(keys: DataFrame, key: str, parent: DataFrame, name: str) -> tuple[list[str], DataFrame]:
+    """Rows and duplicate keys of ``parent``, and keys of the lines that it does not have (a NULL is missing)."""
+    own = parent.groupBy(F.col(key).alias("_pk")).agg(F.count(F.lit(1)).alias("_rows"))
+    both = keys.select(F.col(key).alias("_fk"), F.lit(1).alias("_used")).join(own, F.col("_fk") == F.col("_pk"), "full")
+    return _facts(both, **{f"{name}_rows": F.sum("_rows"), f"d_{name}": F.count_if(F.col("_rows") > 1),
+                           f"r_{name}": F.count_if(F.col("_used").isNotNull() & F.col("_rows").isNull())})
 
-    Lines and shipments are each folded to one row per order id; a full join of the two
-    answers all four checks in one pass.  A NULL id matches nothing.
+
+def _orders(erp: DataFrame, shipments: DataFrame) -> tuple[list[str], DataFrame]:
+    """Order/shipment coverage both ways, the promise checks and the shipments' row predicates.
+
+    ``erp`` has one row per order id of the lines; shipments are folded likewise.  A NULL
+    id matches nothing.
     """
-    erp = lines.groupBy(F.col("order_id").alias("_lo")).agg(
-        F.min("promised_date").alias("_first"), F.max("promised_date").alias("_last"), F.lit(1).alias("_erp"))
+    on_time = holds(F.lower(F.col("on_time").cast("string")) == "true") != holds(F.col("delivery_date") <= F.col("promised_date"))
     tms = shipments.groupBy(F.col("order_id").alias("_so")).agg(
         F.count(F.lit(1)).alias("_shipments"),
         F.min("promised_date").alias("_tms_first"), F.max("promised_date").alias("_tms_last"),
-        F.count("promised_date").alias("_tms_known"))
+        F.count("promised_date").alias("_tms_known"),
+        F.count_if(~holds(F.col("delivery_date") >= F.col("ship_date"))).alias("_late_ship"),
+        F.count_if(on_time).alias("_flag"))
     agree = holds((F.col("_tms_first") == F.col("_first")) & (F.col("_tms_last") == F.col("_first"))
                   & (F.col("_tms_known") == F.col("_shipments")))
-    return erp.join(tms, F.col("_lo") == F.col("_so"), "full").agg(
-        F.count_if(F.col("_erp").isNull()).alias("r_shipment_order"),
-        F.count_if(F.col("_shipments").isNull()).alias("r_order_shipment"),
-        F.count_if(F.col("_erp").isNotNull() & ~holds(F.col("_first") == F.col("_last"))).alias("v_promise_not_single"),
-        F.count_if(F.col("_shipments").isNotNull() & ~agree).alias("v_promise_mismatch"),
-        F.count("_so").cast(T.LongType()).alias("shipment_orders"),
-        F.count_if(F.col("_shipments") > 1).alias("d_shipment_order"),
+    erp = erp.select(F.col("order_id").alias("_lo"), "_first", "_last", F.lit(1).alias("_erp"))
+    return _facts(
+        erp.join(tms, F.col("_lo") == F.col("_so"), "full"),
+        r_shipment_order=F.count_if(F.col("_erp").isNull()),
+        r_order_shipment=F.count_if(F.col("_shipments").isNull()),
+        v_promise_not_single=F.count_if(F.col("_erp").isNotNull() & ~holds(F.col("_first") == F.col("_last"))),
+        v_promise_mismatch=F.count_if(F.col("_shipments").isNotNull() & ~agree),
+        shipment_orders=F.count("_so"),
+        d_shipment_order=F.count_if(F.col("_shipments") > 1),
+        v_delivery_before_ship=F.sum("_late_ship"),
+        v_on_time_flag=F.sum("_flag"),
     )
 
 
-def _row(*frames: DataFrame) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.crossJoin(F.broadcast(f))  # every frame is a single row
-    return out
-
-
 def _fmt4(x: Column) -> Column:
     return F.coalesce(F.format_string("%.4f", as_double(x)), F.lit("nan"))
 
@@ -129,65 +155,44 @@ def data_quality_report(
     raise_on_fail: bool = False,
 ) -> DataFrame:
     """The 38 source-contract, KPI-invariant and evidence checks."""
-    # --- one pass per table for row predicates and sizes -----------------
-    line_stats = lines.agg(
-        F.count(F.lit(1)).cast(T.LongType()).alias("line_rows"),
-        F.count_if(~(non_negative("units_ordered") & non_negative("units_shipped"))).alias("v_units_negative"),
-        F.count_if(~holds(F.col("units_shipped") <= F.col("units_ordered"))).alias("v_over_shipped"),
-        F.count_if(~holds(F.col("promised_date") >= F.col("order_date"))).alias("v_promise_before_order"),
-    )
-    ship_stats = shipments.agg(
-        F.count_if(~holds(F.col("delivery_date") >= F.col("ship_date"))).alias("v_delivery_before_ship"),
-        F.count_if(
-            holds(F.lower(F.col("on_time").cast("string")) == "true")
-            != holds(F.col("delivery_date") <= F.col("promised_date"))
-        ).alias("v_on_time_flag"),
-    )
-    inv_stats = inventory.agg(
-        F.count_if(~(non_negative("on_hand_units") & non_negative("average_daily_demand")
-                     & non_negative("inventory_value"))).alias("v_inventory_negative"),
-        F.count_if(F.col("average_daily_demand") > 0).cast(T.LongType()).alias("demanded"),
-        F.count_if((F.col("average_daily_demand") > 0) & (F.col("on_hand_units") <= 0)).cast(T.LongType()).alias("stockouts"),
-    )
-    fc_stats = forecasts.agg(
-        F.count_if(~(non_negative("forecast_units") & non_negative("actual_units"))).alias("v_forecast_negative"),
-    )
-    act_stats = activity.agg(
-        F.count_if(~(non_negative("units_processed") & holds(F.col("labor_hours") > 0))).alias("v_activity_invalid"),
-    )
-    sizes = _row(
-        customers.agg(F.count(F.lit(1)).cast(T.LongType()).alias("customer_rows")),
-        suppliers.agg(F.count(F.lit(1)).cast(T.LongType()).alias("supplier_rows")),
-        products.agg(F.count(F.lit(1)).cast(T.LongType()).alias("product_rows")),
-        detail.agg(F.count(F.lit(1)).cast(T.LongType()).alias("detail_rows")),
-        carriers.agg(F.count(F.lit(1)).cast(T.LongType()).alias("carrier_rows")),
-        reconciliation.agg(
-            F.count(F.lit(1)).cast(T.LongType()).alias("recon_rows"),
-            F.count_if(F.col("status") != "PASS").alias("recon_not_pass"),
-        ),
-    )
-    # --- keys --------------------------------------------------------------
-    dups = _duplicates([
-        ("d_customer", customers, ["customer_id"]),
-        ("d_supplier", suppliers, ["supplier_id"]),
-        ("d_product", products, ["sku"]),
-        ("d_order_line", lines, ["order_line_id"]),
-        ("d_inventory", inventory, ["snapshot_date", "warehouse", "sku"]),
-        ("d_forecast", forecasts, ["month", "warehouse", "sku"]),
-        ("d_activity", activity, ["activity_date", "warehouse"]),
-        ("d_metric", summary, ["metric"]),
-        ("d_detail_order", detail, ["order_id"]),
-    ])
-    refs = _references(lines, shipments, customers, products, suppliers)
-    orders = _orders(lines, shipments)
-    # --- summary metrics ---------------------------------------------------
-    metric_row = summary.agg(
-        *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(f"m_{m}") for m in SUMMARY_METRICS],
+    folds = line_folds(lines)
+    demanded = F.col("average_daily_demand") > 0
+    stock = by_date(inventory, "snapshot_date", ["warehouse", "sku"],
+                    F.count_if(~(non_negative("on_hand_units") & non_negative("average_daily_demand") & non_negative("inventory_value"))).alias("_bad"),
+                    F.count_if(demanded).alias("_demanded"), F.count_if(demanded & (F.col("on_hand_units") <= 0)).alias("_stockouts"))
+    planned = by_date(forecasts, "month", ["warehouse", "sku"],
+                      F.count_if(~(non_negative("forecast_units") & non_negative("actual_units"))).alias("_bad"))
+    worked = by_date(activity, "activity_date", ["warehouse"],
+                     F.count_if(~(non_negative("units_processed") & holds(F.col("labor_hours") > 0))).alias("_bad"))
+    by_metric = summary.groupBy("metric").agg(F.count(F.lit(1)).alias("_n"), F.max("value").alias("_value"),
+                                              F.count_if(~is_finite("value")).alias("_not_finite"))
+    facts = [
+        _facts(folds["order_line_id"], line_rows=F.sum("_n"), d_order_line=F.count_if(F.col("_n") > 1),
+               **{v: F.sum(v) for v in ("v_units_negative", "v_over_shipped", "v_promise_before_order")}),
+        _orders(folds["order_id"], shipments),
+        _references(folds["customer_id"], "customer_id", customers, "customer"),
+        _references(folds["sku"], "sku", products, "product"),
+        _references(folds["supplier_id"], "supplier_id", suppliers, "supplier"),
+        _facts(stock, d_inventory=_surplus(), v_inventory_negative=F.sum("_bad"), demanded=F.sum("_demanded"), stockouts=F.sum("_stockouts")),
+        _facts(planned, d_forecast=_surplus(), v_forecast_negative=F.sum("_bad")),
+        _facts(worked, d_activity=_surplus(), v_activity_invalid=F.sum("_bad")),
+        _facts(by_id(detail, "order_id"), d_detail_order=_surplus(), detail_rows=F.sum("_n")),
+        _facts(carriers, carrier_rows=F.count(F.lit(1))),
+        _facts(reconciliation, recon_rows=F.count(F.lit(1)), recon_not_pass=F.count_if(F.col("status") != "PASS")),
+    ]
+    together = facts[0][1]
+    for _, one in facts[1:]:
+        together = together.unionAll(one)
+    together = together.agg(F.map_from_entries(F.flatten(F.collect_list(F.map_entries("facts")))).alias("facts"))  # some forty numbers
+    metric_row = by_metric.agg(
+        *[F.max(F.when(F.col("metric") == m, F.col("_value"))).alias(f"m_{m}") for m in SUMMARY_METRICS],
         *[F.count_if(F.col("metric") == m).alias(f"n_{m}") for m in SUMMARY_METRICS],
-        F.count(F.lit(1)).cast(T.LongType()).alias("summary_rows"),
-        F.count_if(~is_finite("value")).alias("v_not_finite"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("summary_rows"),
+        F.coalesce(F.sum("_not_finite"), F.lit(0)).alias("v_not_finite"),
+        F.count_if(F.col("_n") > 1).alias("d_metric"),
     )
-    row = _row(line_stats, ship_stats, inv_stats, fc_stats, act_stats, sizes, dups, refs, orders, metric_row)
+    names = [name for own, _ in facts for name in own]
+    row = together.crossJoin(F.broadcast(metric_row)).select("*", *[F.col("facts")[n].alias(n) for n in names])  # one row each
 
     def in_unit(name: str) -> Column:
         x = _metric(name)

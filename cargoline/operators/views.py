@@ -24,6 +24,7 @@ from cargoline.functions.columns import (
 from cargoline.operators.inventory import stockout_exceptions
 from cargoline.operators.keys import one_row_per_key
 from cargoline.operators.quantiles import percentile_cont
+from cargoline.session import written_once
 
 # Shipment weight bands (kg, right-closed) of the stratified carrier view.
 WEIGHT_BANDS = (("0-100", 0.0, 100.0), ("100-500", 100.0, 500.0), ("500-1000", 500.0, 1000.0))
@@ -292,30 +293,47 @@ def carrier_stratified(service: DataFrame) -> DataFrame:
      .withColumn("freight_per_kg_vs_stratum", F.col("freight_cost_per_kg") - F.col("stratum_freight_cost_per_kg"))
 
 
+#: small sides of the semi joins of O37 (a date and two keys, or a customer, a row) that are broadcast
+BROADCAST_ROWS = 200_000
+
+
+def _checked(rows: DataFrame) -> DataFrame:
+    """``rows`` written, with a broadcast hint if they are few and short."""
+    rows = written_once(rows)
+    bulk = sum((F.octet_length(F.col(c).cast("string")) for c in rows.columns), F.lit(0))
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(bulk).alias("bytes")).first()
+    return F.broadcast(rows) if size.n <= BROADCAST_ROWS and (size.bytes or 0) <= 64 * BROADCAST_ROWS else rows
+
+
 def critical_stockout_customers(
     inventory: DataFrame, lines: DataFrame, customers: DataFrame, revenue_percentile: float = 0.9,
     p_method: str = "exact",
 ) -> DataFrame:
     """High-revenue customers (revenue >= the p-th percentile over
     customers) whose order lines hit a Critical stockout of the same month,
-    warehouse and SKU.  Semi joins keep the lines; no pair expansion."""
+    warehouse and SKU.
+
+    Revenue by customer is written once, for the percentile and its threshold.  Semi joins keep the
+    lines; no pair expansion.  Critical cells and top customers are few beside the lines: each
+    is broadcast where its size allows, so that the scan's tasks filter the lines before
+    anything moves, and joined by a shuffle beyond.  Top customers come first, as they
+    leave the fewest lines.
+    """
+    revenue = written_once(lines.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.sum("revenue").cast(TOTAL_MONEY).alias("customer_revenue")
+    ), "customer-revenue")
+    threshold = percentile_cont(revenue, [], "customer_revenue", revenue_percentile, "revenue_threshold", p_method).first()
+    value = F.lit(threshold.revenue_threshold if threshold else None).cast("double")  # without revenue nobody is on top
+    top = revenue.filter(F.col("customer_revenue").cast("double") >= value)
     critical = (
         stockout_exceptions(inventory)
         .filter(F.col("severity") == "Critical")
         .select(F.col("snapshot_date").alias("month"), "warehouse", "sku")
     )
-    revenue = lines.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        F.sum("revenue").cast(TOTAL_MONEY).alias("customer_revenue")
-    )
-    threshold = percentile_cont(revenue, [], "customer_revenue", revenue_percentile, "revenue_threshold", p_method)
-    threshold = threshold.filter(F.col("revenue_threshold").isNotNull())
-    top = revenue.crossJoin(F.broadcast(threshold)).filter(  # one-row threshold
-        F.col("customer_revenue").cast("double") >= F.col("revenue_threshold")
-    )
     hit = (
         lines.withColumn("month", F.trunc("order_date", "month"))
-        .join(critical, ["month", "warehouse", "sku"], "left_semi")
-        .join(top.select("customer_id"), "customer_id", "left_semi")
+        .join(_checked(top.select("customer_id")), "customer_id", "left_semi")
+        .join(_checked(critical), ["month", "warehouse", "sku"], "left_semi")
     )
     return (
         hit.groupBy("customer_id").agg(
@@ -325,6 +343,6 @@ def critical_stockout_customers(
             F.sum(F.greatest(F.col("units_ordered") - F.col("units_shipped"), F.lit(0))).cast(T.LongType())
             .alias("critical_units_short"),
         )
-        .join(top.select("customer_id", "customer_revenue", "revenue_threshold"), "customer_id")
+        .join(top.withColumn("revenue_threshold", value), "customer_id")
         .join(one_row_per_key(customers, "customer_id", ["customer_segment", "region"]), "customer_id", "left")
     )

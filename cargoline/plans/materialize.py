@@ -11,22 +11,17 @@ cluster names there; only local runs get a scratch folder (see
 from __future__ import annotations
 
 import os
-import uuid
 
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cargoline.plans.model import DEFAULT_FILTERS, FulfillmentModel
-from cargoline.session import checkpoint_dir
+from cargoline.session import new_folder, written_once
 from cargoline.sources.adapter import TpchSources
 from cargoline.sources.readers import Sources, by_month, write_parquet_sources
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    return os.path.join(checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
-
-
 def materialize_sources(spark: SparkSession, sources: Sources, folder: str | None = None) -> Sources:
     """Write the sources under ``folder`` and return them reading the written files."""
     folder = folder or new_folder(spark, "sources")
@@ -59,38 +54,28 @@ class MaterializedModel(FulfillmentModel):
         return self._filtered(self._by_month["order_service"], filters or DEFAULT_FILTERS).drop("order_month")
 
 
-def written_once(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = new_folder(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 class WrittenTpchSources(TpchSources):
-    """The adapter's sources; the order lines, shipments and the grid are written on first use."""
+    """The adapter's sources; order lines, shipments and the grid are written on first use, too."""
 
     @cached_property
     def erp_order_lines(self) -> DataFrame:
-        return written_once(self._spark, TpchSources.erp_order_lines.func(self), "lines")
+        return written_once(TpchSources.erp_order_lines.func(self), "lines")
 
     @cached_property
     def tms_shipments(self) -> DataFrame:
-        return written_once(self._spark, TpchSources.tms_shipments.func(self), "shipments")
+        return written_once(TpchSources.tms_shipments.func(self), "shipments")
 
     @cached_property
     def demand_grid(self) -> DataFrame:
-        return written_once(self._spark, TpchSources.demand_grid.func(self), "grid")
+        return written_once(TpchSources.demand_grid.func(self), "grid")
 
 
 class WrittenModel(FulfillmentModel):
     """A model for outputs that read a frame several times: what an output shares is written
     when it is first needed, so nothing upstream of it runs twice."""
 
-    def __init__(self, spark: SparkSession, sources: Sources, **options):
-        super().__init__(sources, **options)
-        self._spark = spark
-
     def once(self, df: DataFrame) -> DataFrame:
-        return written_once(self._spark, df, "shared")
+        return written_once(df)
 
     @cached_property
     def order_rollup(self) -> DataFrame:

@@ -136,11 +136,12 @@ class FulfillmentModel:
 
     @cached_property
     def demand_grid(self) -> DataFrame:
-        return ops.demand_grid(self.src.erp_order_lines, self.src.products)
+        # the adapter's sources have the lines' cells
+        return ops.demand_grid(self.src.erp_order_lines, self.src.products, getattr(self.src, "demand_cells", None))
 
     @cached_property
     def average_daily_demand(self) -> DataFrame:
-        return ops.average_daily_demand(self.src.erp_order_lines, self.src.products)
+        return ops.average_daily_demand(self.src.erp_order_lines, self.src.products, getattr(self.src, "demand_cells", None))
 
     @cached_property
     def warehouse_activity_rollup(self) -> DataFrame:

@@ -512,6 +512,14 @@ def _dq_report() -> str:
     return "\nUNION ALL ".join(rows)
 
 
+# Values of the extracts that do not parse, by source and column (``cargoline.plans.extracts``).
+CSV_DIRT = {
+    "customers": {}, "suppliers": {"base_lead_time_days": "supplier_id % 7 = 0"}, "products": {},
+    "erp_order_lines": {"promised_date": "order_id % 101 = 0", "units_ordered": "order_id % 103 = 0"},
+    "tms_shipments": {"on_time": "order_id % 97 = 0"},
+    "wms_inventory_snapshots": {}, "demand_forecasts": {}, "warehouse_activity": {},
+}
+
 FINAL = {
     # sources
     "customers": "SELECT * FROM customers",
@@ -740,6 +748,17 @@ FINAL = {
     SELECT CAST(count(*) FILTER (WHERE c <> 1) AS BIGINT) AS duplicate_orders
     FROM (SELECT order_id, count(*) AS c FROM mart GROUP BY order_id)""",
     "data_quality_report": _dq_report(),
+    "csv_kpi_summary": "SELECT * FROM frame_long",
+    "csv_extract_report": " UNION ALL ".join(
+        f"SELECT '{source}' AS source, count(*) AS rows_read, count(*) FILTER (WHERE {' OR '.join(bad.values()) or 'false'}) AS rows_rejected, "
+        + ("concat_ws(', ', " + ", ".join(
+            f"CASE WHEN count(*) FILTER (WHERE {rule}) > 0 THEN '{column}=' || count(*) FILTER (WHERE {rule}) END" for column, rule in sorted(bad.items())) + ")"
+           if bad else "''") + f" AS problems FROM {source}"
+        for source, bad in CSV_DIRT.items()),
+    "csv_rejected_lines": """
+    SELECT order_line_id, concat_ws(', ', CASE WHEN order_id % 101 = 0 THEN 'promised_date' END,
+                                          CASE WHEN order_id % 103 = 0 THEN 'units_ordered' END) AS problems
+    FROM erp_order_lines WHERE order_id % 101 = 0 OR order_id % 103 = 0""",
 }
 
 

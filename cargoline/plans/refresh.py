@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoline.plans.materialize import MaterializedModel
+from cargoline.sources.csv_extracts import CSV_FORMAT, CsvSources
 from cargoline.sources.readers import Sources
 
 # Output name -> model attribute.  The first seven are the reference's files.
@@ -42,7 +43,7 @@ def _write(df: DataFrame, path: str, csv: bool) -> None:
             F.format_string("%.12g", F.col(f.name)).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f.name)
             for f in df.schema.fields
         ])
-        text.write.mode("overwrite").option("header", True).csv(path + "_csv")
+        text.write.mode("overwrite").options(**CSV_FORMAT).option("header", True).csv(path + "_csv")
 
 
 def run_refresh(
@@ -52,9 +53,16 @@ def run_refresh(
     csv: bool = False,
     raise_on_fail: bool = False,
 ) -> dict[str, str]:
-    """Compute and write every output; returns {output: path}."""
+    """Compute and write every output; returns {output: path}.
+
+    Over CSV extracts, ``extract_report`` and ``rejected`` are written as well.
+    """
     model = MaterializedModel(spark, sources)
     written = {}
+    if isinstance(sources, CsvSources):  # what the extracts held that did not parse
+        for name in ("extract_report", "rejected"):
+            written[name] = os.path.join(out_dir, name)
+            getattr(sources, name).write.mode("overwrite").parquet(written[name])
     for name, attr in OUTPUTS.items():
         path = os.path.join(out_dir, name)
         df = getattr(model, attr)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cargoline.plans.extracts import EXTRACT_QUERIES
 from cargoline.plans.materialize import WrittenModel, WrittenTpchSources
 from cargoline.plans.model import FulfillmentModel
 from cargoline.session import configure
@@ -58,7 +59,7 @@ ROUNDED = {
 def model_for(spark: SparkSession, sf_dir: str, several_reads: bool = False, **options) -> FulfillmentModel:
     configure(spark)
     if several_reads:
-        return WrittenModel(spark, WrittenTpchSources(spark, sf_dir), **options)
+        return WrittenModel(WrittenTpchSources(spark, sf_dir), **options)
     return FulfillmentModel(from_tpch(spark, sf_dir), **options)
 
 
@@ -101,7 +102,17 @@ def _source_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _extract_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return interchange(EXTRACT_QUERIES[name](spark, sf_dir), name.removeprefix("csv_"))
+
+    run.__name__ = name
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {name: _source_query(name) for name in SOURCE_QUERIES}
     out.update({name: _model_query(name) for name in MODEL_QUERIES})
+    out.update({name: _extract_query(name) for name in EXTRACT_QUERIES})
     return out

@@ -4,8 +4,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the library's plans are tuned for.  They change how Spark
 # executes (adaptive re-planning, skew splitting), never what it computes, so
@@ -68,3 +69,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="cargoline-ckpt-", dir=os.environ.get("CARGOLINE_SCRATCH", "/tmp"))
     sc.setCheckpointDir(folder)
     return folder
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder name under the checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+
+
+def written_once(df: DataFrame, label: str = "shared", partition_by: str | None = None) -> DataFrame:
+    """``df`` written as parquet under the checkpoint folder and read back: computed once,
+    however often it is used, and a lost executor rereads files.  ``partition_by`` gives a
+    column its own folders, so that a filter on it reads only those."""
+    path = new_folder(df.sparkSession, label)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,10 +13,9 @@ Scale notes
   step groups on ``order_id = l_orderkey`` and reuses that partitioning.
 * nation (25 rows) and region (5 rows) are fixed-size TPC-H dimensions: the
   only explicit broadcasts here.
-* The inventory/forecast grid is months x warehouses x parts.  It is never
-  shuffled: demand is folded into one short list per SKU and warehouse (bounded
-  by the calendar), joined to the parts and written out inside each task; the
-  month span is a one-row aggregate (no cross join of large inputs).
+* The inventory/forecast grid is months x warehouses x parts.  The lines are read once
+  for its cells, which are written on first use; the dense rows are never shuffled
+  (``cargoline.operators.demand``).
 """
 from __future__ import annotations
 
@@ -28,6 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cargoline.functions.columns import MONEY, cents_to_money
+from cargoline.operators.demand import demand_cells, monthly_demand_grid
+from cargoline.session import written_once
 from cargoline.sources.readers import Sources
 
 DRIVER_TABLES = ("lineitem", "orders", "part", "supplier", "customer", "nation", "region")
@@ -167,45 +168,6 @@ def products(part: DataFrame, supplier: DataFrame) -> DataFrame:
     )
 
 
-def monthly_demand_grid(lines: DataFrame, products_df: DataFrame) -> DataFrame:
-    """Dense month x warehouse x sku grid with demand (0 where nothing was
-    ordered), ``days_in_month`` and the SKU's ``unit_price``.
-
-    Months are the calendar span of the lines, warehouses those that occur in them; lines
-    without a date or a warehouse have no cell.  The grid is never shuffled.  Demand is
-    folded to one short list of (month, demand) per SKU and warehouse (at most one entry
-    a calendar month); the lists join the products on ``sku`` and each task writes out every
-    entry and the empty months after it, in one pass over the list.  The span and the warehouses
-    are one row; the plan aggregates the lines a second time for it.
-    """
-    month_number = F.year("order_date") * 12 + F.month("order_date") - 1
-    cells = lines.filter(F.col("order_date").isNotNull() & F.col("warehouse").isNotNull()).groupBy(
-        "sku", "warehouse", month_number.alias("_m")).agg(F.sum("units_ordered").cast(T.LongType()).alias("_d"))
-    folded = cells.groupBy("sku", "warehouse").agg(F.sort_array(F.collect_list(F.struct("_m", "_d"))).alias("_cells"))
-    span = folded.agg(  # one row
-        F.min(F.col("_cells")[0]["_m"]).alias("_first"), F.max(F.element_at("_cells", -1)["_m"]).alias("_last"),
-        F.sort_array(F.collect_set("warehouse")).alias("_warehouses"),
-    )
-    zero = F.lit(0).cast(T.LongType())
-    start = F.array(F.struct(F.col("_first").alias("_m"), zero.alias("_d")))
-    entries = F.when(F.col("_cells").isNull(), start).when(F.col("_cells")[0]["_m"] > F.col("_first"), F.concat(start, "_cells")).otherwise(F.col("_cells"))
-    listed = products_df.select("sku", "unit_price").crossJoin(F.broadcast(span))
-    listed = listed.withColumn("warehouse", F.explode("_warehouses"))
-    # each entry stands for its month and the empty months up to the next entry
-    runs = (
-        listed.join(folded, ["sku", "warehouse"], "left").withColumn("_runs", entries)
-        .select("sku", "unit_price", "warehouse", F.inline(F.transform("_runs", lambda e, i: F.struct(
-            e["_m"].alias("_m"), F.coalesce(e["_d"], zero).alias("_d"),
-            F.coalesce(F.get("_runs", i + 1)["_m"], F.col("_last") + 1).alias("_next")))))
-    )
-    return (
-        runs.select("sku", "unit_price", "warehouse", "_d", F.posexplode(F.sequence("_m", F.col("_next") - 1)).alias("_i", "_m"))
-        .withColumn("demand", F.when(F.col("_i") == 0, F.col("_d")).otherwise(zero))
-        .withColumn("month", F.make_date(F.expr("_m div 12").cast("int"), (F.col("_m") % 12 + 1).cast("int"), F.lit(1)))
-        .select("month", "warehouse", "sku", "unit_price", "demand", F.dayofmonth(F.last_day("month")).alias("days_in_month"))
-    )
-
-
 def wms_inventory_snapshots(grid: DataFrame) -> DataFrame:
     m = F.month("month")
     cents = (F.col("unit_price") * 100).cast(T.LongType())
@@ -302,9 +264,13 @@ class TpchSources(Sources):
     def products(self) -> DataFrame:
         return products(self.table("part"), self.table("supplier"))
 
+    @cached_property
+    def demand_cells(self) -> DataFrame:
+        return written_once(demand_cells(self.erp_order_lines), "demand-cells")
+
     @cached_property
     def demand_grid(self) -> DataFrame:
-        return monthly_demand_grid(self.erp_order_lines, self.products)
+        return monthly_demand_grid(self.demand_cells, self.products)
 
     @cached_property
     def wms_inventory_snapshots(self) -> DataFrame:

@@ -5,9 +5,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from cargoline.schemas import source_schemas
 
 # File name of each source table in an extract folder.
 SOURCE_FILES = {
@@ -60,23 +57,6 @@ class Sources:
         return Sources(**data)
 
 
-def read_csv_sources(spark: SparkSession, folder: str, id_type: T.DataType = T.StringType()) -> Sources:
-    """CSV extracts with a header row, read with explicit schemas (no inference pass).
-
-    A missing file raises Spark's PATH_NOT_FOUND error at read time.
-    """
-    schemas = source_schemas(id_type)
-    tables = {}
-    for name, stem in SOURCE_FILES.items():
-        tables[name] = (
-            spark.read.schema(schemas[name])
-            .option("header", True)
-            .option("dateFormat", "yyyy-MM-dd")
-            .csv(os.path.join(folder, f"{stem}.csv"))
-        )
-    return Sources(**tables)
-
-
 def read_parquet_sources(spark: SparkSession, folder: str) -> Sources:
     """Parquet source tables (one folder or file per table)."""
     tables = {name: spark.read.parquet(os.path.join(folder, stem)) for name, stem in SOURCE_FILES.items()}

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from cargoline import operators as ops
 from cargoline.plans.model import FulfillmentModel
 from cargoline.schemas import source_schemas
-from cargoline.sources.adapter import monthly_demand_grid
+from cargoline.operators.demand import demand_cells, monthly_demand_grid
 from cargoline.sources.readers import Sources
 
 D = dt.date
@@ -144,7 +144,7 @@ def test_grid_takes_any_warehouse_and_leaves_out_rows_without_a_cell(spark):
     assert len(rows) == len(got) == 4 * 3 * 2  # Nov 2023 - Feb 2024, three warehouses, two products
     assert {k: v for k, v in got.items() if v} == {
         (D(2024, 1, 1), "W1", "P1"): 10, (D(2024, 1, 1), "W1", "P2"): 5, (D(2024, 2, 1), "W2", "P1"): 3, (D(2023, 11, 1), "W-NEW", "P2"): 7}
-    assert monthly_demand_grid(src.erp_order_lines.limit(0), src.products).collect() == []
+    assert monthly_demand_grid(demand_cells(src.erp_order_lines.limit(0)), src.products).collect() == []
 
 
 def test_empty_service_totals_are_zero(spark):

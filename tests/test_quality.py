@@ -89,11 +89,68 @@ def test_views_are_queryable_with_spark_sql(model, spark):
     assert n == model.src.erp_order_lines.count()
 
 
-def test_duplicate_counter_null_and_composite_keys(spark):
-    from cargoline.operators.quality import _duplicates
-
-    a = spark.createDataFrame([(1, None), (1, None), (2, None), (None, None), (2, "x")], "k int, j string")
-    b = spark.createDataFrame([(None,), (3,), (3,), (3,)], "k int")
-    c = spark.createDataFrame([(5,)], "k int")
-    row = _duplicates([("a", a, ["k", "j"]), ("b", b, ["k"]), ("c", c, ["k"])]).collect()[0]
-    assert (row.a, row.b, row.c) == (1, 1, 0)  # (1, NULL) repeats; 3 repeats; a single NULL is unique
+def test_uniqueness_by_bitmaps(spark):
+    """Rows beyond the first of their key, for ids of any size and type and for dates, with NULLs."""
+    import datetime as dt
+    import random
+    from collections import Counter
+
+    from cargoline.operators.quality import _surplus, by_date, by_id
+
+    rng = random.Random(4)
+    ids = [rng.choice([None, 0, 1, 63, 64, -1, -64, -65, 2**62, -2**63, rng.randint(-300, 300)]) for _ in range(500)]
+    extra = sum(n - 1 for n in Counter(ids).values())
+    for kind in ("bigint", "string"):
+        df = spark.createDataFrame([(None if i is None else i,) for i in ids], "k bigint").selectExpr(f"cast(k as {kind}) k")
+        assert by_id(df, "k").agg(_surplus().alias("s")).first().s == extra
+    small = spark.createDataFrame([(1,), (None,), (2,)], "k int")
+    assert by_id(small, "k").agg(_surplus().alias("s")).first().s == 0
+    day = lambda: rng.choice([None, dt.date(1992, 1, 31), dt.date(1997, 5, 1), dt.date(1997, 4, 30) + dt.timedelta(rng.randint(0, 900))])
+    keys = [(day(), rng.choice([None, "W1", "W2"]), rng.choice([None, 1, 2])) for _ in range(900)]
+    df = spark.createDataFrame(keys, "d date, w string, k int").repartition(7)
+    assert by_date(df, "d", ["w", "k"]).agg(_surplus().alias("s")).first().s == sum(n - 1 for n in Counter(keys).values())
+    assert by_date(df.distinct(), "d", ["w", "k"]).agg(_surplus().alias("s")).first().s == 0
+
+
+def test_line_folds_by_every_key(spark):
+    from collections import Counter
+
+    from cargoline.operators.quality import LINE_KEYS, line_folds
+    from cargoline.schemas import source_schemas
+
+    rows = [("a", "1", "C", "W", None, None, "P", None, 1, 2, None, None, None), ("a", "1", None, "W", None, None, "P", "S", None, 2, None, None, None),
+            (None, None, None, None, None, None, None, None, -1, -1, None, None, None)]
+    folds = line_folds(spark.createDataFrame(rows, source_schemas()["erp_order_lines"]))
+    at = dict(zip(source_schemas()["erp_order_lines"].names, zip(*rows)))
+    for key in LINE_KEYS:
+        got = folds[key].collect()
+        assert {r[key]: r._n for r in got} == dict(Counter(at[key])) and sum(r.v_units_negative for r in got) == 2, key
+        assert sum(r.v_over_shipped for r in got) == 2 and sum(r.v_promise_before_order for r in got) == 3
+    assert all(f.count() == 0 for f in line_folds(spark.createDataFrame([], source_schemas()["erp_order_lines"])).values())
+
+
+def test_report_scans_every_source_once(spark, tmp_path):
+    """Over written sources, the report's own plan reads each table at most once, and the lines not at all (their folds)."""
+    import re
+
+    from cargoline import operators as ops
+    from cargoline.sources.readers import SOURCE_FILES, read_parquet_sources, write_parquet_sources
+
+    write_parquet_sources(from_tpch(spark, SF_DIR), str(tmp_path))
+    src = read_parquet_sources(spark, str(tmp_path))
+    model = FulfillmentModel(src)
+    out = {name: getattr(model, name) for name in ("kpi_summary", "order_service", "carrier_scorecard", "reconcile_metrics")}
+    for name, df in out.items():
+        df.write.parquet(str(tmp_path / name))
+        out[name] = spark.read.parquet(str(tmp_path / name))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # whole paths in the plan
+    report = ops.data_quality_report(src.customers, src.suppliers, src.products, src.erp_order_lines, src.tms_shipments, src.wms_inventory_snapshots,
+                                     src.demand_forecasts, src.warehouse_activity, *out.values())
+    assert len(report.collect()) == 38
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    for name in [*SOURCE_FILES, *out]:
+        assert len(re.findall(rf"FileScan parquet [^\n]*/{name}[\],]", plan)) == (name != "erp_order_lines"), name
+    assert plan.count("BroadcastNestedLoopJoin") <= 1
+    shuffles = len(re.findall(r"(?<!Reused)Exchange (hashpartitioning|SinglePartition)", plan))
+    assert shuffles <= 31, shuffles  # 62 with a plan of its own for every check

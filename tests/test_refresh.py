@@ -61,7 +61,8 @@ def test_csv_extracts_round_trip(spark):
     from pyspark.sql import types as T
 
     from cargoline.plans.model import FulfillmentModel
-    from cargoline.sources.readers import SOURCE_FILES, read_csv_sources
+    from cargoline.sources import read_csv_sources
+    from cargoline.sources.readers import SOURCE_FILES
 
     src = from_tpch(spark, SF_DIR)
     folder = tempfile.mkdtemp(prefix="cargoline-csv-")
