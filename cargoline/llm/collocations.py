@@ -189,6 +189,7 @@ def _blobs(lang: str | None, texts: pa.Array, depth: int, buckets: int, chunk_ro
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), _BLOBS)], schema=_BLOBS)
         at = end
+    pa.default_memory_pool().release_unused()
 
 
 def _shards(depth: int, buckets: int, shard_bytes: int):
@@ -246,12 +247,12 @@ def _merged(min_count: int, hold_rows: int):
     def run(batches):
         key, held, n, base = None, [], 0, 0
         for batch in batches:
-            for lang, bucket, blob in zip(*[batch.column(c).to_pylist() for c in ("lang", "bucket", "ngrams")]):
+            for lang, bucket, blob in zip(batch.column("lang").to_pylist(), batch.column("bucket").to_pylist(), batch.column("ngrams")):
                 if (bucket, lang) != key:
                     if held:
                         yield from result(key, held)
                     key, held, n, base = (bucket, lang), [], 0, 0
-                held.append(pa.ipc.open_stream(blob).read_all().cast(wide))
+                held.append(pa.ipc.open_stream(blob.as_buffer()).read_all().cast(wide))
                 n += len(held[-1])
                 if n > base + hold_rows:  # copies of the same n-grams by many shards are summed on the way
                     held = [folded(held)]
@@ -263,7 +264,7 @@ def _merged(min_count: int, hold_rows: int):
 
 
 def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang_col: str = "lang", text_col: str = "text",
-                  shard_bytes: int = 12 << 20, bucket_bytes: int = 8 << 20, hold_rows: int = 1 << 19) -> DataFrame:
+                  shard_bytes: int = 8 << 20, bucket_bytes: int = 8 << 20, hold_rows: int = 1 << 19) -> DataFrame:
     """Per language and phrase of 1 .. ``max_words`` words: lang, phrase, words, f, before, after.
 
     Only phrases with f >= ``min_count`` are returned; one row per language without a
@@ -279,7 +280,7 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, math.ceil(total / bucket_bytes))
     blobs = rows.mapInArrow(_shards(max_words, buckets, shard_bytes), "lang string, bucket long, ngrams binary")
-    dealt = blobs.repartition(buckets, "bucket").sortWithinPartitions("bucket", "lang")
+    dealt = blobs.select("lang", F.col("bucket").cast("int").alias("bucket"), "ngrams").repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "lang")
     counts = written(dealt.mapInArrow(_merged(min_count, hold_rows), _COUNTS), "phrase-counts")
     n = counts.where(F.col("phrase").isNull()).groupBy("lang").agg(F.sum("f").alias("f")).where("f > 0")
     return counts.where(F.col("phrase").isNotNull()).unionByName(
