@@ -21,7 +21,6 @@ Only links that join components are kept, so a group of n copies yields n - 1 ro
 from __future__ import annotations
 
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +37,8 @@ FANOUT = 8
 WEAK_MEMBERS = 4096
 #: shingles in a sub-block, and shingles of the corpus for each bucket of keys
 BLOCK_SHINGLES, BUCKET_SHINGLES = 1 << 19, 1 << 23
+#: bits of the filter that thins the texts to members of blocks (8 MB, whatever the input)
+FILTER_BITS = 1 << 26
 _WEAK = np.uint64(1)
 
 
@@ -82,10 +83,15 @@ class Routing:
     def __init__(self, num: int, den: int):
         self.num, self.den = num, den
         self.low = [1]
+        self.made: dict[int, tuple[int, int, int]] = {}
 
-    @lru_cache(maxsize=None)  # noqa: B019  few classes, one object a task
     def parts(self, c: int) -> tuple[int, int, int]:
         """(largest size that takes part, parts, differences at most) of class ``c``."""
+        if c not in self.made:
+            self.made[c] = self._make(c)
+        return self.made[c]
+
+    def _make(self, c: int) -> tuple[int, int, int]:
         self._extend(c + 1)
         high = self.low[c + 1] - 1
         top = high * self.den // self.num
@@ -374,41 +380,58 @@ def _links(pairs):
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
-_PLACED = "block long, sub long, doc long, label long, minor boolean, shingles binary"
+_HELD = "doc long, h1 long, h2 long, shingles binary"
+
+
+def _slots(docs: np.ndarray) -> np.ndarray:
+    """Bits of the filter for ids: two of ``FILTER_BITS`` each."""
+    first = mix64(docs.view(np.uint64))
+    return np.stack([first, mix64(first)]) & np.uint64(FILTER_BITS - 1)
 
 
-def _place(k: int, batch_bytes: int = 8 << 20):
-    """Texts with their places -> one row for each place, with the shingles."""
-    types = pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()
+def _filter_words(batches):
+    """Ids -> the words of a filter that holds them, one row for each word of a task that is not 0."""
+    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    for batch in batches:
+        slots = _slots(np.asarray(batch.column(0).cast(pa.int64())))
+        np.bitwise_or.at(words, (slots >> np.uint64(6)).astype(np.int64), np.uint64(1) << (slots & np.uint64(63)))
+    at = np.flatnonzero(words)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(words[at].view(np.int64))], names=["word", "bits"])
+
 
-    def packed(rows):
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, types)], names=["block", "sub", "doc", "label", "minor", "shingles"])
+def _filter(ids: DataFrame) -> np.ndarray:
+    """A Bloom filter of fixed size over the column ``doc``: where it is full it lets more pass, never fewer."""
+    words = np.zeros(FILTER_BITS // 64, np.uint64)
+    rows = ids.select("doc").mapInArrow(_filter_words, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words[np.asarray(rows.column("word").combine_chunks())] = np.asarray(rows.column("bits").combine_chunks()).view(np.uint64)
+    return words
+
+
+def _hold(k: int, words):
+    """Texts -> the sets of those whose id may be wanted; the others end here."""
 
     def run(batches):
         for batch in batches:
-            rows, size = [[] for _ in types], 0
-            for doc, s, places in zip(batch.column("doc_id").to_pylist(), _sets(batch, k), batch.column("places").to_pylist()):
-                raw = s.tobytes()
-                for p in places:
-                    for column, value in zip(rows, (p["block"], p["sub"], doc, p["label"], p["minor"], raw)):
-                        column.append(value)
-                    size += len(raw)
-                    if size > batch_bytes:
-                        yield packed(rows)
-                        rows, size = [[] for _ in types], 0
-            yield packed(rows)
+            slots = _slots(np.asarray(batch.column("doc_id").cast(pa.int64())))
+            found = (words.value[(slots >> np.uint64(6)).astype(np.int64)] >> (slots & np.uint64(63))) & np.uint64(1)
+            some = batch.filter(pa.array(found.all(0)))
+            sets = list(_sets(some, k))
+            hashes = [_set_hash(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [some.column("doc_id"), *(pa.array([h[i] for h in hashes], pa.int64()) for i in (0, 1)), pa.array([s.tobytes() for s in sets], pa.binary())],
+                names=["doc", "h1", "h2", "shingles"])
 
     return run
 
 
 def _join(num: int, den: int):
-    """Rows (block, sub, doc, label, minor, shingles) sorted by block and sub -> links (a, b)."""
+    """Rows (block, sub, node, label, minor, shingles) sorted by block and sub -> links (a, b)."""
 
     def solve(rows):
         sets, labels, minors = {}, [], []
-        for doc, label, minor, raw in rows:
-            if doc not in sets:  # a leader is in every sub-block
-                sets[doc] = np.frombuffer(raw, np.uint64)
+        for node, label, minor, raw in rows:
+            if node not in sets:
+                sets[node] = np.frombuffer(raw, np.uint64)
                 labels.append(label)
                 minors.append(minor)
         who, values = list(sets), list(sets.values())
@@ -425,16 +448,17 @@ def _join(num: int, den: int):
     return _grouped(2, solve)
 
 
-def _solve(texts: DataFrame, places: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links found in the sub-blocks of ``places`` (doc, block, sub, label, minor)."""
-    # no bound is known for the places: the same join at every size, never a broadcast
-    own = places.groupBy("doc").agg(F.collect_list(F.struct("block", "sub", "label", "minor")).alias("places"))
-    held = texts.join(own.hint("merge"), texts["doc_id"] == own["doc"]).select("doc_id", "text", "places").mapInArrow(_place(k), _PLACED)
-    return held.repartition("block", "sub").sortWithinPartitions("block", "sub", "doc").mapInArrow(_join(num, den), "a long, b long")
+def _solve(held: DataFrame, places: DataFrame, num: int, den: int) -> DataFrame:
+    """Links found in the sub-blocks of ``places`` (node, block, sub, label, minor) by the sets of ``held`` (node, shingles)."""
+    # no bound is known for either side: the same join at every size, never a broadcast
+    own = places.groupBy("node").agg(F.collect_list(F.struct("block", "sub", "label", "minor")).alias("places"))
+    placed = held.join(own.hint("merge"), "node").select("node", "shingles", F.explode("places").alias("p"))
+    placed = placed.select("p.block", "p.sub", "node", "p.label", "p.minor", "shingles")
+    return placed.repartition("block", "sub").sortWithinPartitions("block", "sub", "node").mapInArrow(_join(num, den), "a long, b long")
 
 
 def _grid(large: DataFrame) -> DataFrame:
-    """Places (doc, block, sub, label, minor) at which every minor document of a block meets
+    """Places (node, block, sub, label, minor) at which every minor document of a block meets
     all the others.
 
     Minor and other documents are dealt to chunks of their own; a cell holds a minor chunk
@@ -445,13 +469,13 @@ def _grid(large: DataFrame) -> DataFrame:
     chunks = lambda own: F.ceil(F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)) / BLOCK_SHINGLES).cast("long")
     counted = large.groupBy("block").agg(chunks(F.col("minor")).alias("minors"), chunks(~F.col("minor")).alias("others"))
     minors, others, own = F.col("minors"), F.col("others"), F.col("chunk")
-    rows = large.join(counted.where("minors > 0"), "block").withColumn("chunk", F.pmod(F.xxhash64("doc"), F.when(F.col("minor"), minors).otherwise(others)))
+    rows = large.join(counted.where("minors > 0"), "block").withColumn("chunk", F.pmod(F.xxhash64("node"), F.when(F.col("minor"), minors).otherwise(others)))
     each = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
     with_minors = F.transform(each(minors), lambda i: F.least(own, i) * minors + F.greatest(own, i))
     with_others = F.transform(each(others), lambda i: minors * minors + own * others + i)
     from_others = F.transform(each(minors), lambda i: minors * minors + i * others + own)
     cells = F.when(F.col("minor"), F.concat(with_minors, with_others)).otherwise(from_others)
-    return rows.select("doc", "block", F.explode(cells).alias("sub"), "label", "minor")
+    return rows.select("node", "block", F.explode(cells).alias("sub"), "label", "minor")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -466,9 +490,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.col("doc_id").isNotNull())
     about = written(texts.mapInArrow(_describe(k), "doc_id long, n_shingles long, h1 long, h2 long, bits binary"), "sets")
-    # equal sets are one member, named by its smallest id
+    # equal sets are one member: a number of its own, and the smallest id that has it
     filled = about.where("n_shingles > 0")
-    member = written(filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n")), "members")
+    member = filled.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc"), F.max("n_shingles").alias("n"))
+    member = written(member.withColumn("node", F.monotonically_increasing_id()), "members")
 
     total = about.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_SHINGLES))
@@ -484,32 +509,39 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
     signed = signed.select(about["h1"].alias("a"), F.col("n_shingles").alias("n"), "bits")
     allowed = cells.join(signed, "a").select("block", "cell", "a", "n", "bits").repartition("block", "cell").sortWithinPartitions("block", "cell", "a")
     allowed = allowed.mapInArrow(_allowed(num, den), "a long, b long")
-    of = member.select(F.col("h1").alias("h"), "doc")
+    of = member.select(F.col("h1").alias("h"), "node")
     pairs = (
         found.where("block is null").select("a", "b").union(allowed).distinct()
-        .join(of.withColumnsRenamed({"h": "a", "doc": "x"}), "a").join(of.withColumnsRenamed({"h": "b", "doc": "y"}), "b").select("x", "y")
+        .join(of.withColumnsRenamed({"h": "a", "node": "x"}), "a").join(of.withColumnsRenamed({"h": "b", "node": "y"}), "b").select("x", "y")
     )
-    routed = connected_components(pairs, "x", "y").select(F.col("component").alias("block"), F.col("node").alias("doc"))
-    blocks = written(routed.join(member.select("doc", "n"), "doc"), "blocks")
-    sized = blocks.groupBy("block").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("subs"), F.min("doc").alias("leader"), F.count("*").alias("size")).where("size > 1")
-    placed = blocks.join(sized, "block").withColumn("sub", F.pmod(F.xxhash64("doc"), F.col("subs")).cast("int"))
+    routed = connected_components(pairs, "x", "y").select(F.col("component").alias("block"), "node")
+    blocks = written(routed.join(member.select("node", "n", "doc", "h1", "h2"), "node"), "blocks")
+    # the sets of all that are in a block, once: texts are read again but never moved
+    words = spark.sparkContext.broadcast(_filter(blocks))
+    held = texts.mapInArrow(_hold(k, words), _HELD).dropDuplicates(["doc", "h1", "h2"])
+    held = written(held.join(blocks.select("node", "doc", "h1", "h2").hint("merge"), ["doc", "h1", "h2"]).select("node", "shingles"), "held")
+    sized = blocks.groupBy("block").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("subs"), F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1")
+    placed = blocks.join(sized, "block").withColumn("sub", F.pmod(F.xxhash64("node"), F.col("subs")).cast("int"))
     everywhere = F.sequence(F.lit(0), F.col("subs") - 1)
     nothing = [F.lit(None).cast("long").alias("label"), F.lit(None).cast("boolean").alias("minor")]
-    first = placed.select("doc", "block", F.explode(F.when(F.col("doc") == F.col("leader"), everywhere).otherwise(F.array("sub"))).alias("sub"),
-                          F.col("doc").alias("label"), nothing[1])
-    links = written(_solve(texts, first, k, num, den), "links")
+    first = placed.select("node", "block", F.explode(F.when(F.col("node") == F.col("leader"), everywhere).otherwise(F.array("sub"))).alias("sub"),
+                          F.col("node").alias("label"), nothing[1])
+    links = written(_solve(held, first, num, den), "links")
 
     # blocks of several sub-blocks: whoever is not in the block's largest component meets all
     large = placed.where("subs > 1")
     if not large.isEmpty():
-        known = connected_components(links, "a", "b").withColumnRenamed("node", "doc")
-        large = written(large.join(known, "doc", "left").withColumn("label", F.coalesce("component", "doc")).drop("component"), "large")
+        known = connected_components(links, "a", "b")
+        large = written(large.join(known, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component"), "large")
         main = large.groupBy("block", "label").agg(F.count("*").alias("c")).groupBy("block").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
         large = large.join(main, "block").withColumn("minor", F.col("label") != F.col("main"))
-        links = links.union(written(_solve(texts, _grid(large), k, num, den), "links"))
-    whole = connected_components(links, "a", "b").withColumnRenamed("node", "doc")
-    named = about.drop("bits").join(member.select("h1", "h2", "doc"), ["h1", "h2"], "left").join(whole, "doc", "left")
-    return named.select("doc_id", "n_shingles", F.coalesce("component", "doc", "doc_id").alias("component_id"))
+        links = links.union(written(_solve(held, _grid(large), num, den), "links"))
+    # a component is named by the smallest id of its members
+    whole = written(connected_components(links, "a", "b").join(member.select("node", "doc"), "node"), "whole")
+    named = whole.join(whole.groupBy("component").agg(F.min("doc").alias("component_id")), "component").select("node", "component_id")
+    member = member.join(named, "node", "left").select("h1", "h2", F.coalesce("component_id", "doc").alias("component_id"))
+    rows = about.select("doc_id", "n_shingles", "h1", "h2").join(member, ["h1", "h2"], "left")
+    return rows.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,9 +12,12 @@ def test_second_round_tasks_are_bounded(spark, monkeypatch):
 
     budget, seen, solve = 3000, [], jaccard_join._solve
 
-    def spied(texts, places, *rest):
-        seen.append([tuple(r) for r in places.select("block", "sub", "doc", "minor").collect()])
-        return solve(texts, places, *rest)
+    numbers = {}
+
+    def spied(held, places, *rest):
+        seen.append([tuple(r) for r in places.select("block", "sub", "node", "minor").collect()])
+        numbers.update({r["node"]: len(r["shingles"]) // 8 for r in held.collect()})
+        return solve(held, places, *rest)
 
     monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", budget)
     monkeypatch.setattr(jaccard_join, "_solve", spied)
@@ -27,8 +30,8 @@ def test_second_round_tasks_are_bounded(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
     assert len(seen) == 2 and sum(d != c for d, (_, c) in want.items()) == 30
     cells = {}
-    for block, sub, doc, _ in seen[1]:
-        cells.setdefault((block, sub), []).append(want[doc][0])
+    for block, sub, node, _ in seen[1]:
+        cells.setdefault((block, sub), []).append(numbers[node])
     assert max(map(sum, cells.values())) < 2 * 1.5 * budget < sum(n for n, _ in want.values())
 
 
@@ -92,3 +95,56 @@ def test_language_excerpts_are_not_all_from_the_start(spark):
     texts = ["banner words " * 50 + " ".join(f"q{i * 1000 + j}".translate(letters) for j in range(200)) for i in range(1, 301)]
     found = train_language_model(spark.createDataFrame([(t, "aa") for t in texts], "text string, lang string")).dictionaries["aa"].split()
     assert len({w for w in found if w.startswith(b"q")}) > len(found) / 4
+
+
+def test_rows_that_repeat_an_id_keep_their_own_links(spark):
+    """One id on two texts: each text's links count, and the component has them all."""
+    from cargoline.llm import jaccard_join
+
+    a, b = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    rows = [(1, a), (1, b), (2, a + " more"), (3, b + " more"), (3, b + " more"), (4, "something else entirely here and there"), (4, a)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, 100).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1), (3, 1), (4, 1), (4, 4)]
+
+
+def test_filter_lets_all_wanted_ids_pass(spark, monkeypatch):
+    """Whatever its size, the filter of ids loses no member of a block."""
+    from cargoline.llm import jaccard_join
+
+    texts = {d: " ".join(f"t{d // 2}x{i}" for i in range(40)) + " end" * (d % 2) for d in range(-200, 200)}
+    want = brute_components(texts, 5, 80, 100)
+    assert len({c for _, c in want.values()}) == 200
+    for bits in (64, 1 << 26):
+        monkeypatch.setattr(jaccard_join, "FILTER_BITS", bits)
+        df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        rows = jaccard_join.jaccard_components(df, 5, 80, 100).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
+
+
+def test_task_code_loads_where_the_package_is_not_installed(tmp_path):
+    """Every task function, as Spark ships it, in a process without this repository."""
+    import subprocess
+    import sys
+
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import cloudpickle
+
+    from cargoline.llm import collocations, harmonic, jaccard_join, packing, vector_codes
+
+    books = np.zeros((2, 4, 2), np.int64)
+    tasks = [jaccard_join._describe(5), jaccard_join._route(5, 80, 100, 4), jaccard_join._candidates, jaccard_join._allowed(80, 100),
+             jaccard_join._join(80, 100), jaccard_join._filter_words, jaccard_join._hold(5, None), packing._cut("x", 8, 0, 1, False), packing._pack(8, 2),
+             harmonic._pack("x", 8, 2, 4, 1, False), vector_codes._tally(books), vector_codes._code(books, pa.schema([("id", pa.int64())])),
+             collocations._shards(3, 4, 1000), collocations._merged(10, 1000)]
+    (tmp_path / "tasks").write_bytes(cloudpickle.dumps(tasks))
+    code = f"""
+import pickle, pyarrow as pa
+tasks = pickle.load(open({str(tmp_path / 'tasks')!r}, 'rb'))
+docs = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(['a b c d e f g', 'a b c d e f g h'])], names=['doc_id', 'text'])
+out = list(tasks[1](iter([docs])))
+assert out[0].num_rows and sum(b.num_rows for b in tasks[2](iter(out)))
+"""
+    env = {"PATH": "/usr/bin:/bin", "PYTHONPATH": ""}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
