@@ -21,7 +21,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -371,26 +370,48 @@ def repeated_spans(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
         "w1", "w2", F.coalesce("whole", F.lit(False)).alias("whole"), "spans")
 
 
-@F.pandas_udf(T.StructType([*(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())]))
-def _remove(texts: pd.Series, whole: pd.Series, spans: pd.Series) -> pd.DataFrame:
-    def one(text, all_, found):
-        raw = text.encode()
-        if all_:
-            return len(raw), len(raw), 1, b""
-        if found is None:
-            return len(raw), 0, 0, raw
-        kept, at, removed, n = [], 0, 0, 0
-        for a, b in sorted((x["a"], x["b"]) for x in found):
-            if a > at or not n:
-                kept.append(raw[at:a])
-                n += 1
-                removed += b - a
-            elif b > at:
-                removed += b - at
-            at = max(at, b)
-        return len(raw), removed, n, b"".join(kept) + raw[at:]
-
-    return pd.DataFrame([one(*x) for x in zip(texts, whole, spans)], columns=["n_bytes", "n_removed", "n_spans", "kept"])
+_NEW = ("n_bytes", "n_removed", "n_spans", "kept")
+
+
+def _without(raw: memoryview, first: np.ndarray, end: np.ndarray) -> tuple[int, int, bytes]:
+    """(bytes removed, maximal runs, the bytes that stay) of a text and the spans to remove."""
+    if not len(first):
+        return 0, 0, bytes(raw)
+    order = np.lexsort((end, first))
+    first, reach = first[order], np.maximum.accumulate(end[order])
+    begins = np.concatenate([[True], first[1:] > reach[:-1]])
+    runs, ends = first[begins], reach[np.append(np.flatnonzero(begins)[1:] - 1, len(reach) - 1)]
+    gaps = zip([0, *ends.tolist()], [*runs.tolist(), len(raw)])
+    return int((ends - runs).sum()), len(runs), b"".join(raw[x:y] for x, y in gaps)
+
+
+def _remove(n_columns: int, batch_bytes: int = 4 << 20):
+    """Rows (columns to keep, text, whole, spans) -> the columns and _NEW, some texts at a time."""
+    types = pa.int64(), pa.int64(), pa.int64(), pa.binary()
+
+    def run(batches):
+        for batch in batches:
+            text, whole, spans = batch.columns[n_columns:]
+            buf, offsets = text_bytes(text)
+            raw = memoryview(buf)
+            whole, there, at = whole.to_pylist(), spans.is_valid().to_pylist(), spans.offsets.to_numpy()
+            first, end = (np.asarray(spans.values.field(c)) for c in ("a", "b"))
+            for lo, hi in slices(offsets, batch_bytes):
+                out = [[] for _ in _NEW]
+                for i in range(lo, hi):
+                    own = raw[offsets[i]: offsets[i + 1]]
+                    if whole[i]:
+                        row = len(own), len(own), 1, b""
+                    else:
+                        mine = slice(at[i], at[i + 1]) if there[i] else slice(0, 0)
+                        row = len(own), *_without(own, first[mine], end[mine])
+                    for column, value in zip(out, row):
+                        column.append(value)
+                same = batch.slice(lo, hi - lo).columns[:n_columns]
+                names = [*batch.schema.names[:n_columns], *_NEW]
+                yield pa.RecordBatch.from_arrays([*same, *(pa.array(x, t) for x, t in zip(out, types))], names=names)
+
+    return run
 
 
 def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -405,6 +426,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
     spans = repeated_spans(docs, length, id_col, text_col).withColumnsRenamed({"w1": "__w1", "w2": "__w2", "whole": "__whole", "spans": "__spans"})
     joined = docs.withColumn("__a", F.xxhash64(text)).withColumn("__b", F.xxhash64(F.lit(1), text)).join(
         spans.hint("merge"), (F.col("__a") == F.col("__w1")) & (F.col("__b") == F.col("__w2")), "left")
-    new = ("n_bytes", "n_removed", "n_spans", "kept")
-    done = joined.withColumn("__out", _remove(text, F.coalesce("__whole", F.lit(False)), F.col("__spans")))
-    return done.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new], *[F.col("__out").getField(c).alias(c) for c in new])
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in _NEW]
+    rows = joined.select(*kept, text.alias("__text"), F.coalesce("__whole", F.lit(False)).alias("__whole"), "__spans")
+    schema = T.StructType(rows.schema.fields[: len(kept)] + [T.StructField(c, T.LongType()) for c in _NEW[:3]] + [T.StructField("kept", T.BinaryType())])
+    return rows.mapInArrow(_remove(len(kept)), schema)
