@@ -29,7 +29,17 @@ def _noop(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _calibration() -> float:
+    """Seconds of a fixed loop on one core: divide by it to compare runs of different machines."""
+    t0 = time.perf_counter()
+    x = 0
+    for i in range(10_000_000):
+        x = (x * 31 + i) & 0xFFFFFFFF
+    return round(time.perf_counter() - t0, 3)
+
+
 def main() -> None:
+    before = _calibration()
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     mode = os.environ.get("BENCH_MODE", "pipeline")
@@ -74,6 +84,7 @@ def main() -> None:
         "sf": sf,
         "mode": mode,
         "cpus": cpus,
+        "calibration_sec": [before, _calibration()],
     }))
 
 
