@@ -92,3 +92,58 @@ def test_no_single_task_window_over_orders(spark):
     for name in ("exception_queue", "late_full_queue", "order_service"):
         plan = getattr(model, name)._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"Window \[|SinglePartition", plan), name
+
+
+def test_percentile_moves_counts_not_rows(spark):
+    """One group with all rows: the scan's tasks count, and only counts are exchanged."""
+    from cargoline.operators.quantiles import SUB_BRACKETS, bracket_counts
+
+    v = spark.range(0, 200_000, 1, 8).select(F.lit("hot").alias("k"), (F.col("id") % 1000 * 1.5).alias("_v"))
+    bounds = spark.createDataFrame([("hot", 1200.0, 1300.5)], "k string, _lo double, _hi double")
+    counts = bracket_counts(v, bounds, ["k"], True)
+    rows = counts.collect()
+    assert sum(r._c for r in rows) == 200_000 and len(rows) == 2 + 68
+    assert {r._part for r in rows if r._x is None} == {-1, SUB_BRACKETS}
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in plan and len(re.findall(r"(?<!Broadcast)Exchange hashpartitioning", plan)) == 1
+    assert re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*HashAggregate\(keys=\[[^\n]*functions=\[partial_count", plan), plan
+
+
+def test_percentile_of_one_group_with_heavy_ties(spark):
+    df = spark.range(0, 50_000, 1, 16).select(
+        F.lit(None).cast("string").alias("k"), F.when(F.col("id") % 10 < 8, 7.25).otherwise(F.sin(F.col("id").cast("double")) * 100).alias("v"))
+    for p in (0.05, 0.5, 0.9, 0.95, 1.0):
+        assert ops.percentile_cont(df, ["k"], "v", p, "q").first().q == pytest.approx(df.agg(F.percentile("v", p)).first()[0], rel=1e-12)
+
+
+def test_grid_partitions_follow_its_rows(spark, monkeypatch):
+    from cargoline.operators import demand
+
+    assert [demand.grid_partitions(n, 8) for n in (0, 1, 100_001, 4_800_000, 40_000_000, 4_800_000_000)] == [1, 1, 2, 8, 20, 2400]
+    monkeypatch.setattr(demand, "GRID_ROWS", 500)
+    lines = spark.createDataFrame([(s, f"W{s % 3}", 2000 + s % 2, s) for s in range(60)], "sku long, warehouse string, y int, units_ordered long")
+    lines = lines.withColumn("order_date", F.make_date("y", F.lit(5), F.lit(17)))
+    products = spark.range(100).select(F.col("id").alias("sku"), F.lit(1).cast("decimal(18,2)").alias("unit_price"))
+    grid = demand.monthly_demand_grid(demand.demand_cells(lines), products)
+    rows = grid.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in rows) == 100 * 3 * 13 and len(rows) == 8 and max(r["count"] for r in rows) < 1000
+    assert grid.agg(F.sum("demand")).first()[0] == sum(range(60))
+
+
+def test_lines_are_read_once_for_the_grid(spark):
+    from cargoline.plans.model import FulfillmentModel
+    from cargoline.sources.adapter import from_tpch
+
+    model = FulfillmentModel(from_tpch(spark, SF_DIR))
+    for name in ("demand_grid", "average_daily_demand", "stockout_exceptions", "forecast_accuracy_by_category"):
+        plan = getattr(model, name)._jdf.queryExecution().executedPlan().toString()
+        assert "lineitem" not in plan, name  # the written cells stand for them
+
+
+def test_critical_stockouts_filter_the_lines_before_they_move(spark):
+    from cargoline.plans.materialize import WrittenModel, WrittenTpchSources
+
+    df = WrittenModel(WrittenTpchSources(spark, SF_DIR)).critical_stockout_customers
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("BroadcastHashJoin") >= 2 and len(re.findall(r"(?<!Broadcast)Exchange (hashpartitioning|SinglePartition)", plan)) <= 9
