@@ -3,17 +3,22 @@
 Each language has one zstandard raw-content dictionary, cut from a bounded sample of its
 labelled texts.  A text is cut into blocks of ``block_bytes``, every block is compressed
 under every dictionary, and the sizes are summed over the whole text; the smallest total
-wins.  A text is rejected where no letter is found or where the runner-up is closer than
-the margin.
+wins.  A text is rejected where no letter is found or where its margin is narrow: the bytes
+that the runner-up needs more, over the bytes of the best.  How narrow is calibrated when
+the dictionaries are cut: excerpts are scored under dictionaries that were cut without them,
+and the limit loses at most ``max_loss`` of those of any language that were told rightly.
+Texts of unlearned languages and letters without language compress about alike under every
+dictionary and fall below it.
 """
 from __future__ import annotations
 
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoline.llm.common import per_worker
@@ -42,8 +47,8 @@ class LanguageModel:
     block_bytes: int = 2048
     #: blocks below ``short_bytes`` are padded, or the compressor would store them as they are
     short_bytes: int = 256
-    #: rejected where (second best - best) bytes < min_margin * text bytes ** 0.5
-    min_margin: float = 0.05
+    #: rejected where (second best - best) bytes < min_margin * best bytes; ties always are
+    min_margin: float = 0.0
     #: bits of advantage are scaled by this before the soft maximum
     temperature: float = 0.05
 
@@ -66,7 +71,10 @@ class LanguageModel:
         return held["ready"]
 
     def predict(self, text: str | None) -> tuple[str, float, float, bool]:
-        """(language, score, margin in bytes, rejected) of one whole text."""
+        """(language, score, margin over the compressed size, rejected) of one whole text.
+
+        A model of one language has no runner-up: its margin is infinite.
+        """
         raw = plain(text) if text and self.dictionaries else b""
         if not raw:
             return UNDETERMINED, 0.0, 0.0, True
@@ -74,14 +82,14 @@ class LanguageModel:
         blocks[-1] += _PADDING * (len(blocks[-1]) < self.short_bytes)
         sizes = sorted((sum(len(c(b)) for b in blocks), i, lang) for i, (lang, c) in enumerate(self.compressors().items()))
         best = sizes[0]
-        margin = float(sizes[1][0] - best[0]) if len(sizes) > 1 else float(len(raw))
+        margin = (sizes[1][0] - best[0]) / best[0] if len(sizes) > 1 else math.inf
         weight = sum(math.exp(min(0.0, (best[0] - s) * 8 * self.temperature)) for s, _, _ in sizes)
-        return best[2], 1.0 / weight, margin, margin < self.min_margin * len(raw) ** 0.5
+        return best[2], 1.0 / weight, margin, margin == 0.0 or margin < self.min_margin
 
 
 def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
                          docs_per_lang: int = 200, chars_per_doc: int = 500, max_langs: int = 256,
-                         **options) -> LanguageModel:
+                         max_loss: float = 0.005, **options) -> LanguageModel:
     """Dictionaries from at most ``docs_per_lang`` texts of each language (NULLs are not used).
 
     The texts are the distinct ones with the smallest hash of their content; each gives at
@@ -91,6 +99,9 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
     languages that gave fewer texts than wanted, until all their texts were looked at.
     Raises where the column has more than ``max_langs`` values: it is no language label
     then.  Without labelled rows the model rejects every text.
+
+    The margin is calibrated on the same excerpts (``narrow_margin``) unless ``min_margin``
+    is given.
     """
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).withColumn("place", F.xxhash64(F.lit("language sample"), "text"))
@@ -113,10 +124,38 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
         for lang in share:
             found[lang] = sorted((r["place"], r["text"]) for r in picked if r["lang"] == lang)
         share = {lang: min(1.0, 4.0 * s) for lang, s in share.items() if s < 1.0 and len(found[lang]) < docs_per_lang}
-    out: dict[str, bytes] = {}
-    for lang in [r["lang"] for r in sorted(counts, key=lambda r: (-r["n"], r["lang"]))]:
-        out[lang] = plain("\n".join(text for _, text in found[lang][:docs_per_lang]))
-    return LanguageModel(out, **options)
+    excerpts = {r["lang"]: [text for _, text in found[r["lang"]][:docs_per_lang]] for r in sorted(counts, key=lambda r: (-r["n"], r["lang"]))}
+    if "min_margin" not in options:
+        options["min_margin"] = narrow_margin(labelled.sparkSession, excerpts, max_loss, **options)
+    return LanguageModel(_dictionaries(excerpts), **options)
+
+
+def _dictionaries(excerpts: dict[str, list[str]]) -> dict[str, bytes]:
+    return {lang: plain("\n".join(texts)) for lang, texts in excerpts.items() if texts}
+
+
+def narrow_margin(spark: SparkSession, excerpts: dict[str, list[str]], max_loss: float, folds: int = 4, **options) -> float:
+    """The margin that loses at most ``max_loss`` of the excerpts of any language.
+
+    Every excerpt is scored under dictionaries without its fold.  Of the rightly told ones of
+    a language, the margin below which ``max_loss`` of them lie is taken (with fewer than
+    1 / max_loss of them, the smallest, so none is lost); the smallest over languages counts.
+    Languages of fewer excerpts than folds are left out; 0.0 (ties only) where none is left.
+    """
+    scored = []
+    for fold in range(folds):
+        model = LanguageModel(_dictionaries({lang: [t for i, t in enumerate(texts) if i % folds != fold] for lang, texts in excerpts.items()}), **options)
+        held = [(lang, t) for lang, texts in excerpts.items() if len(texts) >= folds for t in texts[fold::folds]]
+        if held and len(model.dictionaries) > 1:
+            rows = spark.createDataFrame(held, "lang string, text string")
+            scored.append(rows.select("lang", language_column(model, F.col("text")).alias("found")))
+    if not scored:
+        return 0.0
+    told = reduce(DataFrame.unionAll, scored).where("found.lang_pred = lang").select("lang", "found.margin").collect()
+    margins: dict[str, list[float]] = {}
+    for r in told:  # at most docs_per_lang numbers a language
+        margins.setdefault(r["lang"], []).append(r["margin"])
+    return min((sorted(m)[int(max_loss * len(m))] for m in margins.values()), default=0.0)
 
 
 def language_column(model: LanguageModel, text):

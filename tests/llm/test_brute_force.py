@@ -36,6 +36,42 @@ def test_op1(docs, result):
         assert (r["lang_pred"] == "und") == (not any(c.isalpha() for c in docs[r["doc_id"]]["text"] or ""))
     held = [r for r in rows if r["held_out"]]
     assert sum(r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in held) / len(held) > 0.9
+    assert sum(r["rejected"] for r in rows if r["lang_pred"] != "und") / len(rows) <= 0.02
+
+
+def test_op1_sizes(spark, docs, result):
+    """Prediction, margin and score from plain sums of compressed sizes."""
+    import math
+
+    import zstandard
+
+    from cargoline.llm.common import remainder
+    from cargoline.llm.language_id import plain, train_language_model
+
+    model = train_language_model(spark.read.parquet(f"{SF_DIR}/documents.parquet").where(remainder("doc_id", 3) != 1))
+    parameters = zstandard.ZstdCompressionParameters.from_level(9, min_match=3, write_content_size=False, write_checksum=False, write_dict_id=False)
+
+    def size(lang, block):
+        content = zstandard.ZstdCompressionDict(model.dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        content.precompute_compress(compression_params=parameters)
+        return len(zstandard.ZstdCompressor(dict_data=content, compression_params=parameters).compress(block))
+
+    checked = 0
+    for r in result("op1_language_id"):
+        raw = plain(docs[r["doc_id"]]["text"] or "")
+        if not raw or len(raw) > 4000:
+            continue
+        blocks = [raw[i: i + 2048] for i in range(0, len(raw), 2048)]
+        if len(blocks[-1]) < 256:
+            blocks[-1] += bytes(64)
+        total = {lang: sum(size(lang, b) for b in blocks) for lang in model.dictionaries}
+        first, second = sorted(total.values())[:2]
+        assert total[r["lang_pred"]] == first
+        assert r["margin"] == (second - first) / first
+        assert r["rejected"] == (first == second or r["margin"] < model.min_margin)
+        assert r["score"] == pytest.approx(1 / sum(math.exp((first - t) * 0.4) for t in total.values()))
+        checked += 1
+    assert checked > 50
 
 
 def test_op5(docs, result):

@@ -57,6 +57,42 @@ def test_language_sample_widens(spark, monkeypatch):
     assert len(language_id.train_language_model(rows).dictionaries["aa"].split(b"w ")) == 201
 
 
+def test_language_margin_rejects_what_was_not_learned(spark):
+    """Unlearned languages, letters at random and program text go; held-out clean texts stay."""
+    import random
+
+    from cargoline.llm.language_id import train_language_model
+
+    draw = random.Random(5)
+    syllables = {"aa": "ka mi ro te su na", "bb": "blon grif dest wurm schal kein", "cc": "ção lhe nho vei mui tar"}
+
+    def text(lang, words):
+        return " ".join("".join(draw.choices(syllables[lang].split(), k=draw.randint(1, 3))) for _ in range(words))
+
+    clean = [(text(lang, draw.randint(15, 120)), lang) for lang in syllables for _ in range(150)]
+    model = train_language_model(spark.createDataFrame(clean, "text string, lang string"))
+    assert 0 < model.min_margin < 1
+    held = [(text(lang, draw.randint(15, 120)), lang) for lang in syllables for _ in range(100)]
+    assert all(model.predict(t)[0] == lang for t, lang in held)
+    assert sum(model.predict(t)[3] for t, _ in held) <= 6
+    junk = [" ".join("".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(2, 9))) for _ in range(60)) for _ in range(50)]
+    other = ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+             "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+             "for (int i = 0; i < n; i++) { total += values[i] * weights[i]; if (total > limit) return -1; }"]
+    assert sum(model.predict(t)[3] for t in junk + other) >= 50
+    assert all(model.predict(t)[3] for t in other)
+
+
+def test_language_margin_of_few_texts(spark):
+    """One language has no runner-up, and few texts a language reject ties only."""
+    from cargoline.llm.language_id import train_language_model
+
+    one = train_language_model(spark.createDataFrame([("only one tongue here", "aa")] * 9, "text string, lang string"))
+    assert one.min_margin == 0.0 and not one.predict("only one tongue")[3]
+    two = train_language_model(spark.createDataFrame([("only one tongue here", "aa"), ("sola lingua", "bb")], "text string, lang string"))
+    assert two.min_margin == 0.0
+
+
 def test_fingerprints_of_short_and_blankless_texts(spark):
     """Half a text that is kept, and an edit of one character, leave anchors in common."""
     import random
