@@ -209,8 +209,13 @@ def _stars(keys: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _route(k: int, num: int, den: int, buckets: int):
-    """Texts -> packed blocks of (key, member) by bucket, one center for each key and batch,
-    and links from the batch's other members to the center."""
+    """Texts -> packed blocks of (key, member) by bucket, and links from a batch's other
+    members of a strong key to its center.
+
+    A bucket gets one member of a strong and two of a weak key from a batch: with two there,
+    the key is known to be shared.  The others of a weak key go to any task, so none holds all members
+    of a frequent one.
+    """
 
     def run(batches):
         routing = Routing(num, den)
@@ -232,32 +237,42 @@ def _route(k: int, num: int, den: int, buckets: int):
             strong = (keys & _WEAK) == 0
             link = strong & ~first
             links = np.unique(np.stack([members[center[link]], members[link]], 1), axis=0)
-            stay = ~link
+            dealt = ~strong & (np.arange(len(keys)) >= center + 2)
+            stay = ~link & ~dealt
             bucket = (mix64(keys[stay]) % np.uint64(buckets)).astype(np.int64)
             out_keys, out_members = keys[stay], members[stay]
-            rows = [(int(links[i, 0]) % buckets, None, links[i: i + 100_000].tobytes()) for i in range(0, len(links), 100_000)]
+            rows = [(int(links[i, 0]) % buckets, None, links[i: i + 100_000].tobytes(), None) for i in range(0, len(links), 100_000)]
+            others = np.stack([keys[dealt].view(np.int64), members[dealt]], 1)
+            for some in np.split(others, range(100_000, len(others), 100_000)) if len(others) else ():
+                # all members have a say in the bucket, as batches may share their first ones
+                rows.append((int(np.bitwise_xor.reduce(some.ravel())) % buckets, None, None, some.tobytes()))
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in range(buckets):
                 own = order[cuts[b]: cuts[b + 1]]
                 if len(own):
-                    rows.append((b, _squeeze(out_keys[own], out_members[own]), None))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["bucket", "entries", "links"])
+                    rows.append((b, _squeeze(out_keys[own], out_members[own]), None, None))
+            types = pa.int32(), pa.binary(), pa.binary(), pa.binary()
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], names=["bucket", "entries", "links", "others"])
 
     return run
 
 
 def _candidates(batches):
-    """One task's buckets -> links (block NULL: a, b) and members of weak blocks (block, a)."""
+    """One task's buckets -> links (block NULL: a, b) and members of weak blocks (block, a),
+    some of them several times."""
     keys, members, links = [], [], []
     for batch in batches:
-        for entries, packed in zip(batch.column("entries").to_pylist(), batch.column("links").to_pylist()):
+        for entries, packed, others in zip(*(batch.column(c).to_pylist() for c in ("entries", "links", "others"))):
             if entries is not None:
                 k, m = _unsqueeze(entries)
                 keys.append(k)
                 members.append(m)
-            else:
+            elif packed is not None:
                 links.append(np.frombuffer(packed, np.int64).reshape(-1, 2))
+            else:
+                block, a = np.frombuffer(others, np.int64).reshape(-1, 2).T.copy()
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(a), pa.nulls(len(a), pa.int64())], names=["block", "a", "b"])
     if keys:
         keys, members = np.concatenate(keys), np.concatenate(members)
         order = np.lexsort((members, keys))
@@ -497,10 +512,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 10
 
     total = about.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / BUCKET_SHINGLES))
-    routed = texts.mapInArrow(_route(k, num, den, buckets), "bucket int, entries binary, links binary")
+    routed = texts.mapInArrow(_route(k, num, den, buckets), "bucket int, entries binary, links binary, others binary")
     found = written(routed.repartitionById(buckets, "bucket").mapInArrow(_candidates, "block long, a long, b long"), "candidates")
     # documents of a weak key whose bitmaps allow the threshold; a large group in cells
-    weak = found.where("block is not null").select("block", "a")
+    weak = found.where("block is not null").select("block", "a").distinct()
     sized = weak.groupBy("block").agg(F.ceil(F.count("*") / WEAK_MEMBERS).cast("int").alias("subs"))
     sub = F.pmod(F.xxhash64("a"), F.col("subs")).cast("int")
     cells = weak.join(sized, "block").withColumn("sub", sub).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))

@@ -1,6 +1,8 @@
 """Inputs on which an operator did less than its whole job."""
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from test_brute_force import brute_components
@@ -35,6 +37,44 @@ def test_second_round_tasks_are_bounded(spark, monkeypatch):
     assert max(map(sum, cells.values())) < 2 * 1.5 * budget < sum(n for n, _ in want.values())
 
 
+def test_members_of_a_frequent_weak_key_are_dealt(spark, monkeypatch):
+    """Short strangers that share a passage: two of a batch go to the key's task, no pair is lost."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from cargoline.llm import jaccard_join
+
+    draw = random.Random(7)
+    word = lambda: "".join(draw.choices("abcdefghij", k=6))
+    shared = [word() for _ in range(40)]
+    texts = {}
+    for i in range(0, 600, 2):
+        own = [word() for _ in range(12)]
+        texts[i] = " ".join(shared + own)
+        texts[i + 1] = " ".join(shared + own + [word() for _ in range(1 if i % 3 else 20)])
+    batches = [pa.RecordBatch.from_pydict({"doc_id": list(texts)[i::5], "text": list(texts.values())[i::5]}) for i in range(5)]
+    home, dealt, whole = [], [], set()
+    for batch in batches:
+        routing = jaccard_join.Routing(80, 100)
+        for s in jaccard_join._sets(batch, 3):
+            whole |= {(int(x), jaccard_join._set_hash(s)[0]) for x in routing.keys(s) if int(x) & 1}
+        for out in jaccard_join._route(3, 80, 100, 4)(iter([batch])):
+            entries = [jaccard_join._unsqueeze(e) for e in out.column("entries").to_pylist() if e is not None]
+            home.append([(int(x), int(m)) for keys, members in entries for x, m in zip(keys, members) if int(x) & 1])
+            dealt += [(int(np.int64(x).view(np.uint64)), int(m)) for e in out.column("others").to_pylist() if e for x, m in np.frombuffer(e, np.int64).reshape(-1, 2)]
+    assert max(max(Counter(x for x, _ in own).values()) for own in home) == 2
+    assert max(Counter(x for x, _ in dealt).values()) > 100
+    assert set(dealt).union(*home) == whole
+    monkeypatch.setattr(jaccard_join, "WEAK_MEMBERS", 64)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7)
+    rows = jaccard_join.jaccard_components(docs, 3, 80, 100).collect()
+    want = brute_components(texts, 3, 80, 100)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
+    assert 50 < sum(d != c for d, (_, c) in want.items()) < 300
+
+
 def test_language_sample_counts_texts_not_rows(spark):
     """Copies of a text leave the other texts of the language their places in the sample."""
     from cargoline.llm.language_id import train_language_model
