@@ -151,10 +151,12 @@ def narrow_margin(spark: SparkSession, excerpts: dict[str, list[str]], max_loss:
             scored.append(rows.select("lang", language_column(model, F.col("text")).alias("found")))
     if not scored:
         return 0.0
-    told = reduce(DataFrame.unionAll, scored).where("found.lang_pred = lang").select("lang", "found.margin").collect()
+    # at most docs_per_lang rows a language; a filter here would run the function, and its worker, twice
+    told = reduce(DataFrame.unionAll, scored).select("lang", "found.lang_pred", "found.margin").collect()
     margins: dict[str, list[float]] = {}
-    for r in told:  # at most docs_per_lang numbers a language
-        margins.setdefault(r["lang"], []).append(r["margin"])
+    for r in told:
+        if r["lang_pred"] == r["lang"]:
+            margins.setdefault(r["lang"], []).append(r["margin"])
     return min((sorted(m)[int(max_loss * len(m))] for m in margins.values()), default=0.0)
 
 
