@@ -1,7 +1,8 @@
 """CSV hand-over: the sources as CSV extracts, and the model over extracts read back.
 
 Every step of a file-based run reads the extracts of the one before.  ``write_csv_extracts``
-writes them in any column order, with columns of the sender's own.
+writes them in any column order, with columns of the sender's own, compressed: the dense
+inventory and forecast grids as plain text are tens of times the tables they come from.
 """
 from __future__ import annotations
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cargoline.plans.materialize import WrittenModel
-from cargoline.session import new_folder
+from cargoline.session import new_folder, written_once
 from cargoline.sources.adapter import from_tpch
 from cargoline.sources.csv_extracts import CSV_FORMAT, CsvSources, read_csv_sources
 from cargoline.sources.readers import SOURCE_FILES, Sources
@@ -26,10 +27,21 @@ DIRT: dict[tuple[str, str], tuple[Callable[[], Column], str]] = {
     ("tms_shipments", "on_time"): (lambda: F.col("order_id") % 97 == 0, "maybe"),
 }
 
+#: rows of one compressed file, which a single task reads (it can't be split)
+FILE_ROWS = 100_000
+
+
+def extract_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """The sources over the driver's tables; the order lines, which four extracts come from, are joined once."""
+    sources = from_tpch(spark, sf_dir)
+    sources.rebase("erp_order_lines", written_once(sources.erp_order_lines, "lines"))
+    return sources
+
 
 def write_csv_extracts(sources: Sources, folder: str, columns: Callable[[list[str]], list[str]] = lambda c: c,
                        dirt: dict[tuple[str, str], tuple[Callable[[], Column], str]] | None = None) -> str:
-    """Write the eight sources as CSV folders with headers; ``columns`` orders a source's columns."""
+    """Write the eight sources as CSV folders (gzip) with headers; ``columns`` orders a source's columns."""
+    options = {**CSV_FORMAT, "header": True, "compression": "gzip", "maxRecordsPerFile": FILE_ROWS}
     for name, stem in SOURCE_FILES.items():
         df = getattr(sources, name)
         out = []
@@ -39,19 +51,19 @@ def write_csv_extracts(sources: Sources, folder: str, columns: Callable[[list[st
                 bad, text = dirt[name, c]
                 value = F.when(bad(), text).otherwise(value)
             out.append(value.alias(c))
-        df.select(F.lit("sender").alias("extract_origin"), *out).write.options(**CSV_FORMAT).option("header", True).csv(os.path.join(folder, f"{stem}.csv"))
+        df.select(F.lit("sender").alias("extract_origin"), *out).write.options(**options).csv(os.path.join(folder, f"{stem}.csv"))
     return folder
 
 
 def reordered_extracts(spark: SparkSession, sf_dir: str) -> CsvSources:
     """The sources through CSV extracts whose columns stand in reverse, beside one that nobody asked for."""
-    folder = write_csv_extracts(from_tpch(spark, sf_dir), new_folder(spark, "extracts"), lambda c: c[::-1])
+    folder = write_csv_extracts(extract_sources(spark, sf_dir), new_folder(spark, "extracts"), lambda c: c[::-1])
     return read_csv_sources(spark, folder, T.LongType())
 
 
 def dirty_extracts(spark: SparkSession, sf_dir: str) -> CsvSources:
     """The sources through CSV extracts with values that do not parse (``DIRT``)."""
-    folder = write_csv_extracts(from_tpch(spark, sf_dir), new_folder(spark, "extracts"), dirt=DIRT)
+    folder = write_csv_extracts(extract_sources(spark, sf_dir), new_folder(spark, "extracts"), dirt=DIRT)
     return read_csv_sources(spark, folder, T.LongType())
 
 

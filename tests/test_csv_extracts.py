@@ -9,6 +9,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import types as T
 
+from cargoline.plans.extracts import write_csv_extracts
 from cargoline.plans.model import FulfillmentModel
 from cargoline.plans.refresh import run_refresh
 from cargoline.schemas import source_schemas
@@ -150,3 +151,27 @@ def test_refresh_over_extracts_writes_the_report(spark):
     written = run_refresh(spark, read_csv_sources(spark, write(BAD)), out)
     assert spark.read.parquet(written["rejected"]).count() == 4 and spark.read.parquet(written["extract_report"]).count() == 8
     assert spark.read.parquet(written["data_quality_report"]).count() == 38
+
+
+def test_written_extracts_are_compressed_and_read_back(spark):
+    """As plain text the dense grids are many times the tables they come from."""
+    plain = read_csv_sources(spark, write())
+    folder = write_csv_extracts(plain, os.path.join(tempfile.mkdtemp(prefix="cargoline-csv-"), "out"), lambda c: c[::-1])
+    parts = [f for _, _, files in os.walk(folder) for f in files if f.startswith("part-")]
+    assert len(parts) >= 8 and all(f.endswith(".csv.gz") for f in parts)
+    back = read_csv_sources(spark, folder)
+    assert tables(back) == tables(plain) and back.rejected.count() == 0
+
+
+def test_extract_queries_join_the_order_lines_once(spark, monkeypatch):
+    from cargoline.plans import extracts
+    from cargoline.sources import adapter
+
+    made = []
+    lines = adapter.erp_order_lines
+    monkeypatch.setattr(adapter, "erp_order_lines", lambda *a: made.append(1) or lines(*a))
+    sources = extracts.extract_sources(spark, "/root/testdata/sf0.001")
+    for name in ("erp_order_lines", "tms_shipments", "warehouse_activity"):
+        plan = getattr(sources, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_partkey" not in plan
+    assert len(made) == 1
