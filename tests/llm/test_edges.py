@@ -208,3 +208,17 @@ def test_toxicity_learns(spark):
     hit = [r["score"] for r in rows if r["is_toxic"] == 1]
     miss = [r["score"] for r in rows if r["is_toxic"] == 0]
     assert len(hit) > 5 and np.mean([a > b for a in hit for b in miss]) > 0.8
+
+
+def test_toxicity_trains_on_all_labelled_texts(spark):
+    """Beyond a shard's size nothing is left out: every text is counted and every rare toxic word learned."""
+    words = [f"vile{chr(97 + i)}zz" for i in range(12)]
+    docs = spark.createDataFrame([(i, f"common plain words go here {words[i // 4 % 12] if i % 4 == 0 else 'fine'}", "en") for i in range(960)], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    rows = toxicity.labelled_words(docs.unionAll(docs), labels.unionAll(labels), 100, lang_col="lang")
+    assert rows.count() == 960 and rows.select("shard").distinct().count() == 10
+    seen = rows.mapInArrow(toxicity._seen, "row int, n long").groupBy("row").agg(F.sum("n").alias("n"))
+    assert seen.agg(F.max("n")).first()[0] == 960
+    model = toxicity.train_toxicity(docs, labels, 100, lang_col="lang")
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, model).collect()}
+    assert all((score >= toxicity.OPERATING_POINT) == (i % 4 == 0) for i, score in scores.items())
