@@ -222,3 +222,20 @@ def test_toxicity_trains_on_all_labelled_texts(spark):
     model = toxicity.train_toxicity(docs, labels, 100, lang_col="lang")
     scores = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, model).collect()}
     assert all((score >= toxicity.OPERATING_POINT) == (i % 4 == 0) for i, score in scores.items())
+
+
+def test_toxicity_moves_labelled_texts_only_and_once(spark, monkeypatch):
+    """Unlabelled texts pass the filter by chance at most, and those that pass are dropped by their ids, also when all pass."""
+    docs = spark.createDataFrame([(i % 900 if i % 900 else None, f"text {i} " + "a b c " * (i % 3), "en") for i in range(1800)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 1200, 5)] + [(5, 1), (None, 1), (7, None)], "doc_id int, toxic int")
+    want = sorted((str(i), max(i % 2, i == 5)) for i in range(5, 900, 5))
+    plans = []
+    real = toxicity.written
+    monkeypatch.setattr(toxicity, "written", lambda df, label, **o: (plans.append(df), real(df, label, **o))[1])
+    for bits in (1 << 25, 64):
+        monkeypatch.setattr(toxicity, "FILTER_BITS", bits)
+        rows = toxicity.labelled_words(docs, labels, 50, lang_col="lang").collect()
+        assert len(rows) == len(want) and sum(r["toxic"] for r in rows) == sum(t for _, t in want)
+        assert {r["shard"] for r in rows} == set(range(5)) and {r["lang"] for r in rows} == {"en"}
+    plan = plans[1]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
