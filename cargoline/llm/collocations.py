@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargoline.llm.common import mix64, written
+from cargoline.llm.common import mix64, slices, written
 
 #: bytes that end a piece, and bytes that part words inside one
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -47,6 +47,7 @@ class Transform:
                 key <<= np.uint64(bits)
                 key |= ahead[i: n + i].astype(np.uint64)
             order = np.argsort(key, kind="stable")
+            del key
         else:
             order = np.lexsort([ahead[i: n + i] for i in reversed(range(depth))])
         self.last = text[order - 1]
@@ -89,10 +90,16 @@ class BidirectionalIndex:
         if not len(size):
             return np.zeros((0, phrases.shape[1] + 1), np.int32), *[np.zeros(0, np.int64)] * 3
         begin = np.cumsum(size) - size
-        rows = np.arange(int(size.sum())) + np.repeat(low - begin, size)
-        key = np.repeat(np.arange(len(size)), size) * (self.sigma + 1) + self.forward.last[rows]
-        found, count = np.unique(key, return_counts=True)
-        owner, symbol = np.divmod(found, self.sigma + 1)
+        rows = np.repeat(low - begin, size)
+        rows += np.arange(len(rows))
+        key = np.repeat(np.arange(len(size)) * (self.sigma + 1), size)
+        key += self.forward.last[rows]
+        del rows
+        key.sort()
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        count = np.diff(first, append=len(key))
+        owner, symbol = np.divmod(key[first], self.sigma + 1)
+        del key, first
         back = back[owner] + (np.cumsum(count) - count) - begin[owner]  # symbols that sort before this one
         real = symbol > 0
         owner, symbol, count, back = owner[real], symbol[real], count[real], back[real]
@@ -116,8 +123,8 @@ _FOLD[ord("A"): ord("Z") + 1] += 32
 _BREAKS, _PARTS = _lookup(PIECE_ENDS), _lookup(PIECE_ENDS + WORD_ENDS)
 
 
-def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """(word ids from 1 with a 0 after every piece, the words in byte order) of texts."""
+def _coded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(place of each word among the different words, which words end a piece, the different words) of texts."""
     joined = pc.binary_join(pa.ListArray.from_arrays([0, len(texts)], texts), pa.scalar(b"\n", pa.large_binary()))[0].as_buffer()
     buf = _FOLD[np.frombuffer(joined, np.uint8)] if joined.size else np.empty(0, np.uint8)
     inside = ~_PARTS[buf]
@@ -126,13 +133,24 @@ def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     sizes = np.concatenate([[0], np.cumsum(ends - starts)])
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(sizes), pa.py_buffer(buf[inside])])
     coded = words.dictionary_encode()
+    breaks = np.searchsorted(np.flatnonzero(_BREAKS[buf]), starts)
+    return coded.indices.to_numpy(), np.flatnonzero(np.diff(breaks, append=-1)), coded.dictionary  # the last word of each piece
+
+
+def _words(texts: pa.Array, part_bytes: int = 1 << 20) -> tuple[np.ndarray, pa.Array]:
+    """(word ids from 1 with a 0 after every piece, the words in byte order) of texts, some texts at a time."""
+    offsets = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy())])
+    parts = [_coded(texts.slice(a, b - a)) for a, b in slices(offsets, part_bytes)] or [_coded(texts)]
+    coded = pa.concat_arrays([words for _, _, words in parts]).dictionary_encode()
     order = pc.array_sort_indices(coded.dictionary).to_numpy()
     number = np.empty(len(order), np.int32)
     number[order] = np.arange(1, len(order) + 1)
-    ids = number[coded.indices.to_numpy()]
-    breaks = np.cumsum(_BREAKS[buf], dtype=np.int32)[starts]
-    last = np.flatnonzero(np.diff(breaks, append=-1))  # the last word of each piece
-    return np.insert(ids, last + 1, 0), coded.dictionary.take(pa.array(order))
+    number, at, ids = number[coded.indices.to_numpy()], 0, []
+    for places, last, words in parts:
+        ids.append(np.insert(number[at: at + len(words)][places], last + 1, 0))
+        at += len(words)
+    pa.default_memory_pool().release_unused()
+    return np.concatenate(ids), coded.dictionary.take(pa.array(order))
 
 
 def count_ngrams(texts: pa.Array, depth: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -145,10 +163,13 @@ def count_ngrams(texts: pa.Array, depth: int) -> tuple[pa.Array, np.ndarray, np.
         rows = np.zeros((len(level[0]), depth), np.int32)
         rows[:, :n] = level[0]
         grams.append(rows)
-        counts.append(np.column_stack([level[3], *index.extensions(level)]).astype(np.int32))
+        counts.append(np.column_stack([c.astype(np.int32) for c in (level[3], *index.extensions(level))]))
+        del rows
         if n < depth:
             level = index.extend_left(level)
-    return words, np.concatenate(grams), np.concatenate(counts)
+    del index, level, ids
+    grams = np.concatenate(grams)
+    return words, grams, np.concatenate(counts)
 
 
 _BLOBS = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("ngrams", pa.binary())])
@@ -165,10 +186,12 @@ def _blobs(lang: str | None, texts: pa.Array, depth: int, buckets: int, chunk_ro
     """The n-grams of a shard as one compressed batch a bucket; their text is made some buckets at a time."""
     words, grams, counts = count_ngrams(texts, depth)
     hashes = np.array([0, *[zlib.crc32(w) for w in words.to_pylist()]], np.uint64)
-    mark = np.zeros(len(grams), np.uint64)
-    for column in grams.T:
-        mark = mix64(mark + hashes[column])
-    bucket = (mark % np.uint64(buckets)).astype(np.int64)
+    bucket = np.empty(len(grams), np.int32)
+    for a in range(0, len(grams), chunk_rows):
+        mark = np.zeros(len(grams[a: a + chunk_rows]), np.uint64)
+        for column in grams[a: a + chunk_rows].T:
+            mark = mix64(mark + hashes[column])
+        bucket[a: a + chunk_rows] = mark % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
     bucket = bucket[order]
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
@@ -195,7 +218,8 @@ def _blobs(lang: str | None, texts: pa.Array, depth: int, buckets: int, chunk_ro
 def _shards(depth: int, buckets: int, shard_bytes: int):
     def run(batches):
         pending, held = {}, {}
-        for batch in batches:
+        # a batch may have more text than a shard: only a part of it is copied at a time
+        for batch in (whole.slice(a, 500) for whole in batches for a in range(0, len(whole), 500)):
             texts = pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
             langs = batch.column(0).dictionary_encode()
             for code, lang in enumerate(langs.dictionary.to_pylist()):
