@@ -1,9 +1,9 @@
 """Data-quality checks (O18) and the mart grain check.
 
-The report is data -- (check, status, detail) rows -- and reads every source once:
+The report is data -- (check, status, detail) rows -- and reads every source but the lines once:
 
-* the order lines are folded by each of their keys (line, order, customer, SKU, supplier) in
-  one pass of grouping sets with typed keys; the row predicates ride along.  The folds
+* the order lines are folded by each of their keys: line and order alone, customer, SKU and
+  supplier in one pass of grouping sets; the row predicates ride along.  The folds
   are written, as several checks read them;
 * shipments are folded to one row per order; a full join with the order fold answers
   coverage, promises and shipment uniqueness;
@@ -76,22 +76,25 @@ LINE_KEYS = ("order_line_id", "order_id", "customer_id", "sku", "supplier_id")
 
 
 def line_folds(lines: DataFrame) -> dict[str, DataFrame]:
-    """Per key of LINE_KEYS: one row per value (NULL is one) with ``_n`` lines, the promised dates'
-    range and the lines that violate a row predicate.  One pass over the lines, written."""
-    grouping = F.lit(0)
-    kinds = {key: (1 << len(LINE_KEYS)) - 1 - (1 << len(LINE_KEYS) - 1 - i) for i, key in enumerate(LINE_KEYS)}
-    for i, key in enumerate(LINE_KEYS):
-        grouping = F.when(F.col("_grouping") == kinds[key], i).otherwise(grouping)
-    folds = lines.groupingSets([[key] for key in LINE_KEYS], *LINE_KEYS).agg(
-        F.grouping_id().alias("_grouping"),
+    """Per key of LINE_KEYS: one row per value (NULL is one) with ``_n`` lines and those that violate a
+    row predicate, written; per order the promised dates' range as well.  The two keys with about as
+    many values as lines are folded alone; the others share a pass of grouping sets, whose copies of a
+    line end in the scan's tasks."""
+    dates = [F.min("promised_date").alias("_first"), F.max("promised_date").alias("_last")]
+    measures = [
         F.count(F.lit(1)).alias("_n"),
-        F.min("promised_date").alias("_first"), F.max("promised_date").alias("_last"),
         F.count_if(~(non_negative("units_ordered") & non_negative("units_shipped"))).alias("v_units_negative"),
         F.count_if(~holds(F.col("units_shipped") <= F.col("units_ordered"))).alias("v_over_shipped"),
         F.count_if(~holds(F.col("promised_date") >= F.col("order_date"))).alias("v_promise_before_order"),
-    ).withColumn("_kind", grouping).drop("_grouping")
-    rows = written_once(folds, "line-folds", partition_by="_kind")
-    return {key: rows.where(F.col("_kind") == i).drop("_kind") for i, key in enumerate(LINE_KEYS)}
+    ]
+    many, few = LINE_KEYS[:2], LINE_KEYS[2:]
+    folds = {key: written_once(lines.groupBy(key).agg(*measures, *(dates if key == "order_id" else [])), "line-folds") for key in many}
+    grouping = F.lit(0)
+    for i in range(len(few)):
+        grouping = F.when(F.col("_grouping") == (1 << len(few)) - 1 - (1 << len(few) - 1 - i), i).otherwise(grouping)
+    rows = lines.groupingSets([[key] for key in few], *few).agg(F.grouping_id().alias("_grouping"), *measures)
+    rows = written_once(rows.withColumn("_kind", grouping).drop("_grouping"), "line-folds", partition_by="_kind")
+    return folds | {key: rows.where(F.col("_kind") == i).drop("_kind") for i, key in enumerate(few)}
 
 
 def _references(keys: DataFrame, key: str, parent: DataFrame, name: str) -> tuple[list[str], DataFrame]:

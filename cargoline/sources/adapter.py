@@ -69,11 +69,11 @@ def _order_headers(orders: DataFrame) -> DataFrame:
 def erp_order_lines(lineitem: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
     """ERP order lines: lineitem x part x orders with the adapter's rules."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    p = part.select("p_partkey", "p_retailprice", "p_size")
+    # the decimals of a part are made once a part, not once a line
+    p = part.select("p_partkey", F.col("p_retailprice").cast(MONEY).alias("unit_price"), cents_to_money(F.col("p_size") * 25).alias("unit_weight_kg"))
     ordered = F.col("l_quantity").cast(T.LongType())
     short = (F.col("l_partkey") * 7 + F.col("l_suppkey") * 3 + F.col("l_linenumber")) % SHORT_SHIP_MOD == 0
     shipped = F.when(short, F.expr("(cast(l_quantity as bigint) * (l_partkey % 4)) div 4")).otherwise(ordered)
-    unit_price = F.col("p_retailprice").cast(MONEY)
     return (
         # part first, then orders: the result stays hash-partitioned on
         # l_orderkey, which every order-level aggregate downstream reuses
@@ -90,9 +90,9 @@ def erp_order_lines(lineitem: DataFrame, orders: DataFrame, part: DataFrame) ->
             F.col("l_suppkey").alias("supplier_id"),
             ordered.alias("units_ordered"),
             shipped.alias("units_shipped"),
-            unit_price.alias("unit_price"),
-            cents_to_money(F.col("p_size") * 25).alias("unit_weight_kg"),
-            (shipped * unit_price).cast(MONEY).alias("revenue"),
+            "unit_price",
+            "unit_weight_kg",
+            (shipped * F.col("unit_price")).cast(MONEY).alias("revenue"),
         )
     )
 

@@ -154,3 +154,19 @@ def test_report_scans_every_source_once(spark, tmp_path):
     assert plan.count("BroadcastNestedLoopJoin") <= 1
     shuffles = len(re.findall(r"(?<!Reused)Exchange (hashpartitioning|SinglePartition)", plan))
     assert shuffles <= 31, shuffles  # 62 with a plan of its own for every check
+
+
+def test_report_writes_only_what_it_reads_several_times(spark, monkeypatch):
+    """The mart is read once, for its KPIs, and not written; ids with as many values as lines are not copied for every key."""
+    from cargoline.operators import quality
+    from cargoline.plans.materialize import WrittenModel, WrittenTpchSources
+
+    folds, real = [], quality.written_once
+    monkeypatch.setattr(quality, "written_once", lambda df, *a, **o: (folds.append(df), real(df, *a, **o))[1])
+    model = WrittenModel(WrittenTpchSources(spark, SF_DIR))
+    assert model.data_quality_report.count() == 38
+    assert "mart_order_service" not in model.__dict__
+    copied = [df for df in folds if "Expand" in df._jdf.queryExecution().optimizedPlan().toString()]
+    assert len(copied) == 1 and not {"order_line_id", "order_id"} & set(copied[0].columns)
+    written = WrittenModel(WrittenTpchSources(spark, SF_DIR))
+    assert written.mart_order_service.count() and written.reported_mart_summary.collect() == model.reported_mart_summary.collect()
