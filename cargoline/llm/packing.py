@@ -12,13 +12,14 @@ from __future__ import annotations
 import json
 import math
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoline.llm.common import group_keys, per_worker, short_keys, slices, text_bytes, written
+from cargoline.llm.common import group_keys, mix64, per_worker, short_keys, slices, text_bytes, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -67,6 +68,11 @@ _PLAIN_BELOW = 0x300
 _DOTTED_I = "\u0130".encode()
 
 
+def _room(x: np.ndarray, n: int) -> np.ndarray:
+    """``x``, or a longer copy of it with room for n entries."""
+    return x if n <= len(x) else np.concatenate([x, np.zeros(max(len(x), n - len(x)), x.dtype)])
+
+
 class WordIds:
     """Token ids of whole texts by a BPE with word ends, remembered by pre-token.
 
@@ -74,9 +80,13 @@ class WordIds:
     does after lowering, and every distinct pre-token goes once through the library's
     model.  Texts with other code points or with a special token's string go through the
     library as a whole.
+
+    What is remembered lies in arrays: a pre-token of up to 15 bytes is found by binary
+    search among the sorted hashes and compared in full; a longer one, or one that shares its
+    hash with another, by a dictionary.
     """
 
-    def __init__(self, path: str, remember: int = 300_000):
+    def __init__(self, path: str, remember: int = 400_000):
         import regex
         from tokenizers import Tokenizer
 
@@ -101,11 +111,14 @@ class WordIds:
         self._clear()
 
     def _clear(self):
-        self.number: dict[bytes, int] = {}
-        self.begin: list[int] = []
-        self.size: list[int] = []
-        self.flat = np.empty(1 << 20, np.uint32)
+        # by code: the key's two words, and where its ids are; code 0 is no pre-token's
+        self.low, self.high = np.zeros((2, 1 << 12), np.uint64)
+        self.begin, self.size = np.zeros((2, 1 << 12), np.int64)
+        self.known = 1
+        self.flat = np.empty(1 << 16, np.uint32)
         self.used = 0
+        self.hashes, self.code_of = np.array([0xFFFFFFFFFFFFFFFF], np.uint64), np.zeros(1, np.int64)  # sorted by hash
+        self.single: dict[bytes, int] = {}
 
     def _pre_tokens(self, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Starts of the pre-tokens (runs of white space among them) of texts joined in ``codes``."""
@@ -130,28 +143,57 @@ class WordIds:
                 begins[(q + n)[q + n < len(codes)]] = True
         return np.flatnonzero(begins)
 
-    def _code(self, piece: bytes) -> int:
-        code = self.number.get(piece)
-        if code is None:
-            code = self.number[piece] = len(self.begin)
-            mapped = "".join([self.letters[b] for b in piece.decode().lower().encode()])
-            ids = [t.id for t in self.tokenizer.model.tokenize(mapped)]
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.uint32)])
-            self.flat[self.used: self.used + len(ids)] = ids
-            self.begin.append(self.used)
-            self.size.append(len(ids))
-            self.used += len(ids)
+    def _learn(self, pieces: list[bytes], low=0, high=0) -> np.ndarray:
+        """New codes of distinct pre-tokens, which hold no white space."""
+        if not pieces:
+            return np.empty(0, np.int64)
+        lowered = b"\n".join(pieces).decode().lower().encode().decode("latin-1").translate(self.letters)
+        tokenize = self.tokenizer.model.tokenize
+        found = [[t.id for t in tokenize(x)] for x in lowered.split(self.letters[ord("\n")])]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        end, used = self.known + len(found), self.used + int(size.sum())
+        self.low, self.high, self.begin, self.size = (_room(x, end) for x in (self.low, self.high, self.begin, self.size))
+        self.flat = _room(self.flat, used)
+        self.flat[self.used: used] = np.fromiter(chain.from_iterable(found), np.uint32, used - self.used)
+        codes = np.arange(self.known, end)
+        self.low[codes], self.high[codes], self.size[codes] = low, high, size
+        self.begin[codes] = self.used + np.cumsum(size) - size
+        self.known, self.used = end, used
+        return codes
+
+    def _codes(self, buf: np.ndarray, data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The code of each pre-token; every distinct one is looked up once."""
+        code = np.empty(len(starts), np.int64)
+        which, low, high = short_keys(buf, starts, lengths)
+        first, inverse, odd = group_keys(low, high)
+        own_low, own_high = low[first], high[first]
+        hashes = mix64(own_low + mix64(own_high))  # ascending
+        at = np.searchsorted(self.hashes, hashes)
+        found, there = self.code_of[at], self.hashes[at] == hashes
+        other = there & ((self.low[found] != own_low) | (self.high[found] != own_high))
+        new = np.flatnonzero(~there)
+        begin = starts[which[first[new]]].tolist()
+        end = [a + k for a, k in zip(begin, lengths[which[first[new]]].tolist())]
+        found[new] = self._learn([data[a:b] for a, b in zip(begin, end)], own_low[new], own_high[new])
+        self.hashes, self.code_of = np.insert(self.hashes, at[new], hashes[new]), np.insert(self.code_of, at[new], found[new])
+        code[which] = found[inverse]
+        rest = np.concatenate([which[odd], which[other[inverse]], np.flatnonzero(lengths >= 16)])
+        pieces = [data[a:b] for a, b in zip(starts[rest].tolist(), (starts + lengths)[rest].tolist())]
+        fresh = list({p: None for p in pieces if p not in self.single})
+        self.single.update(zip(fresh, self._learn(fresh).tolist()))
+        code[rest] = [self.single[p] for p in pieces]
         return code
 
     def __call__(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the UTF-8 texts buf[offsets[i]:offsets[i + 1]] one after the other, and the number of ids of each."""
+        return self._split(buf, offsets) if self._plain(buf) else self._by_text(buf, offsets)
+
+    def _split(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The fast way, for texts that are plain one by one."""
         n = len(offsets) - 1
-        if not self._plain(buf):
-            return self._by_text(buf, offsets)
         if not len(buf):
             return np.empty(0, np.uint32), np.zeros(n, np.int64)
-        if len(self.number) > self.remember:
+        if self.known > self.remember:
             self._clear()
         data = buf.tobytes()
         codes = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
@@ -161,18 +203,11 @@ class WordIds:
         lengths = np.diff(starts, append=len(buf))
         real = self.kind[codes[first]] != 3
         starts, lengths = starts[real], lengths[real]
-        code = np.empty(len(starts), np.int64)
-        which, low, high = short_keys(buf, starts, lengths)
-        unique, inverse, odd = group_keys(low, high)
-        begin, size = starts[which[unique]].tolist(), lengths[which[unique]].tolist()
-        if len(which):
-            code[which] = np.array([self._code(data[a: a + k]) for a, k in zip(begin, size)], np.int64)[inverse]
-        for i in [*which[odd].tolist(), *np.flatnonzero(lengths >= 16).tolist()]:
-            code[i] = self._code(data[starts[i]: starts[i] + lengths[i]])
-        k = np.array(self.size, np.int64)[code]
+        code = self._codes(buf, data, starts, lengths)
+        k = self.size[code]
         last = np.cumsum(k)
         total = int(last[-1]) if len(last) else 0
-        ids = self.flat[np.arange(total) - np.repeat(last - k - np.array(self.begin, np.int64)[code], k)]
+        ids = self.flat[np.arange(total) - np.repeat(last - k - self.begin[code], k)]
         owner = np.searchsorted(offsets, starts, "right") - 1
         return ids, np.bincount(owner, k, minlength=n).astype(np.int64)
 
@@ -181,14 +216,14 @@ class WordIds:
         return self.known_form and not any(m in data for m in (*self.marks, _DOTTED_I)) and not bool((buf >= 0xCC).any())
 
     def _by_text(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Text by text: the fast way where it holds, else the library."""
-        ids = []
-        for a, b in zip(offsets, offsets[1:]):
-            part = buf[a:b]
-            if self._plain(part):
-                ids.append(self(part, np.array([0, len(part)]))[0])
-            else:
-                ids.append(np.array(self.tokenizer.encode(part.tobytes().decode(), add_special_tokens=False).ids, np.uint32))
+        """The fast way for all texts where it holds, together, and the library for each of the others."""
+        texts = [buf[a:b] for a, b in zip(offsets, offsets[1:])]
+        plain = [self._plain(x) for x in texts]
+        fast = [x for x, fits in zip(texts, plain) if fits]
+        ids, n = self._split(np.concatenate([buf[:0], *fast]), np.cumsum([0, *map(len, fast)]))
+        done = iter(np.split(ids, np.cumsum(n)[:-1]))
+        encode = lambda x: self.tokenizer.encode(x.tobytes().decode(), add_special_tokens=False).ids
+        ids = [next(done) if fits else np.array(encode(x), np.uint32) for x, fits in zip(texts, plain)]
         return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
 
 

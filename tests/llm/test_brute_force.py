@@ -250,6 +250,55 @@ def test_tokenizers_on_awkward_texts():
     assert ids == [library[1].encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("clash,remember", [(False, 400_000), (False, 20), (True, 400_000)])
+def test_word_ids_ask_the_library_once_a_word(monkeypatch, clash, remember):
+    """Words seen before cost no call, also beside odd texts, and equal hashes of other words are told apart."""
+    import numpy as np
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from cargoline.llm import common, packing
+
+    if clash:
+        mix = common.mix64
+        for module in (common, packing):
+            monkeypatch.setattr(module, "mix64", lambda x: mix(x) % np.uint64(7))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, library = packing.WordIds(path, remember), Tokenizer.from_file(path)
+    learnt, learn = [], words._learn
+    monkeypatch.setattr(words, "_learn", lambda pieces, *keys: learnt.extend(pieces) or learn(pieces, *keys))
+    base = [f"word{chr(97 + i)} Ünïque{chr(98 + i % 20)}, averyveryverylongword{chr(97 + i % 5)} it's 4{i} <|endof" for i in range(20)]
+    base[7] += "text|>"
+    for texts in (base, base[::-1], ["text|>", *base, "", "\u4e2d \u2019s wordb", "x" * 20], ["\u4e2d"]):
+        buf, offsets = common.text_bytes(pa.array(texts))
+        ids, n = words(buf, offsets)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    if not clash and remember > 1000:
+        assert len(learnt) == len(set(learnt))
+
+
+def test_word_ids_cost_of_what_is_remembered():
+    """A call's time follows its texts, not the words remembered; an odd text leaves the others to the fast way."""
+    import time
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    from cargoline.llm.common import text_bytes
+    from cargoline.llm.packing import WordIds
+
+    letters = "abcdefghijklmnopqrst"
+    words = WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    words(*text_bytes(pa.array([" ".join(a + b + c + d for a in letters for b in letters for c in letters for d in letters)])))
+    odd = text_bytes(pa.array(["\u4e2d", *["abcd bcde cdef"] * 1000]))
+    began = time.process_time()
+    ids, n = words(*odd)
+    took = time.process_time() - began
+    assert ids.tolist() == [*words(*text_bytes(pa.array(["\u4e2d"])))[0].tolist(), *words(*text_bytes(pa.array(["abcd bcde cdef"])))[0].tolist() * 1000]
+    assert took < 2  # 10 s and more where each text converted the whole memory
+
+
 def brute_components(docs, k=3, num=90, den=100):
     import re
 
