@@ -224,3 +224,72 @@ assert out[0].num_rows and sum(b.num_rows for b in tasks[2](iter(out)))
     env = {"PATH": "/usr/bin:/bin", "PYTHONPATH": ""}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
     assert done.returncode == 0, done.stderr
+
+
+def test_language_words_come_from_all_texts(spark):
+    """Words of every whole text count for a dictionary, wherever they stand."""
+    from cargoline.llm.language_id import train_language_model
+
+    letters = str.maketrans("0123456789", "abcdefghij")
+    filler = lambda i: " ".join(f"q{i * 1000 + j}".translate(letters) for j in range(150))
+    # each of the 80 words ends 20 texts of 1,600; texts end beyond any excerpt's or sample's reach of most of them
+    texts = [f"{filler(i)} {filler(i + 5000)} zz{100 + i % 80}".translate(letters) for i in range(1600)]
+    model = train_language_model(spark.createDataFrame([(t, "aa") for t in texts], "text string, lang string"))
+    assert {f"zz{100 + i}".translate(letters) for i in range(80)} <= set(model.dictionaries["aa"].decode().split())
+
+
+def test_language_words_are_counted_whole(spark, monkeypatch):
+    """Counts do not depend on how texts are cut or passed on; without blanks, pairs of code points are counted."""
+    from collections import Counter
+
+    from cargoline.llm import language_id
+
+    texts = ["ab cd, AB\n" * 150_000, "x" * 40, "ab 日本語 12", "日本"]
+    rows = spark.createDataFrame([(t, "aa") for t in texts], "text string, lang string").withColumn("place", F.xxhash64("text"))
+    want = Counter({"ab": 300_001, "cd": 150_000, "xx": 39, "日本": 2, "本語": 1})
+    got = language_id.frequent_words(rows, 100)
+    assert got["aa", -1] == " ".join(sorted(want, key=lambda w: (want[w], [-ord(c) for c in w])))
+    assert language_id.frequent_words(rows, 2, by_fold=False) == {("aa", -1): "cd ab"}
+    places = {r["text"]: r["place"] % language_id.FOLDS for r in rows.collect()}
+    for fold in range(language_id.FOLDS):
+        there = {w.decode() for t in texts if places[t] != fold for w in language_id._units(Counter(language_id.words_of(t)))[0]}
+        assert set(got.get(("aa", fold), "").split()) == there
+
+
+def test_language_margin_counts_all_texts(spark):
+    """The limit comes from every labelled text: of 3,000 with more or less noise, some 0.5 % fall below it."""
+    import random
+
+    from cargoline.llm.language_id import train_language_model
+
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=5))
+    words = {lang: [word() for _ in range(300)] for lang in ("aa", "bb")}
+
+    def text(lang, share):
+        return " ".join(word() if draw.random() < share else draw.choice(words[lang]) for _ in range(60))
+
+    rows = [(text(lang, draw.choice([0.0, 0.3, 0.5, 0.7, 0.8])), lang) for lang in words for _ in range(1500)]
+    model = train_language_model(spark.createDataFrame(rows, "text string, lang string"))
+    told = {lang: [p for t, x in rows if x == lang and (p := model.predict(t))[0] == lang] for lang in words}
+    assert model.min_margin > 0 and all(len(p) > 1400 for p in told.values())
+    assert all(sum(x[3] for x in p) <= 0.01 * len(p) for p in told.values())
+
+
+def test_language_plain_text_keeps_letters_only(spark):
+    """Every character alone between letters, and many odd ones together, as the expression says."""
+    import re
+
+    from cargoline.llm.language_id import plain
+
+    slow = lambda t: re.sub(r"[\W\d_]+", " ", t.lower()).strip().encode("utf-8", "replace")
+    texts = [f"A{chr(i)}b" for i in range(0x3000)] + ["".join(chr(i) for i in range(a, a + 300)) for a in range(0, 0x11000, 300)] + ["", " ", "\ud800x"]
+    assert [plain(t) for t in texts] == [slow(t) for t in texts]
+
+
+def test_language_predictions_do_not_depend_on_the_batch(spark):
+    from cargoline.llm.language_id import LanguageModel
+
+    model = LanguageModel({"aa": b"one two three " * 20, "bb": b"uno dos tres " * 20}, min_margin=0.01)
+    texts = ["one two", None, "", "uno " * 600_000, "12 .", "dos tres one " * 3000, "x", "tres"] * 3
+    assert model.predict_all(texts) == [model.predict(t) for t in texts] and model.predict_all([]) == []
