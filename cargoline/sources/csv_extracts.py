@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,45 +64,58 @@ def parsed(text: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.DateType):
         return F.when(text.rlike(_DATE), text.try_cast(kind))
     if isinstance(kind, (T.IntegerType, T.LongType)):
+        # plain digits are most numbers; the cast trims DEL as well, a decimal does not
         number = text.try_cast(T.DecimalType(38, 6))
-        return F.when(number == F.floor(number), number.try_cast(kind))
+        plain = F.when(~text.contains("\x7f"), text.try_cast(kind))
+        return F.coalesce(plain, F.when(number == F.floor(number), number.try_cast(kind)))
     return text.try_cast(kind)
 
 
 @dataclass(frozen=True)
 class Extract:
-    """One extract: ``checked`` has the typed columns, ``_problems`` and ``_text``."""
+    """One extract: ``checked`` has the typed columns, ``_bad``, ``_problems`` and ``_text``.
+
+    ``problems`` has a condition for each problem, by the columns of ``raw``: what only counts
+    or only keeps good records needs no array of names for every record.
+    """
 
     name: str
     schema: T.StructType
     checked: DataFrame
+    raw: DataFrame
+    problems: dict[str, Column]
 
     @property
     def good(self) -> DataFrame:
-        return self.checked.where(F.size("_problems") == 0).select(*self.schema.names)
+        return self.checked.where(~F.col("_bad")).select(*self.schema.names)
 
     @property
     def strict(self) -> DataFrame:
         """All rows; one that does not parse raises when it is read."""
         message = F.concat(F.lit(f"{self.name}: bad record ("), F.array_join("_problems", ", "), F.lit("): "), F.col("_text"))
-        return self.checked.where(F.when(F.size("_problems") == 0, True).otherwise(F.raise_error(message).isNull())).select(*self.schema.names)
+        return self.checked.where(F.when(~F.col("_bad"), True).otherwise(F.raise_error(message).isNull())).select(*self.schema.names)
 
     @property
     def rejected(self) -> DataFrame:
-        return self.checked.where(F.size("_problems") > 0).select(
+        return self.checked.where("_bad").select(
             F.lit(self.name).alias("source"), F.col("_file").alias("file"), F.col("_problems").alias("problems"), F.col("_text").alias("record"))
 
     @property
     def report(self) -> DataFrame:
         """One row: source, rows_read, rows_rejected and rows by problem."""
-        problems = [*self.schema.names, FIELD_COUNT]
-        counts = [F.count_if(F.array_contains("_problems", p)).alias(f"_{i}") for i, p in enumerate(problems)]
-        row = self.checked.agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(F.size("_problems") > 0).alias("rows_rejected"), *counts)
-        by_problem = F.create_map(*[x for i, p in enumerate(problems) for x in (F.lit(p), F.col(f"_{i}"))])
+        flags = self.raw.select(*[found.alias(f"_{i}") for i, found in enumerate(self.problems.values())])
+        names = flags.columns
+        row = flags.agg(F.count(F.lit(1)).alias("rows_read"), F.count_if(_any([F.col(c) for c in names])).alias("rows_rejected"),
+                        *[F.count_if(F.col(c)).alias(c) for c in names])
+        by_problem = F.create_map(*[x for i, p in enumerate(self.problems) for x in (F.lit(p), F.col(f"_{i}"))])
         return row.select(F.lit(self.name).alias("source"), "rows_read", "rows_rejected",
                           F.map_filter(by_problem, lambda _, n: n > 0).alias("problems"))
 
 
+def _any(conditions: Sequence[Column]) -> Column:
+    return reduce(Column.__or__, conditions)
+
+
 def read_extract(spark: SparkSession, path: str, name: str, schema: T.StructType, null_values: Sequence[str] = ()) -> Extract:
     """The extract at ``path`` (a file or a folder of files) with the columns of ``schema``.
 
@@ -114,21 +128,22 @@ def read_extract(spark: SparkSession, path: str, name: str, schema: T.StructType
     raw = (spark.read.schema(text_schema).options(**CSV_FORMAT).option("header", True).option("enforceSchema", False)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD).csv(path))
 
-    columns, problems = [], []
+    columns, problems = [], {}
     for field in schema.fields:
         text = _quoted(at[field.name])
         if null_values:
             text = F.when(~text.isin(list(null_values)), text)
-        if not isinstance(field.dataType, T.StringType):
-            text = F.when(F.trim(text) != "", text)
         value = parsed(text, field.dataType)
         columns.append(value.alias(field.name))
-        problems.append(F.when(text.isNotNull() & value.isNull(), F.lit(field.name)))
-    problems.append(F.when(_quoted(_RECORD).isNotNull(), F.lit(FIELD_COUNT)))
+        problems[field.name] = value.isNull() & text.isNotNull()
+        if not isinstance(field.dataType, T.StringType):
+            problems[field.name] &= F.trim(text) != ""
+    problems[FIELD_COUNT] = _quoted(_RECORD).isNotNull()
+    bad = _any(list(problems.values()))
+    names = F.array_compact(F.array(*[F.when(found, F.lit(problem)) for problem, found in problems.items()]))
     text = F.coalesce(_quoted(_RECORD), F.to_json(F.struct(*[_quoted(h) for h in header])))
-    checked = raw.select(*columns, F.array_compact(F.array(*problems)).alias("_problems"), text.alias("_text"),
-                         F.col("_metadata.file_path").alias("_file"))
-    return Extract(name, schema, checked)
+    checked = raw.select(*columns, bad.alias("_bad"), names.alias("_problems"), text.alias("_text"), F.col("_metadata.file_path").alias("_file"))
+    return Extract(name, schema, checked, raw, problems)
 
 
 class CsvSources(Sources):
